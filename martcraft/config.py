@@ -1,0 +1,48 @@
+"""Run settings and small dimension data.
+
+Every job takes an explicit ``as_of`` date.  When the caller gives none the
+default is today's business date in Korea time, computed once on the driver.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass, field
+from zoneinfo import ZoneInfo
+
+BUSINESS_TZ = "Asia/Seoul"
+
+
+def business_today(tz: str = BUSINESS_TZ) -> dt.date:
+    return dt.datetime.now(ZoneInfo(tz)).date()
+
+
+def as_date(value: dt.date | str | None) -> dt.date:
+    if value is None:
+        return business_today()
+    if isinstance(value, dt.datetime):
+        return value.date()
+    if isinstance(value, dt.date):
+        return value
+    return dt.date.fromisoformat(str(value)[:10])
+
+
+@dataclass(frozen=True)
+class Windows:
+    """Look-back horizons of the marts (years / days before as_of)."""
+    ads_years: int = 2
+    sales_years: int = 3
+    products_years: int = 2
+    ga_years: int = 2
+    crm_days: int = 30
+
+
+@dataclass(frozen=True)
+class Settings:
+    as_of: dt.date
+    windows: Windows = field(default_factory=Windows)
+    unknown_mall: str | None = "unknown"   # daily ads: 'unknown'; hourly: None
+
+    @staticmethod
+    def for_date(value=None, **kw) -> "Settings":
+        return Settings(as_of=as_date(value), **kw)
