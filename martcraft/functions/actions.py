@@ -35,9 +35,10 @@ def parse_actions(col: Column | str) -> Column:
 
 def action_pick(arr: Column, types: list[str]) -> Column:
     """F12 ``action_obj``: struct of the highest-priority type present, else NULL."""
-    per_type = F.array(*[
-        F.try_element_at(F.filter(arr, lambda a, t=t: a["action_type"] == F.lit(t)), F.lit(-1))
-        for t in types])
+    def is_type(t):
+        return lambda a: a["action_type"] == F.lit(t)
+
+    per_type = F.array(*[F.try_element_at(F.filter(arr, is_type(t)), F.lit(-1)) for t in types])
     return F.try_element_at(F.filter(per_type, lambda x: x.isNotNull()), F.lit(1))
 
 

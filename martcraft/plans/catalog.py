@@ -54,3 +54,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_repurchase_daily": q_repurchase_daily,
     "p10_product_sales": q_product_sales,
 }
+
+
+# --------------------------------------------------------------------- ads
+from martcraft.plans import ads  # noqa: E402
+from martcraft.sources.ads import shape_meta_hourly, with_web_purchase  # noqa: E402
+
+
+def _ad_unified(spark, sf):
+    ev = D.events(spark, sf)
+    return ads.ad_unified(
+        with_web_purchase(D.meta_ads(spark, sf, ev)), D.naver_ads(spark, sf, ev),
+        D.google_stats(spark, sf, ev), D.google_campaign_names(spark, sf, ev),
+        D.kakao_campaign(spark, sf, ev), D.ad_manual(spark, sf, ev), AS_OF,
+        meta_accounts=D.META_ACCOUNTS, google_customers=D.GOOGLE_CUSTOMERS,
+        kakao_accounts=D.KAKAO_ACCOUNTS)
+
+
+def q_meta_ads_flat(spark, sf):
+    return ads.meta_ads_flat(D.meta_ads(spark, sf), D.META_ACCOUNTS)
+
+
+def q_meta_campaign_daily(spark, sf):
+    return ads.meta_campaign_daily(q_meta_ads_flat(spark, sf))
+
+
+def q_ads_audit(spark, sf):
+    return ads.ads_audit(D.meta_ads(spark, sf), AS_OF)
+
+
+def q_ad_unified(spark, sf):
+    return _ad_unified(spark, sf)
+
+
+def q_media_daily(spark, sf):
+    return ads.media_daily(_ad_unified(spark, sf))
+
+
+def q_brand_kpi(spark, sf):
+    media = ads.media_daily(_ad_unified(spark, sf))
+    sales = commerce.sales_daily(_orders_current(spark, sf), AS_OF)
+    return ads.brand_kpi(media, sales, D.ga4_sessions(spark, sf), AS_OF)
+
+
+def q_keyword_unified(spark, sf):
+    ev = D.events(spark, sf)
+    return ads.keyword_unified(D.naver_ads(spark, sf, ev), D.naver_keyword_history(spark, sf, ev))
+
+
+def q_hourly_ratios(spark, sf):
+    hourly = shape_meta_hourly(D.meta_hourly_raw(spark, sf), D.META_HOURLY_ACCOUNTS)
+    return ads.hourly_ratios(hourly)
+
+
+QUERIES.update({
+    "p5_meta_ads_flat": q_meta_ads_flat,
+    "p6_meta_campaign_daily": q_meta_campaign_daily,
+    "p15_ads_audit": q_ads_audit,
+    "p8_ad_unified_daily": q_ad_unified,
+    "p11_media_daily": q_media_daily,
+    "p12_brand_kpi": q_brand_kpi,
+    "p7_keyword_unified": q_keyword_unified,
+    "d7_hourly_ratios": q_hourly_ratios,
+})

@@ -160,3 +160,275 @@ def product_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_no -> product_name (the product master's name column)."""
     return table(spark, sf_dir, "part").select(
         _txt(F.col("p_partkey")).alias("product_no"), F.col("p_name").alias("product_name"))
+
+
+# --------------------------------------------------------------------- ads
+# Ad-account ids of the adapter and the brand they belong to.
+META_ACCOUNTS = {"act0": BRAND_A, "act1": BRAND_A, "act2": BRAND_A, "act3": BRAND_B}
+META_HOURLY_ACCOUNTS = {"act0": BRAND_A, "act3": BRAND_B}
+GOOGLE_CUSTOMERS = {1001: BRAND_A, 1002: BRAND_B}
+KAKAO_ACCOUNTS = {"501": BRAND_A, "502": BRAND_B}
+NAVER_CAMPAIGNS = ["브랜드A_파워링크_MO", "브랜드A_브랜드검색", "브랜드A_SSA_스토어",
+                   "브랜드B_쇼핑_기획", "B_SA_generic", "plain campaign"]
+HIST_AD_TYPES = ["파워링크", "쇼핑검색", "브랜드검색", "신제품검색"]
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event stream with the ad attributes every medium derives from."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        F.date_add(F.to_date("ts"), EVENT_DAY_SHIFT).alias("report_date"),
+        F.col("ts"), F.col("user_id"), F.col("event_type"), F.col("value"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+    )
+
+
+def _n(t: str) -> Column:
+    return F.count_if(F.col("event_type") == t)
+
+
+def _v(t: str | None, scale: int) -> Column:
+    v = F.floor(F.col("value") * scale).cast("double")
+    if t is None:
+        return F.sum(v)
+    return F.coalesce(F.sum(F.when(F.col("event_type") == t, v)), F.lit(0.0))
+
+
+def _entry(cond, atype, value, **extra) -> Column:
+    fields = [F.lit(atype).alias("action_type"), value.cast("string").alias("value")]
+    for name in ("1d_click", "7d_click", "1d_ev"):
+        fields.append((extra[name].cast("string") if name in extra else F.lit(None).cast("string"))
+                      .alias(name))
+    return F.when(cond, F.struct(*fields))
+
+
+def _nonnull_array(*entries) -> Column:
+    return F.filter(F.array(*entries), lambda x: x.isNotNull())
+
+
+def meta_ads(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """Landed daily meta ads (ad x day) with ``actions``/``action_values`` JSON."""
+    ev = ev if ev is not None else events(spark, sf_dir)
+    g = ev.groupBy("report_date", (F.col("user_id") % 5).alias("acct"), "k").agg(
+        _n("view").alias("n_view"), _n("click").alias("n_click"),
+        _n("purchase").alias("n_p"), _n("signup").alias("n_signup"), _n("error").alias("n_error"),
+        F.count_if((F.col("event_type") == "purchase") & (F.col("value") >= 100)).alias("n_big"),
+        F.count_if((F.col("event_type") == "click") & (F.col("value") > 50)).alias("link_clicks"),
+        F.count_distinct("user_id").alias("reach"),
+        _v("purchase", 10).alias("pv"), _v("signup", 10).alias("sv"),
+        _v("click", 10).alias("cv"), _v("view", 10).alias("vv"),
+        F.coalesce(F.sum(F.when((F.col("event_type") == "purchase") & (F.col("value") >= 100),
+                                F.floor(F.col("value") * 10))), F.lit(0)).cast("double").alias("bigv"),
+    )
+    k = F.col("k")
+    has_p = F.col("n_p") > 0
+    pixel = F.col("acct").isin(0, 3)
+    ev_k = (k % 2 == 0)
+    actions = _nonnull_array(
+        _entry(F.col("n_view") > 0, "landing_page_view", F.col("n_view")),
+        _entry(F.col("n_click") > 0, "add_to_cart", F.col("n_click")),
+        _entry(F.col("n_view") > 0, "view_content", F.col("n_view")),
+        _entry(F.col("n_signup") > 0, "complete_registration", F.col("n_signup")),
+        _entry(F.col("n_error") > 0, "omni_initiated_checkout", F.col("n_error")),
+        _entry(has_p & (k % 7 == 0), "purchase", F.col("n_p") + 100),
+        _entry(has_p & pixel, "offsite_conversion.fb_pixel_purchase", F.col("n_p"),
+               **{"1d_click": F.col("n_big"), "1d_ev": F.when(ev_k, F.col("n_signup"))}),
+        _entry(has_p, "purchase", F.col("n_p") + F.col("n_big"),
+               **{"1d_click": F.when(k % 5 == 0, F.lit("N/A")).otherwise(F.col("n_big").cast("string")),
+                  "7d_click": F.col("n_p")}),
+        _entry(has_p, "omni_purchase", F.col("n_p") + F.col("n_signup")),
+    )
+    values = _nonnull_array(
+        _entry(F.col("n_click") > 0, "add_to_cart", F.col("cv")),
+        _entry(F.col("n_view") > 0, "view_content", F.col("vv")),
+        _entry(has_p & pixel, "offsite_conversion.fb_pixel_purchase", F.col("pv"),
+               **{"1d_click": F.col("bigv"), "1d_ev": F.when(ev_k, F.col("sv"))}),
+        _entry(has_p, "purchase", F.col("pv"), **{"7d_click": F.col("pv")}),
+        _entry(has_p, "omni_purchase", F.col("pv") + F.col("sv")),
+    )
+    no_actions = F.col("acct") == 4       # this account reports no action arrays
+    spend = F.col("cv") + F.col("vv")
+    imp = F.col("n_view").cast("bigint")
+    clicks = F.col("n_click").cast("bigint")
+    return g.select(
+        "report_date",
+        F.concat(F.lit("act"), F.col("acct").cast("string")).alias("account_id"),
+        F.concat(F.lit("account "), F.col("acct").cast("string")).alias("account_name"),
+        F.concat(F.lit("cp"), (k % 10).cast("string")).alias("campaign_id"),
+        F.concat(F.lit("meta campaign "), (k % 10).cast("string")).alias("campaign_name"),
+        F.concat(F.lit("as"), (k % 20).cast("string")).alias("adset_id"),
+        F.concat(F.lit("adset "), (k % 20).cast("string")).alias("adset_name"),
+        F.concat(F.lit("ad"), k.cast("string")).alias("ad_id"),
+        F.concat(F.lit("ad "), k.cast("string")).alias("ad_name"),
+        F.lit("OUTCOME_SALES").alias("objective"),
+        F.lit("OFFSITE_CONVERSIONS").alias("optimization_goal"),
+        spend.alias("spend"), imp.alias("impressions"), clicks.alias("clicks"),
+        F.col("reach").cast("bigint").alias("reach"),
+        F.try_divide(imp, F.col("reach")).alias("frequency"),
+        F.try_divide(clicks * 100, imp).alias("ctr"),
+        F.try_divide(spend, clicks).alias("cpc"),
+        F.try_divide(spend * 1000, imp).alias("cpm"),
+        F.col("link_clicks").cast("bigint").alias("inline_link_clicks"),
+        F.when(~no_actions, F.to_json(actions)).alias("actions"),
+        F.when(~no_actions, F.to_json(values)).alias("action_values"),
+    )
+
+
+def meta_hourly_raw(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """Hourly meta insights as the API reports them (hour range text)."""
+    ev = ev if ev is not None else events(spark, sf_dir)
+    h = F.hour("ts")
+    g = ev.groupBy("report_date", h.alias("h"), (F.col("user_id") % 5).alias("acct"), "k").agg(
+        _n("view").alias("impressions"), _n("click").alias("clicks"),
+        F.sum(F.when(F.col("event_type").isin("view", "click"),
+                     F.floor(F.col("value") * 10))).cast("double").alias("spend"))
+    k = F.col("k")
+    hh = F.lpad(F.col("h").cast("string"), 2, "0")
+    return g.select(
+        F.col("report_date").cast("string").alias("date_start"),
+        F.concat(hh, F.lit(":00:00 - "), hh, F.lit(":59:59"))
+         .alias("hourly_stats_aggregated_by_advertiser_time_zone"),
+        F.concat(F.lit("act"), F.col("acct").cast("string")).alias("account_id"),
+        F.concat(F.lit("account "), F.col("acct").cast("string")).alias("account_name"),
+        F.concat(F.lit("cp"), (k % 10).cast("string")).alias("campaign_id"),
+        F.concat(F.lit("meta campaign "), (k % 10).cast("string")).alias("campaign_name"),
+        F.concat(F.lit("as"), (k % 20).cast("string")).alias("adset_id"),
+        F.concat(F.lit("adset "), (k % 20).cast("string")).alias("adset_name"),
+        F.concat(F.lit("ad"), k.cast("string")).alias("ad_id"),
+        F.concat(F.lit("ad "), k.cast("string")).alias("ad_name"),
+        F.col("impressions").cast("string").alias("impressions"),
+        F.col("clicks").cast("string").alias("clicks"),
+        F.coalesce(F.col("spend"), F.lit(0.0)).cast("string").alias("spend"),
+    )
+
+
+def _naver_names(k: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in NAVER_CAMPAIGNS]), (k % 6 + 1).cast("int"))
+
+
+def naver_ads(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """Landed search-ad stats: campaign rows and keyword rows in one table."""
+    from martcraft.functions.classify import landing_type
+    ev = ev if ev is not None else events(spark, sf_dir)
+    metrics = [_n("view").cast("bigint").alias("impressions"),
+               _n("click").cast("bigint").alias("clicks"),
+               _v("click", 5).alias("cost"),
+               _n("purchase").cast("double").alias("conversions"),
+               _v("purchase", 10).alias("conversion_value")]
+    acct = F.when(F.col("user_id") % 2 == 0, F.lit("BRAND_A")).otherwise(F.lit("BRAND_B"))
+    base = ev.select("report_date", acct.alias("account"), "k", "event_type", "value")
+    camp = base.groupBy("report_date", "account", (F.col("k") % 6).alias("c")).agg(*metrics)
+    kw = base.groupBy("report_date", "account", (F.col("k") % 6).alias("c"),
+                      (F.col("k") % 12).alias("g"), "k").agg(*metrics)
+    k = F.col("k")
+
+    def shape(df, level):
+        name = _naver_names(F.col("c"))
+        is_kw = level == "keyword"
+        return df.select(
+            "report_date", F.lit("SA").alias("media"), "account",
+            F.lit(level).alias("level"),
+            F.concat(F.lit("nc"), F.col("c").cast("string")).alias("campaign_id"),
+            name.alias("campaign_name"),
+            (F.concat(F.lit("ng"), F.col("g").cast("string")) if is_kw else F.lit(None).cast("string"))
+            .alias("adgroup_id"),
+            (F.concat(F.lit("group "), F.col("g").cast("string")) if is_kw else F.lit(None).cast("string"))
+            .alias("adgroup_name"),
+            (F.concat(F.lit("kw"), k.cast("string")) if is_kw else F.lit(None).cast("string"))
+            .alias("keyword_id"),
+            (F.concat(F.lit("keyword "), k.cast("string")) if is_kw else F.lit(None).cast("string"))
+            .alias("keyword"),
+            landing_type(F.lit("SA"), name).alias("lp_type"),
+            "impressions", "clicks", "cost", "conversions", "conversion_value")
+
+    return shape(camp, "campaign").unionByName(shape(kw, "keyword"))
+
+
+def naver_keyword_history(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """Keyword history export (admin CSV), 20 days earlier than the API span,
+    with a third brand the API does not cover."""
+    ev = ev if ev is not None else events(spark, sf_dir)
+    mall = F.element_at(F.array(F.lit(BRAND_A), F.lit(BRAND_B), F.lit("brand_c")),
+                        (F.col("user_id") % 3 + 1).cast("int"))
+    device = F.when(F.col("user_id") % 2 == 0, F.lit("모바일")).otherwise(F.lit("PC"))
+    b = ev.select(F.date_sub("report_date", 20).alias("report_date"), mall.alias("mall"),
+                  device.alias("device"), "k", "event_type", "value")
+    g = b.groupBy("report_date", "mall", "device", "k").agg(
+        _n("view").cast("bigint").alias("impressions"), _n("click").cast("bigint").alias("clicks"),
+        _v("click", 5).alias("cost"), _n("purchase").cast("bigint").alias("conversions"),
+        _v("purchase", 10).alias("conversion_value"))
+    k = F.col("k")
+    return g.select(
+        "report_date", "mall",
+        F.element_at(F.array(*[F.lit(x) for x in HIST_AD_TYPES]), (k % 4 + 1).cast("int")).alias("ad_type"),
+        F.when(k % 3 == 0, F.lit("스마트스토어")).otherwise(F.lit("자사몰")).alias("landing"),
+        F.concat(F.lit("https://shop.example/p/"), k.cast("string")).alias("url"),
+        _naver_names(k % 6).alias("campaign"),
+        F.concat(F.lit("group "), (k % 12).cast("string")).alias("adgroup"),
+        F.concat(F.lit("keyword "), k.cast("string")).alias("keyword"),
+        "device", "impressions", "clicks", "cost", "conversions", "conversion_value")
+
+
+def google_stats(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = ev if ev is not None else events(spark, sf_dir)
+    g = ev.groupBy(F.col("report_date").alias("segments_date"),
+                   (F.col("user_id") % 3 + 1000).cast("bigint").alias("customer_id"),
+                   (F.col("k") % 8).cast("bigint").alias("campaign_id")).agg(
+        _n("view").cast("bigint").alias("metrics_impressions"),
+        _n("click").cast("bigint").alias("metrics_clicks"),
+        (F.coalesce(F.sum(F.floor("value")), F.lit(0)) * 1000000).cast("bigint").alias("metrics_cost_micros"),
+        _n("purchase").cast("double").alias("metrics_conversions"),
+        _v("purchase", 10).alias("metrics_conversions_value"))
+    return g
+
+
+def google_campaign_names(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """Campaign name history: several rows per id."""
+    ev = ev if ev is not None else events(spark, sf_dir)
+    return ev.select((F.col("k") % 8).cast("bigint").alias("campaign_id"),
+                     F.concat(F.lit("g"), (F.col("k") % 8).cast("string"), F.lit("-"),
+                              F.col("event_type")).alias("campaign_name")).distinct()
+
+
+def kakao_campaign(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = ev if ev is not None else events(spark, sf_dir)
+    g = ev.groupBy(F.col("report_date").alias("date"),
+                   (F.col("user_id") % 4 + 500).cast("string").alias("ad_account_id"),
+                   (F.col("k") % 5).alias("c")).agg(
+        _n("view").cast("bigint").alias("impressions"), _n("click").cast("bigint").alias("clicks"),
+        _v("view", 2).alias("cost"))
+    return g.select("date", "ad_account_id",
+                    F.concat(F.lit("kc"), F.col("c").cast("string")).alias("campaign_id"),
+                    F.concat(F.lit("kakao "), F.col("c").cast("string")).alias("campaign_name"),
+                    "impressions", "clicks", "cost")
+
+
+def ad_manual(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """Manually downloaded ad rows, 15 days earlier than the API span: part of
+    them overlap API-covered (media, brand, day) and must yield to the API."""
+    ev = ev if ev is not None else events(spark, sf_dir)
+    media = F.when(F.col("event_type").isin("signup", "error"), F.lit("meta")).otherwise(F.lit("gfa"))
+    mall = F.when(F.col("user_id") % 3 == 0, F.lit(BRAND_A)).when(F.col("user_id") % 3 == 1, F.lit(BRAND_B))
+    b = ev.select(F.date_sub("report_date", 15).alias("report_date"), mall.alias("mall"),
+                  media.alias("media"), "k", "event_type", "value")
+    g = b.groupBy("report_date", "mall", "media", (F.col("k") % 3).alias("c"),
+                  (F.col("k") % 4 == 0).alias("ss")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("impressions"), _n("click").cast("bigint").alias("clicks"),
+        _v(None, 1).alias("cost"), _n("purchase").cast("double").alias("conversions"),
+        _v("purchase", 10).alias("conversion_value"))
+    return g.select(
+        "report_date", "mall", "media",
+        F.concat(F.lit("mc"), F.col("c").cast("string")).alias("campaign_id"),
+        F.when(F.col("c") != 0, F.concat(F.lit("manual "), F.col("c").cast("string"))).alias("campaign_name"),
+        F.when(F.col("ss"), F.lit("스마트스토어")).alias("landing"),
+        "impressions", "clicks", "cost", "conversions", "conversion_value",
+        F.lit("manual.csv").alias("source"))
+
+
+def ga4_sessions(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = ev if ev is not None else events(spark, sf_dir)
+    brand = F.when(F.col("user_id") % 2 == 0, F.lit(BRAND_A)).otherwise(F.lit(BRAND_B))
+    return ev.groupBy(brand.alias("brand"), F.col("report_date").alias("date"),
+                      F.col("event_type").alias("session_source")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("sessions"),
+        F.count_distinct("user_id").cast("bigint").alias("total_users"))
