@@ -117,3 +117,37 @@ QUERIES.update({
     "p7_keyword_unified": q_keyword_unified,
     "d7_hourly_ratios": q_hourly_ratios,
 })
+
+
+# --------------------------------------------------------------------- CRM
+from martcraft.plans import crm  # noqa: E402
+
+CRM_SPEC = crm.AudienceSpec(product_kw="widget", option_exclude="24", exclude_kw="anvil",
+                            days=365, include_guest=True, member_consent=True, channel="all")
+
+
+def _crm_rows(spark, sf):
+    o = D.orders(spark, sf)
+    items = D.items_named(spark, sf, D.order_items(spark, sf, o))
+    seg = crm.segment(o, items, CRM_SPEC, AS_OF)
+    bl = crm.suppression_list(D.blocklist_sheet(spark, sf))
+    return crm.with_contacts(seg, D.member_contacts(spark, sf), D.guest_contacts(spark, sf), bl, CRM_SPEC)
+
+
+def q_crm_audience(spark, sf):
+    return crm.audience(_crm_rows(spark, sf))
+
+
+def q_crm_funnel(spark, sf):
+    return crm.funnel(_crm_rows(spark, sf))
+
+
+def q_suppression_list(spark, sf):
+    return crm.suppression_list(D.blocklist_sheet(spark, sf))
+
+
+QUERIES.update({
+    "p13_crm_audience": q_crm_audience,
+    "p13_crm_funnel": q_crm_funnel,
+    "src18_suppression_list": q_suppression_list,
+})

@@ -432,3 +432,63 @@ def ga4_sessions(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None)
                       F.col("event_type").alias("session_source")).agg(
         F.count(F.lit(1)).cast("bigint").alias("sessions"),
         F.count_distinct("user_id").cast("bigint").alias("total_users"))
+
+
+# ----------------------------------------------------------------- CRM inputs
+def items_named(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """Order lines with the product master's name attached."""
+    return items.join(product_names(spark, sf_dir), "product_no", "left")
+
+
+def _phone(a: Column, b: Column, sep: str) -> Column:
+    return F.concat(F.lit("010"), F.lit(sep), F.lpad((a % 10000).cast("string"), 4, "0"),
+                    F.lit(sep), F.lpad((b % 10000).cast("string"), 4, "0"))
+
+
+def member_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member privacy records (stand-in for the contact API): one per shop."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    seg = F.col("c_mktsegment")
+    return c.select(
+        F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"),
+                          F.lit(4).cast("bigint"))).alias("shop_no"),
+        F.concat(F.lit("m"), key.cast("string")).alias("member_id"),
+        F.col("c_name").alias("name"),
+        F.when(key % 11 == 0, F.lit("")).otherwise(_phone(key, key * 7, "-")).alias("cellphone"),
+        F.when(key % 4 == 0, F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")))
+         .otherwise(F.lit("")).alias("email"),
+        F.when(seg == "BUILDING", F.lit("T")).when(seg == "MACHINERY", F.lit("y"))
+         .when(seg == "AUTOMOBILE", F.lit("F")).otherwise(F.lit("")).alias("sms"),
+        F.when(F.col("c_acctbal") > 5000, F.lit("T")).otherwise(F.lit("F")).alias("news_mail"),
+    )
+
+
+def guest_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First receiver of each order (guest lookup by order id)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        _shop_no(F.col("o_orderpriority")).alias("shop_no"),
+        k.cast("string").alias("order_id"),
+        F.concat(F.lit("guest "), k.cast("string")).alias("name"),
+        _phone(k, F.col("o_custkey"), " ").alias("cellphone"),
+        F.lit("").alias("email"), F.lit("").alias("sms"), F.lit("").alias("news_mail"),
+    )
+
+
+def blocklist_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppression sheet rows (reg, phone, row_no) in sheet order: customers of
+    two nations opted out; nation 3 appears twice with other formatting, and
+    some guest receivers are listed too."""
+    c = table(spark, sf_dir, "customer").filter(F.col("c_nationkey").isin(3, 7))
+    key = F.col("c_custkey")
+    rows = c.select(
+        F.explode(F.when(F.col("c_nationkey") == 3, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("copy"), key)
+    member_rows = rows.select(
+        (key * 2 + F.col("copy")).alias("row_no"),
+        F.concat(F.lit("reg-"), key.cast("string")).alias("reg"),
+        F.when(F.col("copy") == 0, _phone(key, key * 7, "-"))
+         .otherwise(F.concat(F.lit(" "), _phone(key, key * 7, " "), F.lit(" "))).alias("phone"))
+    return member_rows
