@@ -151,3 +151,69 @@ QUERIES.update({
     "p13_crm_funnel": q_crm_funnel,
     "src18_suppression_list": q_suppression_list,
 })
+
+
+# ----------------------------------------------------------------- sources
+from pyspark.sql import functions as F  # noqa: E402
+
+from martcraft.sources import analytics as GA  # noqa: E402
+from martcraft.sources import commerce as SC  # noqa: E402
+from martcraft.sources.ads import shape_search_ads  # noqa: E402
+from martcraft.sources.statistics import SPECS, shape_stat  # noqa: E402
+
+# A run-time secret for the keyed phone hash; tests and the catalog use a
+# throw-away value (real runs pass their own).
+CATALOG_SECRET = "catalog-run-secret"
+
+
+def q_src_orders(spark, sf):
+    o = SC.shape_orders(D.raw_orders(spark, sf), CATALOG_SECRET)
+    return o.select("report_date", "order_id", "shop_no", "mall", "member_id",
+                    F.col("buyer_hash").isNotNull().alias("has_buyer_hash"),
+                    "order_status", "payment_amount", "order_amount", "currency")
+
+
+def q_src_order_items(spark, sf):
+    return SC.explode_order_items(D.raw_orders(spark, sf)).drop("raw_json", "ingested_at")
+
+
+def q_src_stat_sales_hourly(spark, sf):
+    return shape_stat(D.raw_stat_sales_hourly(spark, sf), SPECS["sales_daily"]).drop("raw_json", "ingested_at")
+
+
+def q_src_stat_paymethod(spark, sf):
+    return shape_stat(D.raw_stat_paymethods(spark, sf), SPECS["sales_paymethod"]).drop("raw_json", "ingested_at")
+
+
+def q_src_attribution(spark, sf):
+    return SC.shape_order_attribution(D.raw_attribution(spark, sf)).drop("raw_json", "ingested_at")
+
+
+def q_src_member_joins(spark, sf):
+    return SC.member_joins_from_members(D.member_first_orders(spark, sf))
+
+
+def q_src_ga4_sessions(spark, sf):
+    return GA.shape_sessions(D.raw_ga4_sessions(spark, sf)).drop("loaded_at")
+
+
+def q_src_ga4_transactions(spark, sf):
+    return GA.shape_transactions(D.raw_ga4_transactions(spark, sf)).drop("loaded_at")
+
+
+def q_src_search_ads(spark, sf):
+    stats, kmap = D.raw_search_stats(spark, sf)
+    return shape_search_ads(stats, kmap).drop("raw_json", "ingested_at")
+
+
+QUERIES.update({
+    "src1_shape_orders": q_src_orders,
+    "src2_order_items": q_src_order_items,
+    "src3_stat_sales_hourly": q_src_stat_sales_hourly,
+    "src3_stat_paymethod": q_src_stat_paymethod,
+    "src4_order_attribution": q_src_attribution,
+    "src7_member_joins": q_src_member_joins,
+    "src13_ga4_sessions": q_src_ga4_sessions,
+    "src14_ga4_transactions": q_src_ga4_transactions,
+    "src10_search_ads": q_src_search_ads,
+})

@@ -492,3 +492,217 @@ def blocklist_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("copy") == 0, _phone(key, key * 7, "-"))
          .otherwise(F.concat(F.lit(" "), _phone(key, key * 7, " "), F.lit(" "))).alias("phone"))
     return member_rows
+
+
+# ------------------------------------------------------ raw API-shaped records
+SHOP_NAMES = {1: "Brand A Main Store", 2: "Brand A Video Shop", 4: "Brand B Official"}
+SHOP_RULES = [(["brand b"], BRAND_B), (["brand a"], BRAND_A)]
+
+
+def shop_mall(shop_no: Column) -> Column:
+    """Brand of a shop through its name (SRC21 over the shop list)."""
+    from martcraft.sources.commerce import resolve_shops
+    names = F.create_map(*[x for k, v in SHOP_NAMES.items() for x in (F.lit(k), F.lit(v))])
+    return resolve_shops(shop_no, names[shop_no], SHOP_RULES)
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order API records as landed JSON (one per row) with shop and window.
+
+    Items are nested per order (an order has a handful of lines), built with
+    one aggregation keyed by the order.
+    """
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    item = F.struct(
+        F.col("l_partkey").cast("string").alias("product_no"),
+        F.concat(F.lit("V"), F.col("l_suppkey").cast("string")).alias("variant_code"),
+        F.col("l_quantity").alias("quantity"),
+        F.when(ln == 2, F.lit("")).otherwise(
+            F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("string")).alias("product_price"),
+        F.floor("l_extendedprice").cast("string").alias("payment_amount"))
+    items = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.collect_list(F.struct(ln.alias("n"), item.alias("it"))).alias("its"))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    tp = F.floor("o_totalprice")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    odd = (k % 2 == 1)
+    shop = _shop_no(F.col("o_orderpriority"))
+    rec = F.struct(
+        k.cast("string").alias("order_id"),
+        F.when(k % 29 != 0, F.concat(day, F.lit("T10:00:00+09:00"))).alias("order_date"),
+        F.when((k % 29 == 0) & ~odd, F.concat(day, F.lit(" 11:00:00"))).alias("payment_date"),
+        F.when((k % 29 == 0) & odd, F.lit("")).alias("created_date"),
+        F.when(c % 10 == 0, F.lit(None)).when(c % 10 == 5, F.lit(""))
+         .otherwise(F.concat(F.lit("m"), c.cast("string"))).alias("member_id"),
+        F.when(k % 7 == 0, F.lit("")).otherwise(tp.cast("string")).alias("payment_amount"),
+        (tp - 100).cast("string").alias("actual_payment_amount"),
+        F.when(k % 37 == 0, F.lit("n/a")).otherwise(tp.cast("string")).alias("order_price_amount"),
+        tp.cast("string").alias("order_amount"),
+        F.lit("KRW").alias("currency"),
+        F.struct(F.when(c % 3 == 0, F.lit("")).otherwise(_phone(c, c * 7, "-")).alias("cellphone"),
+                 F.lit("").alias("phone")).alias("buyer"),
+        F.when(~((c % 3 == 0) & (k % 5 == 0)),
+               F.array(F.struct(_phone(k, c, " ").alias("cellphone")))).alias("receivers"),
+        F.transform(F.array_sort(F.col("its")), lambda x: x["it"]).alias("items"),
+    )
+    return (o.join(items, "o_orderkey", "left")
+            .select(F.to_json(rec).alias("value"), shop.alias("shop_no"),
+                    shop_mall(shop).alias("mall"), F.lit(AS_OF).alias("window_end")))
+
+
+def raw_stat_sales_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """'sales_daily' statistic responses: one document per shop and day with
+    at most 24 hourly records (order hour = order key mod 24)."""
+    o = table(spark, sf_dir, "orders")
+    shop = _shop_no(F.col("o_orderpriority"))
+    g = o.groupBy(F.to_date("o_orderdate").alias("d"), shop.alias("shop_no"),
+                  (F.col("o_orderkey") % 24).alias("hour")).agg(
+        F.sum(F.floor("o_totalprice")).alias("amt"), F.count(F.lit(1)).alias("cnt"))
+    rec = F.struct(F.col("d").cast("string").alias("date"), F.col("hour").cast("string").alias("hour"),
+                   F.col("amt").cast("string").alias("order_amount"),
+                   F.when(F.col("hour") % 5 == 0, F.lit("")).otherwise(F.col("cnt").cast("string"))
+                    .alias("order_count"),
+                   F.col("cnt").cast("string").alias("buyers_count"))
+    docs = g.groupBy("d", "shop_no").agg(F.collect_list(rec).alias("times"))
+    return docs.select(F.to_json(F.struct("times")).alias("value"), "shop_no",
+                       shop_mall(F.col("shop_no")).alias("mall"),
+                       F.col("d").alias("day"), F.lit(AS_OF).alias("window_end"))
+
+
+PAY_METHODS = ["card", "bank", "naverpay", "point", "virtual"]
+
+
+def raw_stat_paymethods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """'sales_paymethod' responses (records carry no date; the day is stamped):
+    one document per shop and day, one record per payment method (5)."""
+    o = table(spark, sf_dir, "orders")
+    shop = _shop_no(F.col("o_orderpriority"))
+    pm = F.element_at(F.array(*[F.lit(x) for x in PAY_METHODS]), (F.col("o_custkey") % 5 + 1).cast("int"))
+    g = o.groupBy(F.to_date("o_orderdate").alias("d"), shop.alias("shop_no"), pm.alias("pm")).agg(
+        F.sum(F.floor("o_totalprice")).alias("amt"), F.count(F.lit(1)).alias("cnt"))
+    rec = F.struct(F.col("pm").alias("payment_method"), F.col("amt").cast("string").alias("order_amount"),
+                   F.col("cnt").cast("string").alias("order_count"))
+    docs = g.groupBy("d", "shop_no").agg(F.collect_list(rec).alias("records"))
+    # the list sits under an unexpected key: the first-list fallback finds it
+    return docs.select(F.to_json(F.struct(F.lit("ok").alias("result"), F.col("records").alias("paymethods")))
+                       .alias("value"), "shop_no", shop_mall(F.col("shop_no")).alias("mall"),
+                       F.col("d").alias("day"), F.lit(AS_OF).alias("window_end"))
+
+
+def raw_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order attribution records (first-touch ad per order)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    shop = _shop_no(F.col("o_orderpriority"))
+    rec = F.struct(
+        k.cast("string").alias("order_id"),
+        F.when(k % 9 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
+        F.element_at(F.array(F.lit("meta"), F.lit("naver"), F.lit("google"), F.lit("")),
+                     (k % 4 + 1).cast("int")).alias("ad"),
+        F.concat(F.lit("kw"), (k % 13).cast("string")).alias("keyword"),
+        F.when(k % 2 == 0, F.lit("cpc")).otherwise(F.lit("organic")).alias("medium"),
+        F.concat(F.lit("camp"), (k % 6).cast("string")).alias("campaign"),
+        F.lit(None).cast("string").alias("content"),
+        F.element_at(F.array(*[F.lit(x) for x in PAY_METHODS]),
+                     (F.col("o_custkey") % 5 + 1).cast("int")).alias("payment_method"),
+        F.floor("o_totalprice").cast("string").alias("order_amount"))
+    return o.select(F.to_json(rec).alias("value"), shop.alias("shop_no"),
+                    shop_mall(shop).alias("mall"),
+                    F.date_add(F.to_date("o_orderdate"), 1).alias("day"))
+
+
+def member_first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members with their join day (= day of the first order) and shop."""
+    o = table(spark, sf_dir, "orders")
+    first = o.groupBy("o_custkey").agg(
+        F.min_by(F.struct(F.to_date("o_orderdate").alias("d"),
+                          _shop_no(F.col("o_orderpriority")).alias("shop_no")),
+                 F.struct("o_orderdate", "o_orderkey")).alias("f"))
+    return first.select(F.col("f.d").alias("join_date"), F.col("f.shop_no").alias("shop_no"),
+                        shop_mall(F.col("f.shop_no")).alias("mall"))
+
+
+def raw_ga4_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session report rows (text dims/metrics, yyyyMMdd date)."""
+    ev = events(spark, sf_dir)
+    g = ev.groupBy("report_date", (F.col("user_id") % 2).alias("b"), "event_type",
+                   (F.col("k") % 4).alias("camp")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("u"),
+        F.count_if(F.col("event_type") == "purchase").alias("p"),
+        F.sum(F.floor(F.col("value") * 100)).alias("cents"),
+        F.sum(F.floor("value")).alias("whole"))
+    camp = F.col("camp").cast("string")
+    return g.select(
+        F.when(F.col("b") == 0, F.lit(BRAND_A)).otherwise(F.lit(BRAND_B)).alias("brand"),
+        F.when(F.col("b") == 0, F.lit("P-A")).otherwise(F.lit("P-B")).alias("property_id"),
+        F.date_format("report_date", "yyyyMMdd").alias("date"),
+        F.col("event_type").alias("sessionSource"), F.lit("cpc").alias("sessionMedium"),
+        F.concat(F.lit("c"), camp).alias("sessionCampaignName"),
+        F.concat(F.lit("mc"), camp).alias("sessionManualCampaignName"),
+        F.lit("(not set)").alias("sessionManualTerm"), F.lit("(not set)").alias("sessionManualAdContent"),
+        F.lit("Paid Search").alias("sessionDefaultChannelGroup"),
+        F.concat(F.col("event_type"), F.lit(" / cpc")).alias("firstUserSourceMedium"),
+        F.col("n").cast("string").alias("sessions"), F.col("u").cast("string").alias("totalUsers"),
+        F.when(F.col("camp") == 0, F.lit("")).otherwise(F.col("u").cast("string")).alias("newUsers"),
+        F.lit("0").alias("addToCarts"), F.lit("").alias("checkouts"),
+        F.col("p").cast("string").alias("ecommercePurchases"),
+        F.concat((F.col("cents") / 100).cast("bigint").cast("string"), F.lit("."),
+                 F.lpad((F.col("cents") % 100).cast("string"), 2, "0")).alias("purchaseRevenue"),
+        F.col("p").cast("string").alias("firstTimePurchasers"),
+        F.concat(F.col("u").cast("string"), F.lit(".9")).alias("activeUsers"),
+        F.concat(F.col("whole").cast("string"), F.lit(".5")).alias("userEngagementDuration"))
+
+
+def raw_ga4_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction report rows: one per purchase event; some ids are not
+    real transactions ('', '(not set)', '(not_set)' with spaces)."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    eid = F.col("event_id")
+    tid = (F.when(eid % 17 == 0, F.lit(" (not set) ")).when(eid % 19 == 0, F.lit("(not_set)"))
+            .when(eid % 23 == 0, F.lit("")).otherwise(F.concat(F.lit("T"), eid.cast("string"))))
+    return e.select(
+        F.when(F.col("user_id") % 2 == 0, F.lit(BRAND_A)).otherwise(F.lit(BRAND_B)).alias("brand"),
+        F.lit("P").alias("property_id"),
+        F.date_format(F.date_add(F.to_date("ts"), EVENT_DAY_SHIFT), "yyyyMMdd").alias("date"),
+        tid.alias("transactionId"), F.lit("google").alias("sessionSource"),
+        F.lit("cpc").alias("sessionMedium"), F.lit("c1").alias("sessionCampaignName"),
+        F.lit("1").alias("sessionCampaignId"), F.lit("Paid Search").alias("sessionDefaultChannelGroup"),
+        F.format_string("%.2f", F.col("value")).alias("purchaseRevenue"),
+        F.lit("").alias("taxAmount"), F.lit("2500").alias("shippingAmount"),
+        F.when(eid % 11 == 0, F.lit("2")).otherwise(F.lit("1")).alias("ecommercePurchases"))
+
+
+def raw_search_stats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Search-ad keyword stat records (id + JSON metrics) and the keyword map
+    (keyword -> ad group -> campaign).  Keyword ids 90..99 are missing from
+    the map on purpose (deleted keywords)."""
+    ev = events(spark, sf_dir)
+    g = ev.groupBy("report_date", (F.col("user_id") % 2).alias("b"), "k").agg(
+        F.count_if(F.col("event_type") == "view").alias("imp"),
+        F.count_if(F.col("event_type") == "click").alias("clk"),
+        F.coalesce(F.sum(F.when(F.col("event_type") == "click", F.floor(F.col("value") * 5))), F.lit(0))
+         .alias("cost"),
+        F.count_if(F.col("event_type") == "purchase").alias("conv"))
+    k = F.col("k")
+    metrics = F.struct(
+        F.col("imp").cast("string").alias("impCnt"), F.col("clk").cast("string").alias("clkCnt"),
+        F.col("cost").cast("string").alias("salesAmt"),
+        F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("conv").cast("string")).alias("ccnt"))
+    stats = g.select(
+        "report_date", F.lit("SA").alias("media"),
+        F.when(F.col("b") == 0, F.lit("BRAND_A")).otherwise(F.lit("BRAND_B")).alias("account"),
+        F.when(F.col("b") == 0, F.lit("111")).otherwise(F.lit("222")).alias("customer_id"),
+        F.lit("keyword").alias("level"), F.lit(None).cast("string").alias("campaign_id"),
+        F.lit(None).cast("string").alias("campaign_name"),
+        F.concat(F.lit("kw"), k.cast("string")).alias("keyword_id"),
+        F.to_json(metrics).alias("value"))
+    kmap = (ev.select("k").distinct().filter(F.col("k") < 90)
+            .select(F.concat(F.lit("kw"), k.cast("string")).alias("keyword_id"),
+                    F.concat(F.lit("keyword "), k.cast("string")).alias("keyword"),
+                    F.concat(F.lit("ng"), (k % 12).cast("string")).alias("adgroup_id"),
+                    F.concat(F.lit("group "), (k % 12).cast("string")).alias("adgroup_name"),
+                    F.concat(F.lit("nc"), (k % 6).cast("string")).alias("campaign_id"),
+                    _naver_names(k).alias("campaign_name")))
+    return stats, kmap
