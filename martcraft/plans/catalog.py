@@ -217,3 +217,71 @@ QUERIES.update({
     "src14_ga4_transactions": q_src_ga4_transactions,
     "src10_search_ads": q_src_search_ads,
 })
+
+
+# ------------------------------------------------- quality, views, design
+import datetime as _dt  # noqa: E402
+
+from martcraft.plans import design, quality  # noqa: E402
+
+
+def q_orders_current(spark, sf):
+    """SO2 + SO3: closed days from the final table, the business day from an
+    intraday twin that lacks one column (aligned as NULL)."""
+    base = D.orders(spark, sf)
+    d0 = D.orders(spark, sf).drop("currency")
+    cur = current_view(base, d0, AS_OF)
+    return cur.select("report_date", "order_id", "mall", "currency", "payment_amount")
+
+
+def q_freshness(spark, sf):
+    ev = D.events(spark, sf)
+    checks = [
+        quality.FreshnessCheck("commerce orders", "orders", D.orders(spark, sf), "report_date", 2),
+        quality.FreshnessCheck("order attribution", "order_attribution",
+                               SC.shape_order_attribution(D.raw_attribution(spark, sf)), "report_date", 2),
+        quality.FreshnessCheck("meta ads", "meta_ads", D.meta_ads(spark, sf, ev), "report_date", 2),
+        quality.FreshnessCheck("search ads", "search_ads", D.naver_ads(spark, sf, ev), "report_date", 3),
+        quality.FreshnessCheck("google ads", "google_stats", D.google_stats(spark, sf, ev), "segments_date", 3),
+        quality.FreshnessCheck("display ads", "kakao_campaign", D.kakao_campaign(spark, sf, ev), "date", 3),
+        quality.FreshnessCheck("keyword history", "keyword_hist",
+                               D.naver_keyword_history(spark, sf, ev), "report_date", 3),
+    ]
+    return quality.freshness(checks, AS_OF)
+
+
+def q_exec_weekly(spark, sf):
+    return design.exec_weekly_kpi(q_brand_kpi(spark, sf))
+
+
+def q_keyword_daily(spark, sf):
+    return design.keyword_daily(q_keyword_unified(spark, sf))
+
+
+def q_campaign_daily(spark, sf):
+    return design.campaign_daily(_ad_unified(spark, sf))
+
+
+def q_tx_reconciliation(spark, sf):
+    tx = GA.shape_transactions(D.raw_ga4_transactions(spark, sf))
+    return design.transaction_reconciliation(tx, D.orders(spark, sf),
+                                             AS_OF - _dt.timedelta(days=30), AS_OF)
+
+
+def q_restatement(spark, sf):
+    ev = D.events(spark, sf)
+    early = ev.filter(F.minute("ts") < 45)          # what the earlier snapshot had seen
+    snaps = ads.ads_audit(D.meta_ads(spark, sf, early), AS_OF - _dt.timedelta(days=1)).unionByName(
+        ads.ads_audit(D.meta_ads(spark, sf, ev), AS_OF))
+    return design.restatement_convergence(snaps)
+
+
+QUERIES.update({
+    "so2_orders_current": q_orders_current,
+    "dq1_freshness": q_freshness,
+    "d2_exec_weekly_kpi": q_exec_weekly,
+    "d3_keyword_daily": q_keyword_daily,
+    "d3_campaign_daily": q_campaign_daily,
+    "d4_tx_reconciliation": q_tx_reconciliation,
+    "d6_restatement": q_restatement,
+})
