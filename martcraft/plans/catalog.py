@@ -285,3 +285,42 @@ QUERIES.update({
     "d4_tx_reconciliation": q_tx_reconciliation,
     "d6_restatement": q_restatement,
 })
+
+
+# -------------------------------------------------------------------- cost
+from martcraft.plans import cost as CO  # noqa: E402
+
+COST_CONFIG = CO.CostConfig(
+    malls=(D.BRAND_A, D.BRAND_B), collab_mall=D.BRAND_B,
+    aliases={"crimson": "red"}, overrides=(CO.Override("gizmo", "cold", 4321.0),),
+    collab_markers=("energy,", "edition"), collab_energy="energy",
+    collab_lines=(("gear", "gear line"),),
+    collab_order_500=("gear line", "widget edition", "energy"), collab_line_250="energy")
+COST_DAYS = 90
+
+
+def q_cost_daily(spark, sf):
+    o = D.orders(spark, sf)
+    items = D.cost_items(spark, sf, D.order_items(spark, sf, current_view(o, o, AS_OF)))
+    sheet = D.price_sheet(spark, sf)
+    prices = CO.parse_price_list(sheet, COST_CONFIG)
+    groups = CO.product_groups(prices, COST_CONFIG)
+    collab = CO.parse_collab_prices(sheet, COST_CONFIG)
+    start = AS_OF - _dt.timedelta(days=COST_DAYS - 1)
+    opts = CO.option_rows(items, start, AS_OF, COST_CONFIG)
+    return CO.cost_daily(opts, prices, collab, COST_CONFIG, groups)
+
+
+def q_price_list(spark, sf):
+    return CO.parse_price_list(D.price_sheet(spark, sf), COST_CONFIG)
+
+
+def q_collab_prices(spark, sf):
+    return CO.parse_collab_prices(D.price_sheet(spark, sf), COST_CONFIG)
+
+
+QUERIES.update({
+    "p14_cost_daily": q_cost_daily,
+    "src19_price_list": q_price_list,
+    "src20_collab_prices": q_collab_prices,
+})

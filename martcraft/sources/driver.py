@@ -706,3 +706,47 @@ def raw_search_stats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
                     F.concat(F.lit("nc"), (k % 6).cast("string")).alias("campaign_id"),
                     _naver_names(k).alias("campaign_name")))
     return stats, kmap
+
+
+# ------------------------------------------------------------ cost inputs
+def _noun_adj(name: Column):
+    parts = F.split(name, " ")
+    return F.element_at(parts, 2), F.element_at(parts, 1)
+
+
+def price_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price list rows (row_no, name, price) in sheet order: one listing per
+    part (PET listings for PROMO parts, shrink-wrap listings excluded, some
+    prices missing) plus collaboration listings for three part brands."""
+    p = table(spark, sf_dir, "part")
+    noun, adj = _noun_adj(F.col("p_name"))
+    ml = (F.col("p_size") * 10).cast("string")
+    base = p.select(
+        (F.col("p_partkey") * 2).alias("row_no"),
+        F.concat(F.when(F.col("p_type") == "PROMO", F.lit("페트, "))
+                  .otherwise(F.concat(F.lit("["), F.col("p_brand"), F.lit("]"))),
+                 noun, F.lit(", "), adj, F.lit(" ("), ml, F.lit("ml)"),
+                 F.when(F.col("p_size") == 50, F.lit(" 쉬링크")).otherwise(F.lit(""))).alias("name"),
+        F.when(F.col("p_partkey") % 50 == 7, F.lit(None))
+         .otherwise(F.round(F.col("p_retailprice") * 10)).alias("price"))
+    collab = p.filter(F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3")).select(
+        (F.col("p_partkey") * 2 + 1).alias("row_no"),
+        F.when(F.col("p_brand") == "Brand#1",
+               F.concat(F.lit("energy, "), adj, F.lit(", "),
+                        F.when(F.col("p_size") % 2 == 0, F.lit("250")).otherwise(F.lit("500")), F.lit("ml")))
+         .otherwise(F.concat(F.lit("collab, "), noun, F.lit(" edition, "), adj, F.lit(", 500ml"))).alias("name"),
+        F.round(F.col("p_retailprice") * 7).alias("price"))
+    return base.unionByName(collab)
+
+
+def cost_items(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """Order lines named as the shop lists them: some names carry a bottle
+    size, some a pack size."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    name = F.concat(F.col("p_name"),
+                    F.when(k % 3 == 0, F.concat(F.lit(" "), (F.col("p_size") * 10).cast("string"), F.lit("ml")))
+                     .otherwise(F.lit("")),
+                    F.when(k % 5 == 0, F.lit(" 24개입")).otherwise(F.lit("")))
+    names = p.select(k.cast("string").alias("product_no"), name.alias("product_name"))
+    return items.join(names, "product_no", "left")
