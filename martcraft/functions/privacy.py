@@ -50,6 +50,8 @@ PERSONAL_KEYS = ["buyer", "receivers"]
 
 
 def strip_personal(col, keys: list[str] = PERSONAL_KEYS) -> Column:
-    """drop personal-data keys from the order JSON (re-serialised)."""
+    """drop personal-data keys from the order JSON (re-serialised through
+    a variant map, so nested values keep their JSON form; number text may be
+    normalised, e.g. 2.50 -> 2.5)."""
     m = F.from_json(_c(col), "map<string,variant>")
     return F.to_json(F.map_filter(m, lambda k, v: ~k.isin(*keys)))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from martcraft.functions.classify import ship_rate, size_ml
 from martcraft.functions.numeric import js_round
+from martcraft.session import materialize
 
 # JavaScript's \s (plus BOM): Java's \s is ASCII only.
 WS = "[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
@@ -401,6 +402,8 @@ def box_costs(options: DataFrame, prices: DataFrame, collab: DataFrame | None,
 def cost_daily(options: DataFrame, prices: DataFrame, collab: DataFrame | None,
                cfg: CostConfig, groups: list[str]) -> DataFrame:
     """P14 mart_cost_daily: (report_date, mall, cogs, ship)."""
+    options = materialize(options)          # reused by every branch below
+    prices = materialize(prices)
     boxes = box_costs(options, prices, collab, cfg, groups)
     o = options.select("report_date", "mall",
                        F.coalesce(F.col("product_name"), F.lit("")).alias("pn"),

@@ -60,3 +60,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut lineage of a small intermediate that several branches reuse:
+    a reliable checkpoint into the shared checkpoint folder (never a
+    machine-local one), so lost executors re-read it instead of
+    recomputing the upstream joins."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -34,13 +34,16 @@ def shape_orders(raw: DataFrame, secret: str, value_col: str = "value") -> DataF
     """SRC1: one order JSON per row (+ shop_no, mall, window_end columns) ->
     the orders table.  report_date = first 10 characters of the first
     non-empty of order/payment/created date, else the window end (a split
-    window end may be a datetime, so it is truncated to a date too)."""
-    rec = parse_record(value_col)
-    r = raw.select("*", rec.alias("_r"))
+    window end may be a datetime, so it is truncated to a date too).
+
+    Each JSON text is parsed once, in its own projection, and every field is
+    read from the parsed map."""
+    r = raw.select("shop_no", "mall", "window_end", F.col(value_col).alias("_v"),
+                   parse_record(value_col).alias("_r"))
     m = F.col("_r")
-    recv = F.from_json(m["receivers"], "array<map<string,string>>")
-    buyer = F.from_json(m["buyer"], "map<string,string>")
-    first_recv = F.try_element_at(recv, F.lit(1))
+    r = r.select("*", F.from_json(m["buyer"], "map<string,string>").alias("_b"),
+                 F.try_element_at(F.from_json(m["receivers"], "array<map<string,string>>"), F.lit(1))
+                 .alias("_rc"))
     d = F.coalesce(_day(s(m, "order_date", "payment_date", "created_date")),
                    _day(F.col("window_end").cast("string")))
     return r.select(
@@ -48,14 +51,14 @@ def shape_orders(raw: DataFrame, secret: str, value_col: str = "value") -> DataF
         s(m, "order_id").alias("order_id"),
         F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
         s(m, "member_id").alias("member_id"),
-        phone_hash(buyer["cellphone"], buyer["phone"], first_recv["cellphone"],
-                   first_recv["phone"], secret).alias("buyer_hash"),
+        phone_hash(F.col("_b")["cellphone"], F.col("_b")["phone"], F.col("_rc")["cellphone"],
+                   F.col("_rc")["phone"], secret).alias("buyer_hash"),
         s(m, "order_status", "status").alias("order_status"),
         f(m, "payment_amount", "actual_payment_amount").alias("payment_amount"),
         f(m, "order_price_amount", "order_amount").alias("order_amount"),
         s(m, "currency").alias("currency"),
         F.try_to_timestamp(s(m, "order_date", "payment_date")).alias("ordered_at"),
-        strip_personal(F.col(value_col)).alias("raw_json"),
+        strip_personal(F.col("_v")).alias("raw_json"),
         F.current_timestamp().alias("ingested_at"),
     )
 
@@ -64,15 +67,17 @@ def explode_order_items(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """SRC2: ``items[]`` -> one row per line (non-outer: an order without
     items yields none); quantity = int(float or 0), price = first non-empty
     of product_price, payment_amount."""
-    m = parse_record(value_col)
+    r = raw.select("shop_no", "mall", "window_end", parse_record(value_col).alias("_r"))
+    m = F.col("_r")
     d = F.coalesce(_day(s(m, "order_date", "payment_date", "created_date")),
                    _day(F.col("window_end").cast("string")))
-    base = raw.select(d.alias("report_date"), s(m, "order_id").alias("order_id"),
-                      F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
-                      explode_list(m["items"]).alias("item"))
-    it = parse_record("item")
+    base = r.select(d.alias("report_date"), s(m, "order_id").alias("order_id"),
+                    F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
+                    explode_list(m["items"]).alias("item"))
+    b = base.select("*", parse_record("item").alias("_i"))
+    it = F.col("_i")
     q = f(it, "quantity")
-    return base.select(
+    return b.select(
         "report_date", "order_id", "shop_no", "mall",
         s(it, "product_no").alias("product_no"),
         s(it, "variant_code").alias("variant_code"),
@@ -87,7 +92,8 @@ def explode_order_items(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 def shape_order_attribution(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """SRC4: order-level first-touch attribution records."""
-    m = parse_record(value_col)
+    raw = raw.select("*", parse_record(value_col).alias("_r"))
+    m = F.col("_r")
     day = F.coalesce(_day(s(m, "order_date")), F.col("day").cast("date"))
     return raw.select(
         day.alias("report_date"), F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
@@ -100,7 +106,8 @@ def shape_order_attribution(raw: DataFrame, value_col: str = "value") -> DataFra
 
 def snapshot_products(raw: DataFrame, snapshot: dt.date, value_col: str = "value") -> DataFrame:
     """SRC5: product master stamped with the snapshot day."""
-    m = parse_record(value_col)
+    raw = raw.select("*", parse_record(value_col).alias("_r"))
+    m = F.col("_r")
     return raw.select(
         F.lit(snapshot).alias("snapshot_date"), F.col("shop_no").cast("bigint").alias("shop_no"),
         "mall", s(m, "product_no").alias("product_no"), s(m, "product_name").alias("product_name"),
@@ -112,7 +119,8 @@ def snapshot_products(raw: DataFrame, snapshot: dt.date, value_col: str = "value
 
 def snapshot_customers(raw: DataFrame, snapshot: dt.date, value_col: str = "value") -> DataFrame:
     """SRC6: member master stamped with the snapshot day (opt-in table)."""
-    m = parse_record(value_col)
+    raw = raw.select("*", parse_record(value_col).alias("_r"))
+    m = F.col("_r")
     return raw.select(
         F.lit(snapshot).alias("snapshot_date"), F.col("shop_no").cast("bigint").alias("shop_no"),
         "mall", s(m, "member_id").alias("member_id"), s(m, "group_no").alias("group_no"),

@@ -137,6 +137,7 @@ def order_items(spark: SparkSession, sf_dir: str, orders_df: DataFrame | None =
                .when((rf == "A") & (ln % 3 == 0), F.lit(None))
                .when(rf == "A", F.lit("N30")).otherwise(F.lit("N40")))
     payload = F.struct(
+        F.col("report_date").cast("string").alias("order_date"),   # from the order side
         status.alias("status_code"),
         F.when(ln != 1, _txt((ln - 1) * 500)).alias("option_price"),
         option_text(ln, sk, pk).alias("option_value"),

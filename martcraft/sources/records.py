@@ -40,10 +40,10 @@ def is_list(text: Column) -> Column:
     return F.ltrim(F.coalesce(text, F.lit(""))).startswith("[")
 
 
-def first_list(rec_text: Column, keys: list[str]) -> Column:
+def first_list(rec_text: Column, keys: list[str], parsed: Column | None = None) -> Column:
     """Reference ``_extract_list``: the response itself if it is a list, else
     the first candidate key holding a list, else the first list value."""
-    rec = parse_record(rec_text)
+    rec = parsed if parsed is not None else parse_record(rec_text)
     cands = [F.when(is_list(rec[k]), rec[k]) for k in keys]
     any_list = F.try_element_at(F.filter(F.map_values(rec), lambda v: is_list(v)), F.lit(1))
     return F.when(is_list(rec_text), rec_text).otherwise(F.coalesce(*cands, any_list))

@@ -68,10 +68,12 @@ def shape_stat(responses: DataFrame, spec: StatSpec, value_col: str = "value") -
 
     ``day`` is the requested day (used when ``per_day``), ``window_end`` the
     fallback date of records without one."""
-    lst = first_list(F.col(value_col), list(spec.keys))
-    recs = responses.select("shop_no", "mall", "day", "window_end",
-                            explode_list(lst).alias("rec_text"))
-    m = parse_record("rec_text")
+    resp = responses.select("shop_no", "mall", "day", "window_end", F.col(value_col).alias("_v"),
+                            parse_record(value_col).alias("_doc"))
+    lst = first_list(F.col("_v"), list(spec.keys), parsed=F.col("_doc"))
+    recs = resp.select("shop_no", "mall", "day", "window_end", explode_list(lst).alias("rec_text"))
+    recs = recs.select("*", parse_record("rec_text").alias("_m"))
+    m = F.col("_m")
     if spec.per_day:
         d = F.col("day").cast("string")
     else:
