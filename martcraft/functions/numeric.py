@@ -21,14 +21,11 @@ def safe_double(col: Column | str) -> Column:
 
 
 def strict_double(col: Column | str) -> Column:
-    """CAST(x AS FLOAT64): NULL stays NULL, bad text fails the job.
-
-    ``assert_true`` raises on a non-numeral whatever the ANSI setting is.
-    """
+    """CAST(x AS FLOAT64): NULL stays NULL, bad text fails the job
+    (``raise_error``), whatever the ANSI setting is."""
     c = _c(col).cast("string")
-    ok = c.isNull() | c.rlike(NUMERIC_TEXT)
-    return F.when(F.assert_true(ok, F.lit("strict cast to double failed")).isNull(),
-                  c.try_cast("double"))
+    bad = c.isNotNull() & ~c.rlike(NUMERIC_TEXT)
+    return F.when(bad, F.raise_error(F.lit("strict cast to double failed"))).otherwise(c.try_cast("double"))
 
 
 def clean_money(col: Column | str) -> Column:

@@ -115,8 +115,9 @@ def shape_kakao_report(rows: DataFrame) -> DataFrame:
     typed rows: date normalised (F9), metrics default 0."""
     from martcraft.functions.dates import normalise_date
     z = lambda c: F.coalesce(safe_double(F.nullif(F.col(c), F.lit(""))), F.lit(0.0))
+    keep = [c for c in rows.columns if c not in ("imp", "click", "cost", "date")]
     return rows.select(
-        "*",
+        *keep,
         normalise_date("start").alias("date"),
         z("imp").cast("bigint").alias("impressions"),
         z("click").cast("bigint").alias("clicks"),

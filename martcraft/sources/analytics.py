@@ -54,8 +54,8 @@ def report_date(col: Column | str, quarantine: bool = False) -> Column:
     if quarantine:
         return F.try_to_date(c, "yyyyMMdd")
     ok = c.rlike(r"^\d{8}$") & F.try_to_date(c, "yyyyMMdd").isNotNull()
-    return F.when(F.assert_true(ok, F.lit("report date is not yyyyMMdd")).isNull(),
-                  F.try_to_date(c, "yyyyMMdd"))
+    return F.when(c.isNotNull() & ~ok, F.raise_error(F.lit("report date is not yyyyMMdd"))) \
+            .otherwise(F.try_to_date(c, "yyyyMMdd"))
 
 
 def _shape(rows: DataFrame, dims: dict, metrics: dict, floats: set, quarantine: bool) -> DataFrame:
