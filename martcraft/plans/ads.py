@@ -17,6 +17,7 @@ from martcraft.functions.classify import keyword_ad_type, sales_channel
 from martcraft.functions.dates import since
 from martcraft.functions.numeric import safe_double, safe_ratio
 from martcraft.operators.union import align_union
+from martcraft.session import reuse
 from martcraft.sources.ads import brand_of, google_cost
 
 UNIFIED_COLUMNS = ["report_date", "mall", "media", "campaign_id", "campaign_name", "landing",
@@ -144,7 +145,9 @@ def ad_unified(meta: DataFrame, naver: DataFrame, g_stats: DataFrame, g_names: D
                        "impressions", "clicks", "cost",
                        F.lit(None).cast("double").alias("conversions"),
                        F.lit(None).cast("double").alias("conversion_value")))
-    api = align_union(meta_p, naver_p, google_p, kakao_p)
+    # Campaign x day rows of the four media: read twice below (covered keys
+    # and output), so computed once; its size is campaigns x days, not events.
+    api = reuse(align_union(meta_p, naver_p, google_p, kakao_p))
     covered = api.select("media", "mall", "report_date").distinct()
     # NULL media/brand never equal anything, so such manual rows stay (anti join).
     manual_p = (manual.filter(since("report_date", as_of, years=years))

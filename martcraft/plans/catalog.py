@@ -289,6 +289,7 @@ QUERIES.update({
 
 # -------------------------------------------------------------------- cost
 from martcraft.plans import cost as CO  # noqa: E402
+from martcraft.session import materialize  # noqa: E402
 
 COST_CONFIG = CO.CostConfig(
     malls=(D.BRAND_A, D.BRAND_B), collab_mall=D.BRAND_B,
@@ -303,7 +304,8 @@ def q_cost_daily(spark, sf):
     o = D.orders(spark, sf)
     items = D.cost_items(spark, sf, D.order_items(spark, sf, current_view(o, o, AS_OF)))
     sheet = D.price_sheet(spark, sf)
-    prices = CO.parse_price_list(sheet, COST_CONFIG)
+    # the price list feeds the group list (its own job) and several joins
+    prices = materialize(CO.parse_price_list(sheet, COST_CONFIG))
     groups = CO.product_groups(prices, COST_CONFIG)
     collab = CO.parse_collab_prices(sheet, COST_CONFIG)
     start = AS_OF - _dt.timedelta(days=COST_DAYS - 1)

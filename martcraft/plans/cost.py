@@ -403,7 +403,6 @@ def cost_daily(options: DataFrame, prices: DataFrame, collab: DataFrame | None,
                cfg: CostConfig, groups: list[str]) -> DataFrame:
     """P14 mart_cost_daily: (report_date, mall, cogs, ship)."""
     options = materialize(options)          # reused by every branch below
-    prices = materialize(prices)
     boxes = box_costs(options, prices, collab, cfg, groups)
     o = options.select("report_date", "mall",
                        F.coalesce(F.col("product_name"), F.lit("")).alias("pn"),

@@ -20,6 +20,7 @@ from martcraft.functions.dates import lag_days, since
 from martcraft.functions.json import ITEM_JSON, parse
 from martcraft.functions.numeric import safe_double
 from martcraft.functions.privacy import digits_only
+from martcraft.session import reuse
 
 # Send channels and consent notes of the audience file.
 CHANNEL_MEMBER = "알림톡"
@@ -101,6 +102,9 @@ def segment(orders: DataFrame, items: DataFrame, spec: AudienceSpec, as_of: dt.d
          .groupBy("mall", "shop_no", "member_id", "order_id", "report_date", "payment_amount")
          .agg(F.max(F.when(F.col("coupon") > 0, 1).otherwise(0)).alias("used_coupon"),
               F.max("product_name").alias("a_product")))
+    # One row per matching order in the window; members, their top products
+    # and guests all read it, so it is computed once.
+    a = reuse(a)
     is_member = F.col("member_id").isNotNull() & (F.col("member_id") != "")
     mem = a.filter(is_member)
     b_cond = product_predicate(spec.exclude_nos, spec.exclude_kw)

@@ -63,9 +63,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage of a small intermediate that several branches reuse:
-    a reliable checkpoint into the shared checkpoint folder (never a
-    machine-local one), so lost executors re-read it instead of
-    recomputing the upstream joins."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage of a small intermediate that several branches reuse.
+
+    The rows are written once as parquet into the shared checkpoint folder
+    (``spark.checkpoint.dir``, never a machine-local path on a cluster) and
+    read back: one computation, columnar I/O, and lost executors re-read
+    the files instead of recomputing the upstream joins.  (RDD-style
+    ``checkpoint()`` computes the plan twice unless cached, so it is not
+    used here.)"""
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "materialized", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def reuse(df):
+    """Share one computation between the branches of a single query.
+
+    ``persist(MEMORY_AND_DISK)`` is lazy: the first stage that reaches it
+    fills the cache (spilling to disk if needed), later stages read it.  A
+    lost executor's blocks are recomputed from lineage.  Used for small
+    intermediates consumed twice inside one job; intermediates consumed by
+    separate jobs go through :func:`materialize`."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
