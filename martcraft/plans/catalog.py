@@ -326,3 +326,12 @@ QUERIES.update({
     "src19_price_list": q_price_list,
     "src20_collab_prices": q_collab_prices,
 })
+
+
+def q_campaign_attribution(spark, sf):
+    att = SC.shape_order_attribution(D.raw_attribution(spark, sf))
+    ga = GA.shape_sessions(D.raw_ga4_sessions(spark, sf))
+    return design.campaign_attribution(_ad_unified(spark, sf), ga, att, D.orders(spark, sf), AS_OF)
+
+
+QUERIES["d5_campaign_attribution"] = q_campaign_attribution

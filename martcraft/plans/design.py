@@ -98,3 +98,30 @@ def restatement_convergence(snapshots: DataFrame) -> DataFrame:
         (F.col("spend") - F.lag("spend").over(w)).alias("spend_change"),
         (F.col("purchases") - F.lag("purchases").over(w)).alias("purchases_change"),
         F.row_number().over(w).alias("snapshot_seq"))
+
+
+def campaign_attribution(ad_unified: DataFrame, sessions: DataFrame, attribution: DataFrame,
+                         orders: DataFrame, as_of: dt.date, years: int = 2) -> DataFrame:
+    """Per day x brand x campaign name, ad cost (all media), web sessions
+    and the orders whose first touch was that campaign.  The three sides are
+    aggregated to the same grain before the full joins, so nothing fans out;
+    attributed orders are matched to the order table by order id."""
+    lo = F.add_months(F.lit(as_of), -12 * years)
+    ads = (ad_unified.filter((F.col("report_date") >= lo) & F.col("campaign_name").isNotNull())
+           .groupBy("report_date", "mall", F.col("campaign_name").alias("campaign"))
+           .agg(F.sum("cost").alias("ad_cost"), F.sum("clicks").alias("ad_clicks")))
+    ga = (sessions.filter(F.col("date") >= lo)
+          .groupBy(F.col("date").alias("report_date"), F.col("brand").alias("mall"),
+                   F.col("session_campaign_name").alias("campaign"))
+          .agg(F.sum("sessions").alias("sessions"), F.sum("ecommerce_purchases").alias("ga_purchases")))
+    att = (attribution.filter((F.col("report_date") >= lo) & F.col("campaign").isNotNull())
+           .select("report_date", "mall", "campaign", "order_id")
+           .join(orders.select("order_id", "mall", "payment_amount"), ["order_id", "mall"], "left")
+           .groupBy("report_date", "mall", "campaign")
+           .agg(F.count_distinct("order_id").alias("attributed_orders"),
+                F.sum("payment_amount").alias("attributed_revenue")))
+    keys = ["report_date", "mall", "campaign"]
+    j = ads.join(ga, keys, "full").join(att, keys, "full")
+    return j.select(*keys, "ad_cost", "ad_clicks", "sessions", "ga_purchases", "attributed_orders",
+                    "attributed_revenue",
+                    safe_ratio(F.col("attributed_revenue"), F.col("ad_cost")).alias("roas_attributed"))

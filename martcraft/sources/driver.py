@@ -604,7 +604,7 @@ def raw_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (k % 4 + 1).cast("int")).alias("ad"),
         F.concat(F.lit("kw"), (k % 13).cast("string")).alias("keyword"),
         F.when(k % 2 == 0, F.lit("cpc")).otherwise(F.lit("organic")).alias("medium"),
-        F.concat(F.lit("camp"), (k % 6).cast("string")).alias("campaign"),
+        F.concat(F.lit("meta campaign "), (k % 10).cast("string")).alias("campaign"),
         F.lit(None).cast("string").alias("content"),
         F.element_at(F.array(*[F.lit(x) for x in PAY_METHODS]),
                      (F.col("o_custkey") % 5 + 1).cast("int")).alias("payment_method"),
@@ -640,7 +640,7 @@ def raw_ga4_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("b") == 0, F.lit("P-A")).otherwise(F.lit("P-B")).alias("property_id"),
         F.date_format("report_date", "yyyyMMdd").alias("date"),
         F.col("event_type").alias("sessionSource"), F.lit("cpc").alias("sessionMedium"),
-        F.concat(F.lit("c"), camp).alias("sessionCampaignName"),
+        F.concat(F.lit("meta campaign "), camp).alias("sessionCampaignName"),
         F.concat(F.lit("mc"), camp).alias("sessionManualCampaignName"),
         F.lit("(not set)").alias("sessionManualTerm"), F.lit("(not set)").alias("sessionManualAdContent"),
         F.lit("Paid Search").alias("sessionDefaultChannelGroup"),
