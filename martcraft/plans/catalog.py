@@ -335,3 +335,31 @@ def q_campaign_attribution(spark, sf):
 
 
 QUERIES["d5_campaign_attribution"] = q_campaign_attribution
+
+
+# --------------------------------------------------------------- streaming
+import uuid as _uuid  # noqa: E402
+
+from martcraft.session import scratch_path  # noqa: E402
+from martcraft.streaming import intraday  # noqa: E402
+
+RELOAD_DAYS = 7
+
+
+def q_intraday_reload(spark, sf):
+    """MB1 + MB2: the order export is a streaming file source; each run
+    processes what arrived (availableNow), keeps the last RELOAD_DAYS days
+    and overwrites exactly those date partitions (idempotent re-runs)."""
+    root = scratch_path(spark, f"intraday-{_uuid.uuid4().hex}")
+    schema = D.table(spark, sf, "orders").schema
+
+    def shape(batch):
+        return intraday.lookback_filter(D.orders_from(batch), AS_OF, RELOAD_DAYS)
+
+    intraday.intraday_refresh(spark, f"{sf.rstrip('/')}/orders*.parquet", schema, "parquet", shape,
+                              f"{root}/orders", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/orders").select(
+        "report_date", "order_id", "mall", "member_id", "payment_amount")
+
+
+QUERIES["mb1_intraday_reload"] = q_intraday_reload

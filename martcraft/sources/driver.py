@@ -77,7 +77,11 @@ def _amounts(k, c, tp, pr, actual: bool, canceled) -> Column:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed commerce orders (FIXTURES orders schema)."""
-    o = table(spark, sf_dir, "orders")
+    return orders_from(table(spark, sf_dir, "orders"))
+
+
+def orders_from(o: DataFrame) -> DataFrame:
+    """Shape raw benchmark order rows (batch or micro-batch) as landed orders."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     tp = F.floor("o_totalprice")
     pr = F.substring("o_orderpriority", 1, 1)
