@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martcraft.functions.privacy import phone_hash, strip_personal
-from martcraft.sources.records import explode_list, f, parse_record, s
+from martcraft.sources.records import f, parse_record, s
 
 
 def resolve_shops(shop_no: Column, shop_name: Column, rules: list[tuple[list[str], str]]) -> Column:
@@ -30,20 +30,27 @@ def _day(text: Column) -> Column:
     return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
+_ORDER_KEYS = ["order_id", "order_date", "payment_date", "created_date", "member_id", "order_status",
+               "status", "payment_amount", "actual_payment_amount", "order_price_amount",
+               "order_amount", "currency"]
+_ORDER_SCHEMA = ", ".join(f"`{k}` string" for k in _ORDER_KEYS) + \
+    ", `buyer` map<string,string>, `receivers` array<map<string,string>>"
+_ITEMS_SCHEMA = "`order_id` string, `order_date` string, `payment_date` string, " \
+                "`created_date` string, `items` array<string>"
+
+
 def shape_orders(raw: DataFrame, secret: str, value_col: str = "value") -> DataFrame:
     """SRC1: one order JSON per row (+ shop_no, mall, window_end columns) ->
     the orders table.  report_date = first 10 characters of the first
     non-empty of order/payment/created date, else the window end (a split
     window end may be a datetime, so it is truncated to a date too).
 
-    Each JSON text is parsed once, in its own projection, and every field is
-    read from the parsed map."""
+    Each JSON text is parsed once, into a struct of only the keys read here
+    (JSON scalars as text), in its own projection."""
     r = raw.select("shop_no", "mall", "window_end", F.col(value_col).alias("_v"),
-                   parse_record(value_col).alias("_r"))
+                   F.from_json(F.col(value_col), _ORDER_SCHEMA).alias("_r"))
     m = F.col("_r")
-    r = r.select("*", F.from_json(m["buyer"], "map<string,string>").alias("_b"),
-                 F.try_element_at(F.from_json(m["receivers"], "array<map<string,string>>"), F.lit(1))
-                 .alias("_rc"))
+    rc = F.try_element_at(m["receivers"], F.lit(1))
     d = F.coalesce(_day(s(m, "order_date", "payment_date", "created_date")),
                    _day(F.col("window_end").cast("string")))
     return r.select(
@@ -51,8 +58,8 @@ def shape_orders(raw: DataFrame, secret: str, value_col: str = "value") -> DataF
         s(m, "order_id").alias("order_id"),
         F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
         s(m, "member_id").alias("member_id"),
-        phone_hash(F.col("_b")["cellphone"], F.col("_b")["phone"], F.col("_rc")["cellphone"],
-                   F.col("_rc")["phone"], secret).alias("buyer_hash"),
+        phone_hash(m["buyer"]["cellphone"], m["buyer"]["phone"], rc["cellphone"], rc["phone"],
+                   secret).alias("buyer_hash"),
         s(m, "order_status", "status").alias("order_status"),
         f(m, "payment_amount", "actual_payment_amount").alias("payment_amount"),
         f(m, "order_price_amount", "order_amount").alias("order_amount"),
@@ -67,13 +74,14 @@ def explode_order_items(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """SRC2: ``items[]`` -> one row per line (non-outer: an order without
     items yields none); quantity = int(float or 0), price = first non-empty
     of product_price, payment_amount."""
-    r = raw.select("shop_no", "mall", "window_end", parse_record(value_col).alias("_r"))
+    r = raw.select("shop_no", "mall", "window_end",
+                   F.from_json(F.col(value_col), _ITEMS_SCHEMA).alias("_r"))
     m = F.col("_r")
     d = F.coalesce(_day(s(m, "order_date", "payment_date", "created_date")),
                    _day(F.col("window_end").cast("string")))
     base = r.select(d.alias("report_date"), s(m, "order_id").alias("order_id"),
                     F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
-                    explode_list(m["items"]).alias("item"))
+                    F.explode(m["items"]).alias("item"))
     b = base.select("*", parse_record("item").alias("_i"))
     it = F.col("_i")
     q = f(it, "quantity")

@@ -21,7 +21,8 @@ def parse_record(col: Column | str) -> Column:
 
 
 def s(rec: Column, *keys: str) -> Column:
-    """First key whose value is not NULL/empty, as text (reference ``_s``)."""
+    """First key whose value is not NULL/empty, as text (reference ``_s``).
+    ``rec`` may be a parsed map or a struct of string fields."""
     return first_nonempty(*[rec[k] for k in keys])
 
 
