@@ -84,8 +84,10 @@ def segment(orders: DataFrame, items: DataFrame, spec: AudienceSpec, as_of: dt.d
     """Members (aggregated) and optionally guests (per order) who bought the
     products; columns customer_type, mall, shop_no, ref, last_order_date,
     days_since, order_count, spend, used_coupon, products."""
-    j = parse("raw_json", ITEM_JSON)
+    j = F.col("_j")
     it = items.select("order_id", "mall", "product_no", "product_name",
+                      parse("raw_json", ITEM_JSON).alias("_j")).select(
+                      "order_id", "mall", "product_no", "product_name",
                       j["option_value"].alias("option_value"),
                       F.coalesce(safe_double(j["coupon_discount_price"]), F.lit(0.0)).alias("coupon"))
     o = orders.filter(since("report_date", as_of, days=spec.days)).select(
