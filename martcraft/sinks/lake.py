@@ -272,3 +272,32 @@ def export_csv(df: DataFrame, path: str, columns: list[str], parts: int = 1) ->
     out = out.withColumnRenamed(columns[0], BOM + columns[0])
     out.coalesce(parts).write.mode("overwrite").option("header", True) \
         .option("encoding", "UTF-8").csv(path)
+
+
+# The fourteen final/intraday table pairs served as *_current views.
+CURRENT_TABLES = ["sales_daily", "product_sales", "traffic", "traffic_keyword", "members", "orders",
+                  "order_items", "order_attribution", "ad_sales", "adkeyword_sales", "keyword_sales",
+                  "domain_sales", "ad_effect", "sales_pervisitor"]
+
+
+def register_current_views(spark: SparkSession, pairs: dict, as_of: dt.date,
+                           date_col: str = "report_date") -> list[str]:
+    """``<name>_current`` = closed days of the final table + the business
+    day of its intraday twin, for every (final, intraday) pair given."""
+    from martcraft.operators.union import current_view
+    done = []
+    for name, (final, intraday) in pairs.items():
+        current_view(final, intraday, as_of, date_col).createOrReplaceTempView(f"{name}_current")
+        done.append(f"{name}_current")
+    return done
+
+
+def register_brand_views(spark: SparkSession, tables: dict, brands: list[str],
+                         mall_col: str = "mall") -> list[str]:
+    """PRJ16 (opt-in): one filtered view per table and brand, ``<table>_<brand>``."""
+    done = []
+    for name, df in tables.items():
+        for b in brands:
+            df.filter(F.col(mall_col) == b).createOrReplaceTempView(f"{name}_{b}")
+            done.append(f"{name}_{b}")
+    return done

@@ -69,3 +69,24 @@ def test_api_and_manual_days_disjoint(spark):
     api = df.filter(~manual).select("media", "mall", "report_date").distinct()
     assert df.filter(manual).join(api, ["media", "mall", "report_date"], "left_semi").count() == 0
     assert df.filter(manual).count() > 0
+
+
+def test_refresh_writes_marts_in_dependency_order(spark, tmp_path):
+    from martcraft.plans import refresh
+    out = str(tmp_path / "lake")
+    rep = registry.run_all(refresh.build_jobs(spark, SMALL, out), dt.date(2001, 8, 1))
+    assert rep.ok[0] == "land" and rep.ok.index("mart_brand_kpi") > rep.ok.index("mart_media_daily")
+    kpi = spark.read.parquet(out + "/mart_brand_kpi")
+    expected = E.queries()["p12_brand_kpi"](spark, SMALL)
+    assert kpi.count() == expected.count()
+    assert sorted(kpi.columns) == sorted(expected.columns)
+
+
+def test_current_and_brand_views(spark):
+    from martcraft.sinks import lake
+    o = E.queries()["p1_orders_status"](spark, SMALL)
+    assert lake.register_current_views(spark, {"orders": (o, o)}, dt.date(2001, 8, 1)) == ["orders_current"]
+    assert spark.table("orders_current").count() == o.count()
+    views = lake.register_brand_views(spark, {"orders": o}, ["brand_a", "brand_b"])
+    assert views == ["orders_brand_a", "orders_brand_b"]
+    assert spark.table("orders_brand_a").count() + spark.table("orders_brand_b").count() == o.count()
