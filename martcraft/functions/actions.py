@@ -1,4 +1,8 @@
-"""Ad action arrays (F2, F12, AG12).
+"""Ad action arrays (F2, F12, JN10, ST2, AG12).
+
+The source expresses the pick as a join of the unnested array with the
+unnested priority list ordered by priority, LIMIT 1 (JN10 + ST2); here it is
+the same result without a join or explode.
 
 An ad row carries ``actions`` / ``action_values`` as JSON arrays of
 ``{action_type, value, 1d_click, 7d_click, 1d_view, 1d_ev}``.  The priority

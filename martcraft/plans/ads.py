@@ -148,12 +148,13 @@ def ad_unified(meta: DataFrame, naver: DataFrame, g_stats: DataFrame, g_names: D
     # Campaign x day rows of the four media: read twice below (covered keys
     # and output), so computed once; its size is campaigns x days, not events.
     api = reuse(align_union(meta_p, naver_p, google_p, kakao_p))
-    covered = api.select("media", "mall", "report_date").distinct()
+    covered = api.select("media", "mall", "report_date").distinct()          # AG10
     # NULL media/brand never equal anything, so such manual rows stay (anti join).
     manual_p = (manual.filter(since("report_date", as_of, years=years))
                 .select(*UNIFIED_COLUMNS)
                 .join(covered, ["media", "mall", "report_date"], "left_anti"))
     allrows = align_union(api, manual_p.select(*UNIFIED_COLUMNS))
+    # PRJ17: all columns plus the computed sales channel
     return allrows.withColumn("sales_channel", sales_channel("landing", "mall"))
 
 
@@ -206,7 +207,7 @@ def keyword_unified(naver: DataFrame, history: DataFrame) -> DataFrame:
         F.col("conversions").cast("double").alias("conversions"),
         "conversion_value",
         F.lit("api").alias("source"))
-    days = api.select("report_date", "mall").distinct()
+    days = api.select("report_date", "mall").distinct()                      # AG10
     raw = (history.join(days, ["report_date", "mall"], "left_anti")
            .select("report_date", "mall", "ad_type", "landing", "campaign", "adgroup", "keyword",
                    "device", "impressions", "clicks", "cost",
