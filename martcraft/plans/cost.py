@@ -179,40 +179,56 @@ def group_of(product_name: Column, groups: list[str]) -> Column:
 
 
 # ---------------------------------------------------------- option grammar
+# Option-text rewrite rules, applied in this order.  "WS" is the
+# JavaScript whitespace class above; Java regex syntax.
+OPTION_PRE_RULES = [
+    (r"\[[^\]]*\]", " "),                                   # [tag]
+    (f"\\({WS}*개당[^)]*\\)", " "),                            # (per-unit price)
+    (f"\\({WS}*[+~][^)]*\\)", " "),                            # (+extra) (~range)
+    (f"(?i)\\({WS}*[^)]*(?:원|%|off)[^)]*\\)", " "),            # (price / percent / off)
+    (f"\\d[\\d,]*{WS}*원{WS}*[대!~]?", " "),                     # 12,000원
+    (f"(?i)~?{WS}*\\d+{WS}*%{WS}*off", " "),                      # 10% off
+    (f"맛{WS}*선택{WS}*[①②③④⑤⑥⑦⑧⑨0-9]*{WS}*[:：]?", "/"),          # "flavour choice N:" -> piece break
+    (f"{PACK}{WS}*수{WS}*[:：]", " "),                              # "pack count:"
+    ("[⭐️🔥✨]", " "),                                           # emoji
+]
+FLAVOUR_RULES = [
+    (r"\([^)]*\)", " "),
+    (r"[\[\]()*]", " "),
+    ("[①②③④⑤⑥⑦⑧⑨]", " "),
+    ("(?i)(" + "|".join(OPTION_LABELS) + ")", " "),
+    (f"\\d+{WS}*{PACK}", " "),
+    (PACK, " "),
+    (f"(?i)\\d+\\.\\d+{WS}*(ml|l)?", " "),
+    (f"(?i)\\d+{WS}*(?:(?:ml|l){NOT_WORD_NEXT}|종{WORD_NEXT})", " "),   # units at an ASCII word end
+    (ZERO_WORD, ""),
+    (r"[:：,·\-!?/]", " "),
+    (r"\d+", " "),
+]
+PIECE_COUNT_PATTERNS = [f"\\((\\d+){WS}*{PACK}\\)", f"(\\d+){WS}*{PACK}", f"(\\d+){WS}*$",
+                        r"\((\d+)\)", r"(\d+)"]
+
+
+def _apply(c: Column, rules) -> Column:
+    for pattern, repl in rules:
+        c = _rx(c, pattern, repl)
+    return c
+
+
 def option_pre(on: Column) -> Column:
-    t = _rx(on, r"\[[^\]]*\]")
-    t = _rx(t, f"\\({WS}*개당[^)]*\\)")
-    t = _rx(t, f"\\({WS}*[+~][^)]*\\)")
-    t = _rx(t, f"(?i)\\({WS}*[^)]*(?:원|%|off)[^)]*\\)")
-    t = _rx(t, f"\\d[\\d,]*{WS}*원{WS}*[대!~]?")
-    t = _rx(t, f"(?i)~?{WS}*\\d+{WS}*%{WS}*off")
-    t = _rx(t, f"맛{WS}*선택{WS}*[①②③④⑤⑥⑦⑧⑨0-9]*{WS}*[:：]?", "/")
-    t = _rx(t, f"{PACK}{WS}*수{WS}*[:：]")
-    t = _rx(t, "[⭐️🔥✨]")
-    return t
+    return _apply(on, OPTION_PRE_RULES)
 
 
 def clean_flavour(p: Column, groups: list[str]) -> Column:
-    f = _rx(p, r"\([^)]*\)")
-    f = _rx(f, r"[\[\]()*]")
-    f = _rx(f, "[①②③④⑤⑥⑦⑧⑨]")
-    f = _rx(f, "(?i)(" + "|".join(OPTION_LABELS) + ")")
-    f = _rx(f, f"\\d+{WS}*{PACK}")
-    f = _rx(f, PACK)
-    f = _rx(f, f"(?i)\\d+\\.\\d+{WS}*(ml|l)?")
-    f = _rx(f, f"(?i)\\d+{WS}*(?:(?:ml|l){NOT_WORD_NEXT}|종{WORD_NEXT})")
-    f = _rx(f, ZERO_WORD, "")
-    f = _rx(f, r"[:：,·\-!?/]")
-    f = _rx(f, r"\d+")
-    f = _rx(js_trim(f), f"{WS}+", "")
-    for g in groups:
+    f = _rx(js_trim(_apply(p, FLAVOUR_RULES)), f"{WS}+", "")
+    for g in groups:                      # group names removed, longest first
         f = F.replace(f, F.lit(g), F.lit(""))
     return f
 
 
 def piece_count(p: Column) -> Column:
-    pats = [f"\\((\\d+){WS}*{PACK}\\)", f"(\\d+){WS}*{PACK}", f"(\\d+){WS}*$", r"\((\d+)\)", r"(\d+)"]
-    return F.coalesce(*[F.nullif(F.regexp_extract(p, q, 1), F.lit("")) for q in pats]).cast("bigint")
+    return F.coalesce(*[F.nullif(F.regexp_extract(p, q, 1), F.lit("")) for q in PIECE_COUNT_PATTERNS]) \
+        .cast("bigint")
 
 
 def pieces(pn: Column, on: Column, groups: list[str]) -> Column:
