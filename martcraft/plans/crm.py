@@ -117,14 +117,7 @@ def segment(orders: DataFrame, items: DataFrame, spec: AudienceSpec, as_of: dt.d
         b = (ob.filter(is_member).join(it.filter(b_cond), ["order_id", "mall"])
              .select("mall", "member_id").distinct())
         mem = mem.join(b, ["mall", "member_id"], "left_anti")
-    top = (mem.select("mall", "member_id", "a_product").filter(F.col("a_product").isNotNull())
-           .distinct()
-           .withColumn("rn", F.row_number().over(
-               Window.partitionBy("mall", "member_id").orderBy("a_product")))
-           .filter(F.col("rn") <= 3)
-           .groupBy("mall", "member_id")
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "a_product"))),
-                                         lambda s: s["a_product"]), ",").alias("products")))
+    top = top_products(mem)
     members = (mem.groupBy("mall", "member_id").agg(
                    F.max("shop_no").alias("shop_no"),
                    F.max("report_date").alias("last_order_date"),
@@ -150,6 +143,21 @@ def segment(orders: DataFrame, items: DataFrame, spec: AudienceSpec, as_of: dt.d
     return out
 
 
+def top_products(mem: DataFrame, k: int = 3) -> DataFrame:
+    """AG8 / ST3: the k smallest distinct product names per member, joined by
+    ','.  ``row_number() <= k`` lets Spark keep at most k rows per member in
+    each task before the shuffle (map-side WindowGroupLimit), so the list is
+    bounded whatever a member's history size."""
+    return (mem.select("mall", "member_id", "a_product").filter(F.col("a_product").isNotNull())
+            .distinct()
+            .withColumn("rn", F.row_number().over(
+                Window.partitionBy("mall", "member_id").orderBy("a_product")))
+            .filter(F.col("rn") <= k)
+            .groupBy("mall", "member_id")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "a_product"))),
+                                          lambda s: s["a_product"]), ",").alias("products")))
+
+
 def suppression_list(sheet: DataFrame) -> DataFrame:
     """SRC18: trim, drop empty, digits only, first occurrence (sheet order) wins.
 
