@@ -7,13 +7,23 @@ for the fixed business date ``driver.AS_OF``.  Nothing is collected.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martcraft.operators.union import current_view
-from martcraft.plans import commerce
+from martcraft.plans import ads, commerce, crm, design, quality
+from martcraft.plans import cost as CO
+from martcraft.session import materialize, scratch_path
+from martcraft.sources import analytics as GA
+from martcraft.sources import commerce as SC
 from martcraft.sources import driver as D
+from martcraft.sources.ads import shape_meta_hourly, shape_search_ads, with_web_purchase
+from martcraft.sources.statistics import SPECS, shape_stat
+from martcraft.streaming import intraday
 
 AS_OF = D.AS_OF
 
@@ -57,9 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 # --------------------------------------------------------------------- ads
-from martcraft.plans import ads  # noqa: E402
-from martcraft.sources.ads import shape_meta_hourly, with_web_purchase  # noqa: E402
-
 
 def _ad_unified(spark, sf):
     ev = D.events(spark, sf)
@@ -120,7 +127,6 @@ QUERIES.update({
 
 
 # --------------------------------------------------------------------- CRM
-from martcraft.plans import crm  # noqa: E402
 
 CRM_SPEC = crm.AudienceSpec(product_kw="widget", option_exclude="24", exclude_kw="anvil",
                             days=365, include_guest=True, member_consent=True, channel="all")
@@ -154,12 +160,6 @@ QUERIES.update({
 
 
 # ----------------------------------------------------------------- sources
-from pyspark.sql import functions as F  # noqa: E402
-
-from martcraft.sources import analytics as GA  # noqa: E402
-from martcraft.sources import commerce as SC  # noqa: E402
-from martcraft.sources.ads import shape_search_ads  # noqa: E402
-from martcraft.sources.statistics import SPECS, shape_stat  # noqa: E402
 
 # A run-time secret for the keyed phone hash; tests and the catalog use a
 # throw-away value (real runs pass their own).
@@ -220,10 +220,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------- quality, views, design
-import datetime as _dt  # noqa: E402
-
-from martcraft.plans import design, quality  # noqa: E402
-
 
 def q_orders_current(spark, sf):
     """SO2 + SO3: closed days from the final table, the business day from an
@@ -288,8 +284,6 @@ QUERIES.update({
 
 
 # -------------------------------------------------------------------- cost
-from martcraft.plans import cost as CO  # noqa: E402
-from martcraft.session import materialize  # noqa: E402
 
 COST_CONFIG = CO.CostConfig(
     malls=(D.BRAND_A, D.BRAND_B), collab_mall=D.BRAND_B,
@@ -338,10 +332,6 @@ QUERIES["d5_campaign_attribution"] = q_campaign_attribution
 
 
 # --------------------------------------------------------------- streaming
-import uuid as _uuid  # noqa: E402
-
-from martcraft.session import scratch_path  # noqa: E402
-from martcraft.streaming import intraday  # noqa: E402
 
 RELOAD_DAYS = 7
 
