@@ -514,8 +514,11 @@ def shop_mall(shop_no: Column) -> Column:
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order API records as landed JSON (one per row) with shop and window.
 
-    Items are nested per order (an order has a handful of lines), built with
-    one aggregation keyed by the order.
+    Items are nested per order, as the order API returns them: one
+    aggregation keyed by the order collects that order's lines (1 to 7 per
+    order in this data).  The group is one order document, so its size is
+    bounded by the lines of a single order, not by any hot customer, shop or
+    day.
     """
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
