@@ -177,15 +177,15 @@ def brand_kpi(media: DataFrame, sales: DataFrame, ga: DataFrame, as_of: dt.date,
     joins.  All three inputs are already aggregated to (day, brand)."""
     spend = media.groupBy("report_date", "mall").agg(
         F.sum("spend").alias("ad_spend"), F.sum("media_revenue").alias("media_reported_revenue"))
-    s = sales.select("report_date", "mall", F.col("revenue").alias("cafe24_revenue"), "orders")
+    s = sales.select("report_date", "mall", F.col("revenue").alias("store_revenue"), "orders")
     g = (ga.filter(since("date", as_of, years=ga_years))
          .groupBy(F.col("date").alias("report_date"), F.col("brand").alias("mall"))
          .agg(F.sum("sessions").alias("sessions"), F.sum("total_users").alias("users")))
     j = spend.join(s, ["report_date", "mall"], "full").join(g, ["report_date", "mall"], "full")
     return j.select(
-        "report_date", "mall", "ad_spend", "media_reported_revenue", "cafe24_revenue", "orders",
+        "report_date", "mall", "ad_spend", "media_reported_revenue", "store_revenue", "orders",
         "sessions", "users",
-        safe_ratio(F.col("cafe24_revenue"), F.col("ad_spend")).alias("roas_real"),
+        safe_ratio(F.col("store_revenue"), F.col("ad_spend")).alias("roas_real"),
         safe_ratio(F.col("ad_spend"), F.nullif(F.col("orders"), F.lit(0))).alias("cac_per_order"),
     )
 

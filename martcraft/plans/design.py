@@ -16,12 +16,12 @@ ROLE_VIEWS = {
                                           "impressions", "clicks", "ctr", "conversions",
                                           "media_revenue", "roas_media"]),
     "v_mkt_brand_kpi": ("brand_kpi", ["report_date", "mall", "ad_spend", "media_reported_revenue",
-                                      "cafe24_revenue", "orders", "sessions", "users", "roas_real",
+                                      "store_revenue", "orders", "sessions", "users", "roas_real",
                                       "cac_per_order"]),
     "v_md_product_sales": ("product_sales", ["report_date", "mall", "product_no", "product_name", "qty",
                                              "gross_sales", "net_sales", "order_count"]),
     "v_md_sales_daily": ("sales_daily", ["report_date", "mall", "orders", "revenue", "aov"]),
-    "v_fin_brand_kpi": ("brand_kpi", ["report_date", "mall", "ad_spend", "cafe24_revenue", "orders",
+    "v_fin_brand_kpi": ("brand_kpi", ["report_date", "mall", "ad_spend", "store_revenue", "orders",
                                       "roas_real", "cac_per_order"]),
     "v_fin_sales_daily": ("sales_daily", ["report_date", "mall", "orders", "revenue", "net_sales",
                                           "aov", "member_buyers"]),
@@ -42,9 +42,9 @@ def exec_weekly_kpi(brand_kpi: DataFrame) -> DataFrame:
     s = F.sum
     return brand_kpi.groupBy(F.date_trunc("week", "report_date").cast("date").alias("week_start"),
                              "mall").agg(
-        s("ad_spend").alias("ad_spend"), s("cafe24_revenue").alias("revenue"),
+        s("ad_spend").alias("ad_spend"), s("store_revenue").alias("revenue"),
         s("orders").alias("orders"), s("sessions").alias("sessions"),
-        safe_ratio(s("cafe24_revenue"), s("ad_spend")).alias("roas_real"),
+        safe_ratio(s("store_revenue"), s("ad_spend")).alias("roas_real"),
         safe_ratio(s("ad_spend"), F.nullif(s("orders"), F.lit(0))).alias("cac_per_order"))
 
 
