@@ -10,6 +10,7 @@ replayed batch rewrites the same partitions with the same rows.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 from collections.abc import Callable
 
@@ -25,8 +26,10 @@ def load_span(as_of: dt.date, *, days: int | None = None, since: dt.date | None
               until: dt.date | None = None, months: int | None = None,
               end_yesterday: bool = False) -> tuple[dt.date, dt.date]:
     """Load window: explicit since/until, the last N days, or the last N
-    months minus 5 days.  Search/meta loads end today, analytics/display/cost
-    loads end yesterday (``end_yesterday``)."""
+    months shortened by a 5-day safety buffer (start = the same day N months
+    earlier, clamped to that month's end, plus 5 days).  Search/meta loads
+    end today, analytics/display/cost loads end yesterday
+    (``end_yesterday``)."""
     end = until or (as_of - dt.timedelta(days=1) if end_yesterday else as_of)
     if since:
         return since, end
@@ -34,7 +37,7 @@ def load_span(as_of: dt.date, *, days: int | None = None, since: dt.date | None
         y, m = end.year, end.month - months
         while m <= 0:
             y, m = y - 1, m + 12
-        start = dt.date(y, m, min(end.day, 28)) - dt.timedelta(days=5)
+        start = dt.date(y, m, min(end.day, calendar.monthrange(y, m)[1])) + dt.timedelta(days=5)
         return start, end
     n = days or 1
     return end - dt.timedelta(days=n - 1), end

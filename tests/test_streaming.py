@@ -30,7 +30,8 @@ def test_load_span():
     assert I.load_span(a, days=7) == (D(2024, 3, 4), a)
     assert I.load_span(a, days=3, end_yesterday=True) == (D(2024, 3, 7), D(2024, 3, 9))
     assert I.load_span(a, since=D(2024, 1, 1)) == (D(2024, 1, 1), a)
-    assert I.load_span(a, months=2) == (D(2024, 1, 5), a)
+    assert I.load_span(a, months=2) == (D(2024, 1, 15), a)
+    assert I.load_span(D(2024, 3, 31), months=1) == (D(2024, 3, 5), D(2024, 3, 31))   # Feb 29 + 5
 
 
 def test_intraday_stream_is_incremental_and_idempotent(spark, tmp_path):
