@@ -14,10 +14,11 @@ def _plan(spark, name):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_pair_enumerating_joins(spark, name):
+def test_no_pair_enumerating_joins_and_no_python_udfs(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 @pytest.mark.parametrize("name", ["p4_repurchase_daily", "p13_crm_audience"])
