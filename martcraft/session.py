@@ -40,22 +40,27 @@ def build_session(app: str = "martcraft", master: str | None = None,
     return spark
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staged writes.
+    """Shared folder for written intermediates and staged writes.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is read from the session and never overridden.  Only when it is
-    unset (local tests) a private scratch folder is created and recorded.
+    reach; it is read from the session and never changed.  Where it is unset,
+    a single-process session (``local[...]``, as in tests) gets a private
+    folder; any other master is an error, because a driver-local folder would
+    be invisible to the executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="martcraft-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    # The SparkContext appends a random sub-folder; return the root we own.
-    return d
+    if d:
+        return d
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+    if sc.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="martcraft-ckpt-")
+    return _LOCAL_SCRATCH[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
