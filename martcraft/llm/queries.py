@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martcraft.llm import op3_packing, op4_sentencepiece
+from martcraft.llm import op2_minhash, op3_packing, op4_sentencepiece
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op3_packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -24,6 +28,7 @@ def op4_sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minhash": op2_minhash_query,
     "op3_packing": op3_packing_query,
     "op4_sentencepiece": op4_sentencepiece_query,
 }
