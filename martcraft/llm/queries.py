@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martcraft.llm import op2_minhash, op3_packing, op4_sentencepiece
+from martcraft.llm import op2_minhash, op3_packing, op4_sentencepiece, op5_suffix
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -27,10 +27,15 @@ def op4_sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_sentencepiece.encode_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op5_suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_suffix.digest(table(spark, sf_dir, "documents"), min_len=200)
+
+
 QUERIES = {
     "op2_minhash": op2_minhash_query,
     "op3_packing": op3_packing_query,
     "op4_sentencepiece": op4_sentencepiece_query,
+    "op5_suffix": op5_suffix_query,
 }
 
 ORACLES: dict[str, str] = {}
