@@ -57,30 +57,40 @@ def pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
     yield data[at:] if at else data
 
 
-def _hash_buffer(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of the buffer; first word index of each offset."""
+def _hash_buffer(data: bytes, offsets: np.ndarray, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the buffer; first word index of each offset.
+
+    With ``heads``, a column more for each: the hash of the word's first so many bytes."""
+    none = np.zeros((0, 1 + len(heads)), U64) if heads else np.zeros(0, U64)
     buf = np.frombuffer(data, np.uint8)
     if not len(buf):
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+        return none, np.zeros(len(offsets), np.int64)
     word = ~SPACE[buf]
     first = word.copy()
     first[1:] &= ~word[:-1]
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
+        return none, np.zeros(len(offsets), np.int64)
     gap = np.diff(np.append(starts, len(buf)))
     place = np.arange(starts[0], len(buf)) - np.repeat(starts, gap)
     part = _BYTE[buf[starts[0]:]]
     part *= powers(int(gap.max()) + 1)[place]
     sums = np.add.reduceat(part, starts - starts[0])
+    if heads:
+        run = np.append(U64(0), np.cumsum(part))
+        at = starts - starts[0]
+        cols = [mix(run[at + np.minimum(gap, m)] - run[at] + U64(m)) for m in heads]
+        return np.stack([mix(sums), *cols], 1), np.searchsorted(starts, offsets)
     return mix(sums), np.searchsorted(starts, offsets)
 
 
-def word_hashes(texts: Iterable[str | None], lower: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+def word_hashes(texts: Iterable[str | None], lower: bool = False,
+                heads: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray]]:
     """(position in texts, word hashes in order) of every text, in order.
 
     ``lower`` lower-cases A-Z only.  Small texts share one buffer; a text over
-    PIECE bytes is hashed piece by piece.
+    PIECE bytes is hashed piece by piece.  With ``heads`` the rows have more columns
+    (see _hash_buffer).
     """
     held: list[bytes] = []
     where: list[int] = []
@@ -88,7 +98,7 @@ def word_hashes(texts: Iterable[str | None], lower: bool = False) -> Iterator[tu
 
     def flush() -> Iterator[tuple[int, np.ndarray]]:
         sizes = np.cumsum([0] + [len(b) + 1 for b in held])
-        h, at = _hash_buffer(b"\n".join(held), sizes[:-1])
+        h, at = _hash_buffer(b"\n".join(held), sizes[:-1], heads)
         at = np.append(at, len(h))
         for i, k in enumerate(where):
             yield k, h[at[i]:at[i + 1]]
@@ -101,7 +111,7 @@ def word_hashes(texts: Iterable[str | None], lower: bool = False) -> Iterator[tu
             yield from flush()
             held, where, n = [], [], 0
         if len(data) > PIECE:
-            yield k, np.concatenate([_hash_buffer(p, np.zeros(1, np.int64))[0] for p in pieces(data)])
+            yield k, np.concatenate([_hash_buffer(p, np.zeros(1, np.int64), heads)[0] for p in pieces(data)])
         else:
             held.append(data)
             where.append(k)

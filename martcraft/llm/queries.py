@@ -4,8 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from martcraft.llm import op2_minhash, op3_packing, op4_sentencepiece, op5_suffix
+from pyspark.sql import functions as F
+
+from martcraft.llm import (
+    op2_minhash,
+    op3_packing,
+    op4_sentencepiece,
+    op5_suffix,
+    op7_quality,
+    op8_toxicity,
+    op10_lines,
+)
+from martcraft.llm.sampling import held_out
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -31,11 +41,35 @@ def op5_suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_suffix.digest(table(spark, sf_dir, "documents"), min_len=200)
 
 
+def op7_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = op7_quality.train(docs, table(spark, sf_dir, "labels"), "crc32(cast(id as string)) % 5 != 0")
+    return op7_quality.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+        (F.col("score") >= op7_quality.CUT).cast("int").alias("predicted"))
+
+
+def op8_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = op8_toxicity.train(docs, table(spark, sf_dir, "labels"), "crc32(cast(id as string)) % 4 != 2")
+    return op8_toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
+        (F.col("score") >= op8_toxicity.CUT).cast("int").alias("predicted"))
+
+
+def op10_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op10_lines.judge(docs, op10_lines.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op2_minhash": op2_minhash_query,
     "op3_packing": op3_packing_query,
     "op4_sentencepiece": op4_sentencepiece_query,
     "op5_suffix": op5_suffix_query,
+    "op7_quality": op7_quality_query,
+    "op8_toxicity": op8_toxicity_query,
+    "op10_lines": op10_lines_query,
 }
 
 ORACLES: dict[str, str] = {}
