@@ -11,6 +11,7 @@ from martcraft.llm import (
     op3_packing,
     op4_sentencepiece,
     op5_suffix,
+    op6_urls,
     op7_quality,
     op8_toxicity,
     op10_lines,
@@ -41,6 +42,15 @@ def op5_suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_suffix.digest(table(spark, sf_dir, "documents"), min_len=200)
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+def op6_urls_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return op6_urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op7_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = op7_quality.train(docs, table(spark, sf_dir, "labels"), "crc32(cast(id as string)) % 5 != 0")
@@ -67,9 +77,30 @@ QUERIES = {
     "op3_packing": op3_packing_query,
     "op4_sentencepiece": op4_sentencepiece_query,
     "op5_suffix": op5_suffix_query,
+    "op6_urls": op6_urls_query,
     "op7_quality": op7_quality_query,
     "op8_toxicity": op8_toxicity_query,
     "op10_lines": op10_lines_query,
 }
 
-ORACLES: dict[str, str] = {}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES: dict[str, str] = {
+    "op6_urls": f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), part AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_AZ}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), rules (rhost, rpath, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), hit AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM part JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id
+)
+SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, 'allow') AS verdict
+FROM part LEFT JOIN hit USING (page_id)
+""",
+}
