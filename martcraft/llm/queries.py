@@ -14,6 +14,7 @@ from martcraft.llm import (
     op6_urls,
     op7_quality,
     op8_toxicity,
+    op9_imatch,
     op10_lines,
 )
 from martcraft.llm.sampling import held_out
@@ -67,6 +68,11 @@ def op8_toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= op8_toxicity.CUT).cast("int").alias("predicted"))
 
 
+def op9_imatch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op9_imatch.compare_with_edits(docs, op9_imatch.lexicon(docs))
+
+
 def op10_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return op10_lines.judge(docs, op10_lines.train(docs, table(spark, sf_dir, "labels")))
@@ -80,6 +86,7 @@ QUERIES = {
     "op6_urls": op6_urls_query,
     "op7_quality": op7_quality_query,
     "op8_toxicity": op8_toxicity_query,
+    "op9_imatch": op9_imatch_query,
     "op10_lines": op10_lines_query,
 }
 
