@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martcraft.llm import (
+    op1_html,
     op2_minhash,
     op3_packing,
     op4_sentencepiece,
@@ -27,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_html.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -79,6 +84,7 @@ def op10_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html_query,
     "op2_minhash": op2_minhash_query,
     "op3_packing": op3_packing_query,
     "op4_sentencepiece": op4_sentencepiece_query,
