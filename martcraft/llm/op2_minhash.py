@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martcraft.llm.components import connected_components
+from martcraft.llm.groups import map_groups
 from martcraft.llm.kernel import U64, mix, shingles, word_hashes
 from martcraft.session import materialize
 
@@ -179,23 +180,77 @@ def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _across(nodes: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs between components of each small node: rows (node, doc, comp)."""
-    least = int(np.ceil((threshold - SLACK) * COORDS))
+def _candidates(sig: np.ndarray, comp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, agreement) of pairs of different components that may be links."""
+    i_, j_, n_ = [], [], []
+    for i in range(len(sig) - 1):
+        same = (sig[i + 1:] == sig[i]).sum(1)
+        hit = np.flatnonzero((same >= least) & (comp[i + 1:] != comp[i]))
+        i_.append(np.full(len(hit), i))
+        j_.append(hit + i + 1)
+        n_.append(same[hit])
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in (i_, j_, n_))
+
+
+def _across(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between components, by exhaustive comparison of each small node (node, doc, comp).
+
+    Minhash values select the documents with any candidate; only their texts are
+    fetched, once per document.  A pair is tested in the first node it shares, best
+    agreement first, and not if the links found so far already join it."""
+    least = int(np.ceil((percent / 100 - SLACK) * COORDS))
     sigs = reps.select(F.col("doc_id").alias("doc"), "sig")
 
-    def run(table: pa.Table) -> pa.Table:
-        ids, comp = table.column("doc").to_numpy(), table.column("comp").to_numpy()
-        sig = _matrix(table.column("sig"))
-        a, b = [], []
-        for i in range(len(ids) - 1):
-            hit = np.flatnonzero(((sig[i + 1:] == sig[i]).sum(1) >= least) & (comp[i + 1:] != comp[i])) + i + 1
-            a.append(np.minimum(ids[i], ids[hit]))
-            b.append(np.maximum(ids[i], ids[hit]))
-        return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64),
-                         "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
+    def select(t: pa.Table) -> pa.RecordBatch | None:
+        comp = t.column("comp").to_numpy()
+        i, j, _ = _candidates(_matrix(t.column("sig")), comp, least)
+        if not len(i):
+            return None
+        rows = np.unique(np.append(i, j))
+        return pa.RecordBatch.from_arrays([pa.array(t.column(c).to_numpy()[rows]) for c in ("node", "doc", "comp")],
+                                          ["node", "doc", "comp"])
+
+    some = map_groups(nodes.join(sigs, "doc").select("node", "doc", "comp", "sig"), "node", select,
+                      "node long, doc long, comp long")
+    per_doc = (some.groupBy("doc").agg(F.collect_set("node").alias("nodes"), F.min("comp").alias("comp"))
+               .join(sigs, "doc").join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc"))
+    rows = per_doc.select(F.explode("nodes").alias("node"), "nodes", "doc", "comp", "sig", "text")
+
+    def solve(t: pa.Table) -> pa.RecordBatch | None:
+        node, ids, comp = t.column("node")[0].as_py(), t.column("doc").to_numpy(), t.column("comp").to_numpy()
+        own = [set(x) for x in t.column("nodes").to_pylist()]
+        texts = t.column("text")
+        i, j, n = _candidates(_matrix(t.column("sig")), comp, least)
+        sets: dict[int, np.ndarray] = {}
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := root.get(x, x)) != x:
+                root[x] = root.get(y, y)
+                x = y
+            return x
+
+        def of(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = text_set(next(w for _, w in word_hashes([texts[k].as_py()], lower=True)), size)
+            return sets[k]
 
-    return nodes.join(sigs, "doc").groupBy("node").applyInArrow(run, "a long, b long").distinct()
+        a, b = [], []
+        for k in np.argsort(-n, kind="stable").tolist():
+            x, y = int(i[k]), int(j[k])
+            cx, cy = find(int(comp[x])), find(int(comp[y]))
+            if cx == cy or min(own[x] & own[y]) != node:
+                continue
+            both = len(np.intersect1d(of(x), of(y), assume_unique=True))
+            if both and 100 * both >= percent * (len(of(x)) + len(of(y)) - both):
+                root[cx] = cy
+                a.append(ids[x])
+                b.append(ids[y])
+        if not a:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return map_groups(rows, "node", solve, "a long, b long")
 
 
 def _label(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -211,7 +266,7 @@ def _shared(rows: DataFrame, by: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees: int = 10, depth: int = 3,
-                    leaf: int = 256, max_depth: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    leaf: int = 2048, max_depth: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept."""
     threshold = percent / 100
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -231,8 +286,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees:
         roots = connected_components(links)
         mixed = materialize(_shared(_label(live, roots), "comp"))
         big = mixed.where(F.col("size") > leaf)
-        pairs = materialize(_across(mixed.where(F.col("size") <= leaf).select("node", "doc", "comp"), reps, threshold))
-        links = links.union(materialize(_confirm(pairs, docs, shingle, percent)))
+        small = mixed.where(F.col("size") <= leaf).select("node", "doc", "comp")
+        links = links.union(materialize(_across(small, reps, docs, shingle, percent)))
         if level >= max_depth or big.isEmpty():
             break
         live = materialize(_shared(_branch_on(big, reps), "doc").select("node", "doc", "pivot"))
