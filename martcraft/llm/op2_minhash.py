@@ -267,11 +267,13 @@ def _shared(rows: DataFrame, by: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees: int = 10, depth: int = 3,
                     leaf: int = 2048, max_depth: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept."""
+    """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept, n_rows
+    (rows of that id)."""
     threshold = percent / 100
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = materialize(_sets(docs, shingle))
-    one = sets.groupBy("doc_id").agg(F.max_by(F.struct("n", "k1", "k2"), F.struct("n", "k1", "k2")).alias("s"))
+    one = sets.groupBy("doc_id").agg(F.max_by(F.struct("n", "k1", "k2"), F.struct("n", "k1", "k2")).alias("s"),
+                                      F.count(F.lit(1)).alias("n_rows"))
     classes = one.where("s.n > 0").groupBy("s.k1", "s.k2").agg(F.min("doc_id").alias("rep"))
     reps = materialize(sets.join(classes, [sets.k1 == classes.k1, sets.k2 == classes.k2, sets.doc_id == classes.rep])
                        .select("doc_id", "sig").dropDuplicates(["doc_id"]))
@@ -294,7 +296,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees:
         level += 1
     roots = connected_components(links)
     class_of = one.join(classes, [one.s.k1 == classes.k1, one.s.k2 == classes.k2], "left").select(
-        "doc_id", F.col("s.n").alias("n_shingles"), F.when(F.col("s.n") > 0, F.col("rep")).alias("rep"))
+        "doc_id", "n_rows", F.col("s.n").alias("n_shingles"), F.when(F.col("s.n") > 0, F.col("rep")).alias("rep"))
     return (class_of.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+            .select("doc_id", "n_rows", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select("doc_id", "n_shingles", "component_id", "kept", "n_rows"))
