@@ -298,13 +298,12 @@ def q_cost_daily(spark, sf):
     o = D.orders(spark, sf)
     items = D.cost_items(spark, sf, D.order_items(spark, sf, current_view(o, o, AS_OF)))
     sheet = D.price_sheet(spark, sf)
-    # the price list feeds the group list (its own job) and several joins
+    # the price list feeds several joins
     prices = materialize(CO.parse_price_list(sheet, COST_CONFIG))
-    groups = CO.product_groups(prices, COST_CONFIG)
     collab = CO.parse_collab_prices(sheet, COST_CONFIG)
     start = AS_OF - _dt.timedelta(days=COST_DAYS - 1)
     opts = CO.option_rows(items, start, AS_OF, COST_CONFIG)
-    return CO.cost_daily(opts, prices, collab, COST_CONFIG, groups)
+    return CO.cost_daily(opts, prices, collab, COST_CONFIG)
 
 
 def q_price_list(spark, sf):

@@ -7,19 +7,25 @@ functions, no Python UDF):
 1. price list rows -> (row_no, price, pet, grp, ml, flav)               SRC19
 2. order lines -> option rows per (day, brand, product, option) with the
    summed quantity, cancelled lines excluded, zero totals skipped.
-3. distinct (brand, product, option) -> product group (JN12), pieces parsed
-   from the option text with ``transform``/``filter`` inside each row.
+3. distinct (brand, product, option) -> product group (JN12: the longest group
+   inside the product name, an equi-join on the name's substrings), pieces
+   parsed from the option text with ``transform``/``filter`` inside each row;
+   group names leave the flavours by folding over the groups found in each
+   distinct text, in list order.
 4. piece -> unit cost: override, then price rows of the group (narrowed to
    the product's size when any matches) whose flavour contains the piece's
-   flavour or is contained in it (JN11).  Containment is found with two
-   equi-joins on enumerated substrings, so no group is expanded into all
-   its pairs; the first non-PET hit in list order wins, no hit -> rounded
-   mean of the candidates.
-5. box cost, cans, pieces per option -> parcel rate (F19) -> summed per
+   flavour or is contained in it (JN11).  Prices are reduced to the best row
+   per (group, size, flavour) and per (group, size, substring of a flavour)
+   before they meet the distinct (group, size, flavour) lookups, so the join
+   gives one row per key; the first non-PET row in list order wins, no hit ->
+   rounded mean of the candidates.
+5. collaboration brand: gift box, flavour + count tokens, flavour list in
+   parentheses, pieces; its performance line has aliases and sizes of its own.
+6. box cost, cans, pieces per option -> parcel rate (F19) -> summed per
    (day, brand) and rounded at the end (AG13).
 
-The product-group list is the only thing read back to the driver: its size
-is checked against ``max_groups`` because it becomes an ordered CASE chain.
+Nothing is read back to the driver but whether a fold has ended; the plan does
+not grow with the catalog.
 """
 
 from __future__ import annotations
@@ -30,14 +36,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martcraft.functions.classify import ship_rate, size_ml
+from martcraft.functions.classify import NOT_WORD_NEXT, WS, ship_rate, size_ml
 from martcraft.functions.numeric import js_round
 from martcraft.session import materialize
 
-# JavaScript's \s (plus BOM): Java's \s is ASCII only.
-WS = "[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
-# JavaScript \b is an ASCII word boundary; Java treats Hangul as word letters.
-NOT_WORD_NEXT = "(?![A-Za-z0-9_])"
 WORD_NEXT = "(?=[A-Za-z0-9_])"
 
 # Marketing labels removed from option text (case-insensitive).
@@ -74,9 +76,13 @@ class CostConfig:
     collab_aliases: dict = field(default_factory=dict)
     collab_order_500: tuple[str, ...] = ()         # lines tried in order at 500 ml
     collab_line_250: str = "energy"                # line priced at 250 ml
+    collab_tokens: tuple[str, ...] = ()            # flavours followed by a count, in match order
+    perf_line: str | None = None                   # performance line: 500 ml, then 250 ml
+    perf_products: tuple[str, ...] = ()            # markers in the product name
+    perf_marker: str | None = None                 # marker before a token, or in a flavour
+    perf_aliases: dict = field(default_factory=dict)
     gift_marker: str | None = None
     gift_cost: float = 0.0
-    max_groups: int = 5000
 
 
 def _c(x):
@@ -137,7 +143,7 @@ def parse_collab_prices(sheet: DataFrame, cfg: CostConfig) -> DataFrame:
     line = s1 if line is None else line.otherwise(s1)
     line = F.when(F.element_at(segs, 1) == cfg.collab_energy, F.lit(cfg.collab_energy)).otherwise(line)
     n = F.size(segs)
-    flav = _rx(_rx(F.coalesce(F.try_element_at(segs, n - 1), F.lit("")), ZERO_WORD, ""), WS, "")
+    flav = _rx(_rx(F.coalesce(F.when(n > 1, F.try_element_at(segs, F.greatest(n - 1, F.lit(1)))), F.lit("")), ZERO_WORD, ""), WS, "")
     rows = (sheet.filter(price.isNotNull() & (price > 0) & name.isNotNull() & (name != "") & marker
                          & ~name.rlike("|".join(EXCLUDED_MARKERS)))
             .select("row_no", line.alias("line"), js_trim(flav).alias("flav"), size.alias("size"),
@@ -150,32 +156,44 @@ def _quote(s: str) -> str:
 
 
 # ---------------------------------------------------------------- groups
-def product_groups(prices: DataFrame, cfg: CostConfig) -> list[str]:
-    """Distinct groups, longest first, ties in first-appearance order (plus
-    override groups after the list's own).  Size-checked before use."""
-    first = (prices.filter(F.col("grp") != "").groupBy("grp").agg(F.min("row_no").alias("first"))
-             .orderBy(F.length("grp").desc(), F.col("first").asc()).limit(cfg.max_groups + 1))
-    groups = [r["grp"] for r in first.collect()]
-    if len(groups) > cfg.max_groups:
-        raise ValueError(f"more than {cfg.max_groups} product groups; raise max_groups deliberately")
-    extra = [o.group for o in cfg.overrides if o.group and o.group not in groups]
-    seen, ordered = set(), []
-    for g in groups + extra:
-        if g not in seen:
-            seen.add(g)
-            ordered.append(g)
-    # stable re-sort by length so override groups fall into place
-    return sorted(ordered, key=lambda g: -len(g))
-
-
-def group_of(product_name: Column, groups: list[str]) -> Column:
-    """JN12: first (longest) group contained in the whitespace-free name."""
-    pns = _rx(product_name, WS, "")
+def product_groups(prices: DataFrame, cfg: CostConfig) -> DataFrame:
+    """(grp, ord): distinct groups; ord sorts longest first, ties in order of
+    first appearance, override groups after the list's own."""
+    own = prices.filter(F.col("grp") != "").groupBy("grp").agg(F.min("row_no").cast("long").alias("first"))
+    names = list(dict.fromkeys(o.group for o in cfg.overrides if o.group))
+    if names:
+        late = prices.sparkSession.createDataFrame(
+            [(g, (1 << 62) + i) for i, g in enumerate(names)], "grp string, first long")
+        own = own.unionByName(late).groupBy("grp").agg(F.min("first").alias("first"))
+    return own.select("grp", F.struct((-F.length("grp")).alias("len"), "first").alias("ord"))
+
+
+def group_of(names: DataFrame, groups: DataFrame) -> DataFrame:
+    """JN12: (pn) -> (pn, grp) of names that contain a group, whitespace aside."""
+    inside = names.select("pn").distinct().select("pn", F.explode(_substrings(_rx(F.col("pn"), WS, ""))).alias("grp"))
+    return inside.join(groups, "grp").groupBy("pn").agg(F.min_by("grp", "ord").alias("grp"))
+
+
+def without_groups(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(raw) -> (raw, fl): group names cut out one after the other in list order.
+
+    Every round finds, for each text still open, the next group in order that
+    the text (as it is by then) contains; each cut shortens the text, so the
+    rounds are bounded by the groups inside one text."""
+    live = texts.select("raw").distinct().select(
+        "raw", F.col("raw").alias("fl"), F.lit(None).cast(groups.schema["ord"].dataType).alias("done"))
     out = None
-    for g in groups:
-        cond = pns.contains(g)
-        out = F.when(cond, F.lit(g)) if out is None else out.when(cond, F.lit(g))
-    return F.lit(None).cast("string") if out is None else out
+    while True:
+        inside = live.select("raw", "done", F.explode(_substrings(F.col("fl"))).alias("grp")).join(groups, "grp")
+        nxt = (inside.filter(F.col("done").isNull() | (F.col("ord") > F.col("done")))
+               .groupBy("raw").agg(F.min("ord").alias("ord"), F.min_by("grp", "ord").alias("grp")))
+        step = materialize(live.join(nxt, "raw", "left"))
+        ended = step.filter(F.col("grp").isNull()).select("raw", "fl")
+        out = ended if out is None else out.unionByName(ended)
+        live = step.filter(F.col("grp").isNotNull()).select(
+            "raw", F.expr("replace(fl, grp, '')").alias("fl"), F.col("ord").alias("done"))
+        if live.isEmpty():
+            return out
 
 
 # ---------------------------------------------------------- option grammar
@@ -219,11 +237,9 @@ def option_pre(on: Column) -> Column:
     return _apply(on, OPTION_PRE_RULES)
 
 
-def clean_flavour(p: Column, groups: list[str]) -> Column:
-    f = _rx(js_trim(_apply(p, FLAVOUR_RULES)), f"{WS}+", "")
-    for g in groups:                      # group names removed, longest first
-        f = F.replace(f, F.lit(g), F.lit(""))
-    return f
+def clean_flavour(p: Column) -> Column:
+    """Flavour text of a piece, group names still in it."""
+    return _rx(js_trim(_apply(p, FLAVOUR_RULES)), f"{WS}+", "")
 
 
 def piece_count(p: Column) -> Column:
@@ -231,20 +247,35 @@ def piece_count(p: Column) -> Column:
         .cast("bigint")
 
 
-def pieces(pn: Column, on: Column, groups: list[str]) -> Column:
-    """Array of struct(fl, cnt) parsed from the option text (in order)."""
+def raw_pieces(on: Column) -> Column:
+    """Array of struct(raw, cnt) parsed from the option text (in order)."""
     parts = F.filter(F.transform(F.split(option_pre(on), "[/+]"), lambda x: js_trim(x)),
                      lambda x: x != "")
-    raw = F.filter(F.transform(parts, lambda p: F.struct(clean_flavour(p, groups).alias("fl"),
-                                                         piece_count(p).alias("cnt"))),
-                   lambda s: s["fl"] != "")
-    ip_name = F.nullif(F.regexp_extract(pn, f"(\\d+){WS}*{PACK}", 1), F.lit("")).cast("bigint")
-    single = F.size(raw) == 1
-    return F.transform(raw, lambda s: F.struct(
-        s["fl"].alias("fl"),
-        F.when(s["cnt"].isNotNull(), s["cnt"])
-         .when(single, F.coalesce(F.nullif(ip_name, F.lit(0)), F.lit(1).cast("bigint")))
-         .otherwise(F.lit(1).cast("bigint")).alias("cnt")))
+    return F.transform(parts, lambda p: F.struct(clean_flavour(p).alias("raw"), piece_count(p).alias("cnt")))
+
+
+def pieces(options: DataFrame, groups: DataFrame) -> DataFrame:
+    """(pkey_base, pn, on) -> (pkey_base, pos, fl, cnt): pieces with a flavour;
+    a single one without a count takes the pack size of the product name."""
+    raw = materialize(options.select("pkey_base", "pn", F.posexplode(raw_pieces(F.col("on"))).alias("pos", "p"))
+                      .select("pkey_base", "pn", "pos", "p.raw", "p.cnt").filter(F.col("raw") != ""))
+    named = raw.join(without_groups(raw, groups), "raw").filter(F.col("fl") != "")
+    n = named.groupBy("pkey_base").agg(F.count(F.lit(1)).alias("n"))
+    ip_name = F.nullif(F.regexp_extract("pn", f"(\\d+){WS}*{PACK}", 1), F.lit("")).cast("bigint")
+    one = F.coalesce(F.nullif(ip_name, F.lit(0)), F.lit(1).cast("bigint"))
+    return named.join(n, "pkey_base").select(
+        "pkey_base", "pos", "fl",
+        F.coalesce("cnt", F.when(F.col("n") == 1, one).otherwise(F.lit(1).cast("bigint"))).alias("cnt"))
+
+
+def tokens(on: Column, cfg: CostConfig) -> Column:
+    """Array of struct(fl, cnt): flavour + count tokens of the collaboration
+    brand; the performance marker before a token becomes part of its flavour."""
+    mark = f"(?:(\\Q{cfg.perf_marker}\\E){WS}*)?" if cfg.perf_marker else "()"
+    rule = f"{mark}({'|'.join(_quote(t) for t in cfg.collab_tokens)}){WS}*\\(?{WS}*(\\d+)"
+    at = [F.regexp_extract_all(on, F.lit(rule), F.lit(i)) for i in (1, 2, 3)]
+    return F.transform(F.arrays_zip(*[a.alias(n) for a, n in zip(at, "mfc")]), lambda z: F.struct(
+        F.concat(z["m"], z["f"]).alias("fl"), z["c"].cast("bigint").alias("cnt")))
 
 
 def _substrings(s: Column) -> Column:
@@ -256,73 +287,91 @@ def _substrings(s: Column) -> Column:
 
 
 # ------------------------------------------------------------ piece costs
-def _price_stats(prices: DataFrame):
-    g = prices.groupBy("grp").agg(F.count(F.lit(1)).alias("g_n"), F.avg("price").alias("g_mean"))
-    gm = (prices.filter(F.col("ml").isNotNull()).groupBy("grp", "ml")
-          .agg(F.count(F.lit(1)).alias("m_n"), F.avg("price").alias("m_mean")))
-    return g, gm
+ALL_SIZES = -1
+
+
+def scoped(prices: DataFrame) -> DataFrame:
+    """Every price row under its group as a whole and, if sized, under its size."""
+    return prices.withColumn("scope", F.explode(F.array_compact(F.array(F.lit(ALL_SIZES).cast("long"),
+                                                                        F.col("ml").cast("long")))))
+
+
+def price_means(prices: DataFrame) -> DataFrame:
+    """(grp, scope) -> mean price of the candidates."""
+    return scoped(prices).groupBy("grp", "scope").agg(F.avg("price").alias("mean"))
+
+
+def with_scope(rows: DataFrame, means: DataFrame) -> DataFrame:
+    """rows (grp, psz) -> + scope (the size if the group lists it), mean (NULL without candidates)."""
+    size = means.select("grp", F.col("scope").alias("psz"), F.col("mean").alias("m_mean"))
+    whole = means.filter(F.col("scope") == ALL_SIZES).select("grp", F.col("mean").alias("g_mean"))
+    return (rows.withColumn("psz", F.col("psz").cast("long")).join(size, ["grp", "psz"], "left")
+            .join(whole, "grp", "left")
+            .withColumn("scope", F.when(F.col("m_mean").isNotNull(), F.col("psz")).otherwise(F.lit(ALL_SIZES).cast("long")))
+            .withColumn("mean", F.coalesce("m_mean", "g_mean")).drop("m_mean", "g_mean"))
+
+
+def flavour_hits(lookups: DataFrame, prices: DataFrame) -> DataFrame:
+    """JN11: (grp, scope, f) -> hit_price of the best row whose flavour contains f or lies in it."""
+    best = F.min(F.struct("pet", "row_no", "price")).alias("best")
+    listed = scoped(prices.filter(F.col("flav") != "")).groupBy("grp", "scope", "flav").agg(best)
+    parts = (listed.select("grp", "scope", F.explode(_substrings(F.col("flav"))).alias("f"), "best")
+             .groupBy("grp", "scope", "f").agg(F.min("best").alias("best")))
+    keys = lookups.filter(F.col("f") != "").select("grp", "scope", "f").distinct()
+    inside = keys.select("grp", "scope", "f", F.explode(_substrings(F.col("f"))).alias("flav")).join(
+        listed, ["grp", "scope", "flav"]).select("grp", "scope", "f", "best")
+    around = keys.join(parts, ["grp", "scope", "f"])
+    return (inside.unionByName(around).groupBy("grp", "scope", "f").agg(F.min("best").alias("best"))
+            .select("grp", "scope", "f", F.col("best.price").alias("hit_price")))
+
+
+def _alias(c: Column, aliases: dict) -> Column:
+    if not aliases:
+        return c
+    return F.coalesce(F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.lit(v))])[c], c)
 
 
 def piece_costs(piece_rows: DataFrame, prices: DataFrame, cfg: CostConfig) -> DataFrame:
     """piece rows (key cols + pos, fl, grp, psz, pns) -> + unit_cost."""
-    aliases = cfg.aliases
-    f = F.col("fl")
-    if aliases:
-        amap = F.create_map(*[x for k, v in aliases.items() for x in (F.lit(k), F.lit(v))])
-        f = F.coalesce(amap[F.col("fl")], F.col("fl"))
-    p = piece_rows.withColumn("f", f)
-    ov = None
-    for o in cfg.overrides:
-        cond = (F.col("pns").contains(o.group) & (F.col("f") != "")
+    p = piece_rows.withColumn("f", _alias(F.col("fl"), cfg.aliases))
+    ov = F.lit(None).cast("double")
+    for o in reversed(cfg.overrides):                 # the first that fits wins
+        fits = (F.col("pns").contains(o.group) & (F.col("f") != "")
                 & (F.col("f").contains(o.flavour) | F.lit(o.flavour).contains(F.col("f"))))
-        ov = F.when(cond, F.lit(float(o.price))) if ov is None else ov.when(cond, F.lit(float(o.price)))
-    p = p.withColumn("ov_price", ov if ov is not None else F.lit(None).cast("double"))
-    g, gm = _price_stats(prices)
-    p = (p.join(g, "grp", "left")
-          .join(gm.withColumnRenamed("ml", "psz"), ["grp", "psz"], "left")
-          .withColumn("narrow", F.col("m_n").isNotNull()))
-    key = ["pkey"]
-    # hits where the price flavour is inside the piece flavour
-    subs = p.filter(F.col("f") != "").select(*key, "grp", "psz", "narrow",
-                                             F.explode(_substrings(F.col("f"))).alias("flav"))
-    pr = prices.filter(F.col("flav") != "").select("grp", "flav", "ml", "row_no", "price", "pet")
-    h1 = subs.join(pr, ["grp", "flav"])
-    # hits where the piece flavour is inside the price flavour
-    prs = pr.select("grp", "ml", "row_no", "price", "pet", F.explode(_substrings(F.col("flav"))).alias("f"))
-    h2 = p.filter(F.col("f") != "").select(*key, "grp", "psz", "narrow", "f").join(prs, ["grp", "f"])
-    cols = [*key, "psz", "narrow", "ml", "row_no", "price", "pet"]
-    hits = h1.select(*cols).unionByName(h2.select(*cols))
-    hits = hits.filter(~F.col("narrow") | (F.col("ml") == F.col("psz")))
-    best = hits.groupBy(*key).agg(F.min_by("price", F.struct("pet", "row_no")).alias("hit_price"))
-    p = p.join(best, key, "left")
-    cand_n = F.when(F.col("narrow"), F.col("m_n")).otherwise(F.coalesce(F.col("g_n"), F.lit(0)))
-    cand_mean = F.when(F.col("narrow"), F.col("m_mean")).otherwise(F.col("g_mean"))
+        ov = F.when(fits, F.lit(float(o.price))).otherwise(ov)
+    p = with_scope(p.withColumn("ov_price", ov), price_means(prices))
+    p = p.join(flavour_hits(p, prices), ["grp", "scope", "f"], "left")
     cost = (F.when(F.col("ov_price").isNotNull(), F.col("ov_price"))
-             .when(cand_n == 0, F.lit(0.0))
+             .when(F.col("mean").isNull(), F.lit(0.0))
              .when(F.col("hit_price").isNotNull(), F.col("hit_price"))
-             .otherwise(js_round(cand_mean).cast("double")))
+             .otherwise(js_round(F.col("mean")).cast("double")))
     return p.withColumn("unit_cost", cost)
 
 
 def collab_costs(piece_rows: DataFrame, collab: DataFrame, cfg: CostConfig) -> DataFrame:
-    """Unit cost of a collaboration-brand piece: 250 ml products take the
-    small line's 250 ml price, others the first line in ``collab_order_500``
-    that lists the flavour at 500 ml; none -> 0."""
-    f = F.col("fl")
-    if cfg.collab_aliases:
-        amap = F.create_map(*[x for k, v in cfg.collab_aliases.items() for x in (F.lit(k), F.lit(v))])
-        f = F.coalesce(amap[F.col("fl")], F.col("fl"))
-    p = piece_rows.withColumn("f", f).withColumn(
-        "size", F.when(F.col("ctx").contains("250"), F.lit(250)).otherwise(F.lit(500)).cast("bigint"))
-    order = [(cfg.collab_line_250, 250, 0)] + [(ln, 500, i + 1) for i, ln in enumerate(cfg.collab_order_500)]
-    pri = F.lit(None).cast("int")
-    for ln, sz, i in order:
-        pri = F.when((F.col("line") == ln) & (F.col("size") == sz), F.lit(i)).otherwise(pri)
-    c = collab.select(F.col("line"), F.col("flav").alias("f"), "size", "price").withColumn("pri", pri) \
-        .filter(F.col("pri").isNotNull())
-    best = (p.select("pkey", "f", "size").join(c, ["f", "size"])
-            .groupBy("pkey").agg(F.min_by("price", "pri").alias("c_price")))
-    return p.join(best, "pkey", "left").withColumn("unit_cost", F.coalesce(F.col("c_price"), F.lit(0.0)))
+    """Unit cost of a collaboration-brand piece.  Performance line: its 500 ml
+    price, else its 250 ml price.  Others: 250 ml products take the small line's
+    250 ml price, the rest the first line in ``collab_order_500`` that lists the
+    flavour at 500 ml; none -> 0."""
+    perf = F.lit(False)
+    if cfg.perf_line is not None:
+        for m in cfg.perf_products:
+            perf = perf | F.col("pn").contains(m)
+        if cfg.perf_marker:
+            perf = perf | F.col("fl").contains(cfg.perf_marker)
+    p = piece_rows.withColumn("perf", perf).withColumn(
+        "f", F.when(F.col("perf"), _alias(F.col("fl"), cfg.perf_aliases)).otherwise(_alias(F.col("fl"), cfg.collab_aliases)))
+    p = p.withColumn("offer", F.when(F.col("perf"), F.lit("perf")).when(F.col("ctx").contains("250"), F.lit("250"))
+                     .otherwise(F.lit("500")))
+    offers = [("250", cfg.collab_line_250, 250, 0), *[("500", ln, 500, i) for i, ln in enumerate(cfg.collab_order_500)]]
+    if cfg.perf_line is not None:
+        offers += [("perf", cfg.perf_line, 500, 0), ("perf", cfg.perf_line, 250, 1)]
+    offer = F.filter(F.array(*[F.struct(F.lit(o).alias("offer"), F.lit(ln).alias("line"), F.lit(sz).cast("bigint").alias("size"),
+                                        F.lit(i).alias("pri")) for o, ln, sz, i in offers]),
+                     lambda x: (x["line"] == F.col("line")) & (x["size"] == F.col("size")))
+    c = (collab.select(F.col("flav").alias("f"), "price", F.explode(offer).alias("o"))
+         .groupBy("f", F.col("o.offer").alias("offer")).agg(F.min_by("price", "o.pri").alias("c_price")))
+    return p.join(c, ["f", "offer"], "left").withColumn("unit_cost", F.coalesce(F.col("c_price"), F.lit(0.0)))
 
 
 # ------------------------------------------------------------------- P14
@@ -340,63 +389,58 @@ def option_rows(items: DataFrame, start: dt.date, end: dt.date, cfg: CostConfig)
 
 
 def box_costs(options: DataFrame, prices: DataFrame, collab: DataFrame | None,
-              cfg: CostConfig, groups: list[str]) -> DataFrame:
+              cfg: CostConfig) -> DataFrame:
     """Distinct (mall, pn, on) -> box_cost, cans, n_pieces (NULL = skipped)."""
-    combos = (options.select("mall", F.coalesce(F.col("product_name"), F.lit("")).alias("pn"),
-                             F.coalesce(F.col("option_value"), F.lit("")).alias("on")).distinct()
-              .withColumn("grp", group_of(F.col("pn"), groups))
-              .filter(F.col("grp").isNotNull())
+    groups = materialize(product_groups(prices, cfg))
+    combos = options.select("mall", F.coalesce(F.col("product_name"), F.lit("")).alias("pn"),
+                            F.coalesce(F.col("option_value"), F.lit("")).alias("on")).distinct()
+    combos = (combos.join(group_of(combos, groups), "pn")
               .withColumn("pkey_base", F.concat_ws("\u0001", "mall", "pn", "on"))
               .withColumn("pns", _rx(F.col("pn"), WS, ""))
               .withColumn("psz", F.nullif(size_ml(F.col("pn")), F.lit(0)))
               .withColumn("ctx", F.concat_ws(" ", "pn", "on"))
-              .withColumn("sp", F.lit(cfg.collab_mall is not None) & (F.col("mall") == F.lit(cfg.collab_mall or "")))
-              .withColumn("pcs", pieces(F.col("pn"), F.col("on"), groups)))
-    # collaboration brand: gift box / flavour list in parentheses
+              .withColumn("sp", F.lit(cfg.collab_mall is not None) & (F.col("mall") == F.lit(cfg.collab_mall or ""))))
+    # collaboration brand: gift box / flavour + count tokens / flavour list in parentheses
     par = F.regexp_extract(F.col("ctx"), r"\(([^)]*[가-힣][^)]*)\)", 1)
     par_ok = (par != "") & ~par.rlike(f"{PACK}|원|%")
     gift = F.lit(False) if not cfg.gift_marker else F.col("ctx").contains(cfg.gift_marker)
-    combos = (combos.withColumn("gift", F.col("sp") & gift)
-              .withColumn("plist", F.col("sp") & ~F.col("gift") & par_ok)
-              .withColumn("plist_flavs", F.filter(F.transform(F.split(par, "/"), lambda x: js_trim(x)),
-                                                  lambda x: x != ""))
-              .withColumn("plist_ip", F.coalesce(
-                  F.nullif(F.regexp_extract(F.col("ctx"), f"(\\d+){WS}*{PACK}", 1), F.lit("")).cast("bigint"),
-                  F.lit(6).cast("bigint"))))
-    # piece rows: regular pieces (both brands) and listed flavours (collab brand)
-    reg = combos.filter(~F.col("gift") & ~F.col("plist")).select(
-        "pkey_base", "mall", "grp", "pns", "psz", "ctx", "sp", F.posexplode("pcs").alias("pos", "pc"))
-    reg = reg.select("pkey_base", "grp", "pns", "psz", "ctx", "sp", "pos",
-                     F.col("pc.fl").alias("fl"), F.col("pc.cnt").alias("cnt"))
-    lst = combos.filter(F.col("plist")).select(
-        "pkey_base", "grp", "pns", "psz", "ctx", "sp", F.posexplode("plist_flavs").alias("pos", "fl"))
-    lst = lst.withColumn("cnt", F.lit(None).cast("bigint"))
-    pr = reg.unionByName(lst).withColumn("pkey", F.concat_ws("\u0001", "pkey_base", F.col("pos").cast("string")))
-    ov_part = piece_costs(pr.filter(~F.col("sp")), prices, cfg).select("pkey_base", "cnt", "unit_cost")
+    toks = tokens(F.col("on"), cfg) if cfg.collab_tokens else F.array().cast("array<struct<fl:string,cnt:bigint>>")
+    combos = materialize(
+        combos.withColumn("gift", F.col("sp") & gift)
+        .withColumn("toks", toks)
+        .withColumn("tok", F.col("sp") & ~F.col("gift") & (F.size("toks") > 0))
+        .withColumn("plist", F.col("sp") & ~F.col("gift") & ~F.col("tok") & par_ok)
+        .withColumn("plist_flavs", F.filter(F.transform(F.split(par, "/"), lambda x: js_trim(x)), lambda x: x != ""))
+        .withColumn("plist_ip", F.coalesce(
+            F.nullif(F.regexp_extract(F.col("ctx"), f"(\\d+){WS}*{PACK}", 1), F.lit("")).cast("bigint"),
+            F.lit(6).cast("bigint"))))
+    # piece rows: regular pieces (both brands), tokens and listed flavours (collab brand)
+    about = ["pkey_base", "grp", "pn", "pns", "psz", "ctx", "sp"]
+    plain = combos.filter(~F.col("gift") & ~F.col("tok") & ~F.col("plist"))
+    reg = plain.select(*about).join(pieces(plain, groups), "pkey_base").select(*about, "fl", "cnt")
+    tok = combos.filter("tok").select(*about, F.explode("toks").alias("t")).select(*about, "t.fl", "t.cnt")
+    lst = combos.filter("plist").select(*about, F.explode("plist_flavs").alias("fl"),
+                                        F.lit(None).cast("bigint").alias("cnt"))
+    pr = reg.unionByName(tok).unionByName(lst)
+    priced = piece_costs(pr.filter(~F.col("sp")), prices, cfg).select("pkey_base", "cnt", "unit_cost")
     if collab is not None:
-        sp_part = collab_costs(pr.filter(F.col("sp")), collab, cfg).select("pkey_base", "cnt", "unit_cost")
-        priced = ov_part.unionByName(sp_part)
-    else:
-        priced = ov_part
+        priced = priced.unionByName(
+            collab_costs(pr.filter(F.col("sp")), collab, cfg).select("pkey_base", "cnt", "unit_cost"))
     agg = priced.groupBy("pkey_base").agg(
         F.sum(F.coalesce(F.col("cnt"), F.lit(0)) * F.col("unit_cost")).alias("pc_box"),
         F.sum(F.coalesce(F.col("cnt"), F.lit(0))).alias("pc_cans"),
         F.count(F.lit(1)).alias("pc_n"),
         F.count_if(F.col("unit_cost") != 0).alias("nz_n"),
         F.sum("unit_cost").alias("cost_sum"))
-    g, gm = _price_stats(prices)
-    x = (combos.join(agg, "pkey_base", "left").join(g, "grp", "left")
-         .join(gm.withColumnRenamed("ml", "psz"), ["grp", "psz"], "left"))
+    x = with_scope(combos.join(agg, "pkey_base", "left"), price_means(prices))
     # no-piece rule (regular brand): mean price x pack size
     ip = F.coalesce(
         F.nullif(F.regexp_extract(F.col("on"), f"(\\d+){WS}*{PACK}", 1), F.lit("")),
         F.nullif(F.regexp_extract(F.col("pn"), f"(\\d+){WS}*{PACK}", 1), F.lit("")),
         F.nullif(F.regexp_extract(F.col("on"), f"(\\d+){WS}*$", 1), F.lit(""))).cast("bigint")
-    narrow = F.col("psz").isNotNull() & F.col("m_n").isNotNull()
-    big_no_match = F.col("psz").isNotNull() & F.col("m_n").isNull() & (F.col("psz") >= 1000)
-    cand_n = F.when(narrow, F.col("m_n")).otherwise(F.coalesce(F.col("g_n"), F.lit(0)))
-    per = js_round(F.when(narrow, F.col("m_mean")).otherwise(F.col("g_mean")))
-    nopiece_ok = ~big_no_match & (cand_n > 0) & (F.coalesce(ip, F.lit(0)) != 0)
+    big_no_match = F.col("psz").isNotNull() & (F.col("scope") == ALL_SIZES) & (F.col("psz") >= 1000)
+    per = js_round(F.col("mean"))
+    nopiece_ok = ~F.coalesce(big_no_match, F.lit(False)) & F.col("mean").isNotNull() & (F.coalesce(ip, F.lit(0)) != 0)
     has_pieces = F.coalesce(F.col("pc_n"), F.lit(0)) > 0
     plist_mean = F.when(F.col("nz_n") > 0, F.col("cost_sum") / F.col("nz_n")).otherwise(F.lit(0.0))
     box = (F.when(F.col("gift"), F.lit(float(cfg.gift_cost)))
@@ -416,10 +460,10 @@ def box_costs(options: DataFrame, prices: DataFrame, collab: DataFrame | None,
 
 
 def cost_daily(options: DataFrame, prices: DataFrame, collab: DataFrame | None,
-               cfg: CostConfig, groups: list[str]) -> DataFrame:
+               cfg: CostConfig) -> DataFrame:
     """P14 mart_cost_daily: (report_date, mall, cogs, ship)."""
     options = materialize(options)          # reused by every branch below
-    boxes = box_costs(options, prices, collab, cfg, groups)
+    boxes = box_costs(options, prices, collab, cfg)
     o = options.select("report_date", "mall",
                        F.coalesce(F.col("product_name"), F.lit("")).alias("pn"),
                        F.coalesce(F.col("option_value"), F.lit("")).alias("on"), "sale_count")
