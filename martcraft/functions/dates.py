@@ -37,10 +37,5 @@ def normalise_date(col) -> Column:
     )
 
 
-def day_prefix(col) -> Column:
-    """First 10 characters of an ISO timestamp text as a date."""
-    return F.try_to_date(F.substring(_c(col).cast("string"), 1, 10), "yyyy-MM-dd")
-
-
 def lag_days(as_of: dt.date, col) -> Column:
     return F.datediff(F.lit(as_of), _c(col))

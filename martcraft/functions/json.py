@@ -53,10 +53,3 @@ def parse(col: Column | str, schema: T.DataType) -> Column:
     """Parse JSON text once into ``schema`` (PERMISSIVE: bad text -> NULL)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.from_json(c, schema, {"mode": "PERMISSIVE"})
-
-
-def scalar(col: Column | str, *path: str) -> Column:
-    """One JSON scalar by key path; bracket syntax so digit-leading keys work."""
-    c = F.col(col) if isinstance(col, str) else col
-    p = "$" + "".join(f"['{k}']" for k in path)
-    return F.get_json_object(c, p)

@@ -39,13 +39,6 @@ def first_nonempty(*cols: Column | str) -> Column:
     return F.coalesce(*[F.nullif(_c(c).cast("string"), F.lit("")) for c in cols])
 
 
-def text_to_long_truncating(col: Column | str, default: int | None = 0) -> Column:
-    """'3.9' -> 3, '' / bad -> default (via double so decimals truncate)."""
-    d = clean_money(col)
-    v = F.when(d.isNotNull(), F.floor(F.abs(d)) * F.signum(d)).cast("bigint")
-    return v if default is None else F.coalesce(v, F.lit(default).cast("bigint"))
-
-
 def metric_or_zero(col: Column | str, as_long: bool = False) -> Column:
     """Empty metric -> 0, text -> double (-> bigint truncating when as_long)."""
     d = F.coalesce(safe_double(F.nullif(_c(col).cast("string"), F.lit(""))), F.lit(0.0))

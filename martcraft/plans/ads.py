@@ -17,7 +17,7 @@ from martcraft.functions.classify import keyword_ad_type, sales_channel
 from martcraft.functions.dates import since
 from martcraft.functions.numeric import safe_double, safe_ratio
 from martcraft.operators.union import align_union
-from martcraft.session import reuse
+from martcraft.session import materialize
 from martcraft.sources.ads import brand_of, google_cost
 
 UNIFIED_COLUMNS = ["report_date", "mall", "media", "campaign_id", "campaign_name", "landing",
@@ -26,12 +26,10 @@ UNIFIED_COLUMNS = ["report_date", "mall", "media", "campaign_id", "campaign_name
 
 # ------------------------------------------------------------------- P5
 def meta_ads_flat(meta: DataFrame, accounts: dict) -> DataFrame:
-    acts = A.parse_actions("actions")
-    vals = A.parse_actions("action_values")
-    pc = A.action_pick(acts, A.PURCHASE_TYPES)
-    pv = A.action_pick(vals, A.PURCHASE_TYPES)
-    base = meta.select("*", pc.alias("_pc"), pv.alias("_pv"),
-                       acts.alias("_acts"), vals.alias("_vals"))
+    # each payload is parsed once, then picked from
+    base = (meta.select("*", A.parse_actions("actions").alias("_acts"), A.parse_actions("action_values").alias("_vals"))
+            .select("*", A.action_pick(F.col("_acts"), A.PURCHASE_TYPES).alias("_pc"),
+                    A.action_pick(F.col("_vals"), A.PURCHASE_TYPES).alias("_pv")))
     pc_v = safe_double(F.col("_pc.value"))
     pv_v = safe_double(F.col("_pv.value"))
     z = lambda c: F.coalesce(c, F.lit(0.0))
@@ -146,8 +144,8 @@ def ad_unified(meta: DataFrame, naver: DataFrame, g_stats: DataFrame, g_names: D
                        F.lit(None).cast("double").alias("conversions"),
                        F.lit(None).cast("double").alias("conversion_value")))
     # Campaign x day rows of the four media: read twice below (covered keys
-    # and output), so computed once; its size is campaigns x days, not events.
-    api = reuse(align_union(meta_p, naver_p, google_p, kakao_p))
+    # and output), so written once; its size is campaigns x days, not events.
+    api = materialize(align_union(meta_p, naver_p, google_p, kakao_p))
     covered = api.select("media", "mall", "report_date").distinct()          # AG10
     # NULL media/brand never equal anything, so such manual rows stay (anti join).
     manual_p = (manual.filter(since("report_date", as_of, years=years))
@@ -191,12 +189,12 @@ def brand_kpi(media: DataFrame, sales: DataFrame, ga: DataFrame, as_of: dt.date,
 
 
 # ------------------------------------------------------------------- P7
-def keyword_unified(naver: DataFrame, history: DataFrame) -> DataFrame:
+def keyword_unified(naver: DataFrame, history: DataFrame, accounts: dict | None = None) -> DataFrame:
+    """P7; ``accounts`` maps an account to its brand, others are lower-cased."""
     api = naver.filter(F.col("level") == "keyword").select(
         "report_date",
-        F.when(F.col("account") == "BRAND_A", F.lit("brand_a"))
-         .when(F.col("account") == "BRAND_B", F.lit("brand_b"))
-         .otherwise(F.lower("account")).alias("mall"),
+        F.coalesce(brand_of(F.col("account"), accounts, default=None) if accounts else F.lit(None),
+                   F.lower("account")).alias("mall"),
         keyword_ad_type("campaign_name").alias("ad_type"),
         F.col("lp_type").alias("landing"),
         F.col("campaign_name").alias("campaign"),
@@ -217,16 +215,19 @@ def keyword_unified(naver: DataFrame, history: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ P15
-def ads_audit(meta: DataFrame, snapshot_date: dt.date) -> DataFrame:
-    """Account-day snapshot; purchase types are *added* (deliberate double
-    count, unlike the priority pick)."""
+def ads_audit(meta: DataFrame, snapshot_at: dt.datetime, days: int | None = None) -> DataFrame:
+    """Account-day snapshot stamped with its time; purchase types are *added*
+    (deliberate double count, unlike the priority pick).  ``days`` keeps the
+    last so many days before the stamp (8 in the scheduled run)."""
+    if days is not None:
+        meta = meta.filter(F.col("report_date") > F.lit(snapshot_at.date() - dt.timedelta(days=days)))
     return meta.groupBy("report_date", "account_id").agg(
         F.sum("spend").alias("spend"),
         F.sum("impressions").alias("impressions"),
         F.sum("clicks").alias("clicks"),
         F.sum(A.sum_types(A.parse_actions("actions"))).alias("purchases"),
         F.sum(A.sum_types(A.parse_actions("action_values"))).alias("purchase_value"),
-    ).withColumn("snapshot_date", F.lit(snapshot_date))
+    ).withColumn("snapshot_date", F.lit(snapshot_at.date())).withColumn("snapshot_at", F.lit(snapshot_at))
 
 
 # ------------------------------------------------------------------- D7

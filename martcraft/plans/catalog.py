@@ -68,12 +68,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # --------------------------------------------------------------------- ads
 
-def _ad_unified(spark, sf):
+def _ad_unified(spark, sf, as_of=AS_OF):
     ev = D.events(spark, sf)
     return ads.ad_unified(
         with_web_purchase(D.meta_ads(spark, sf, ev)), D.naver_ads(spark, sf, ev),
         D.google_stats(spark, sf, ev), D.google_campaign_names(spark, sf, ev),
-        D.kakao_campaign(spark, sf, ev), D.ad_manual(spark, sf, ev), AS_OF,
+        D.kakao_campaign(spark, sf, ev), D.ad_manual(spark, sf, ev), as_of,
         meta_accounts=D.META_ACCOUNTS, google_customers=D.GOOGLE_CUSTOMERS,
         kakao_accounts=D.KAKAO_ACCOUNTS)
 
@@ -87,7 +87,7 @@ def q_meta_campaign_daily(spark, sf):
 
 
 def q_ads_audit(spark, sf):
-    return ads.ads_audit(D.meta_ads(spark, sf), AS_OF)
+    return ads.ads_audit(D.meta_ads(spark, sf), _dt.datetime.combine(AS_OF, _dt.time(6))).drop("snapshot_at")
 
 
 def q_ad_unified(spark, sf):
@@ -106,7 +106,8 @@ def q_brand_kpi(spark, sf):
 
 def q_keyword_unified(spark, sf):
     ev = D.events(spark, sf)
-    return ads.keyword_unified(D.naver_ads(spark, sf, ev), D.naver_keyword_history(spark, sf, ev))
+    return ads.keyword_unified(D.naver_ads(spark, sf, ev), D.naver_keyword_history(spark, sf, ev),
+                               {"BRAND_A": D.BRAND_A, "BRAND_B": D.BRAND_B})
 
 
 def q_hourly_ratios(spark, sf):
@@ -260,16 +261,16 @@ def q_campaign_daily(spark, sf):
 
 def q_tx_reconciliation(spark, sf):
     tx = GA.shape_transactions(D.raw_ga4_transactions(spark, sf))
-    return design.transaction_reconciliation(tx, D.orders(spark, sf),
-                                             AS_OF - _dt.timedelta(days=30), AS_OF)
+    return design.transaction_reconciliation(tx, D.orders(spark, sf))
 
 
 def q_restatement(spark, sf):
     ev = D.events(spark, sf)
-    early = ev.filter(F.minute("ts") < 45)          # what the earlier snapshot had seen
-    snaps = ads.ads_audit(D.meta_ads(spark, sf, early), AS_OF - _dt.timedelta(days=1)).unionByName(
-        ads.ads_audit(D.meta_ads(spark, sf, ev), AS_OF))
-    return design.restatement_convergence(snaps)
+    early = ev.filter(F.minute("ts") < 45)          # what the earlier snapshot of the day had seen
+    at = [_dt.datetime.combine(AS_OF, _dt.time(h)) for h in (6, 18)]
+    snaps = ads.ads_audit(D.meta_ads(spark, sf, early), at[0]).unionByName(
+        ads.ads_audit(D.meta_ads(spark, sf, ev), at[1]))
+    return design.restatement_convergence(snaps).drop("snapshot_at")
 
 
 QUERIES.update({
@@ -294,15 +295,15 @@ COST_CONFIG = CO.CostConfig(
 COST_DAYS = 90
 
 
-def q_cost_daily(spark, sf):
+def q_cost_daily(spark, sf, as_of=AS_OF):
     o = D.orders(spark, sf)
-    items = D.cost_items(spark, sf, D.order_items(spark, sf, current_view(o, o, AS_OF)))
+    items = D.cost_items(spark, sf, D.order_items(spark, sf, current_view(o, o, as_of)))
     sheet = D.price_sheet(spark, sf)
     # the price list feeds several joins
     prices = materialize(CO.parse_price_list(sheet, COST_CONFIG))
     collab = CO.parse_collab_prices(sheet, COST_CONFIG)
-    start = AS_OF - _dt.timedelta(days=COST_DAYS - 1)
-    opts = CO.option_rows(items, start, AS_OF, COST_CONFIG)
+    start = as_of - _dt.timedelta(days=COST_DAYS - 1)
+    opts = CO.option_rows(items, start, as_of, COST_CONFIG)
     return CO.cost_daily(opts, prices, collab, COST_CONFIG)
 
 

@@ -94,9 +94,10 @@ def financial_daily(orders: DataFrame, items: DataFrame) -> DataFrame:
     cannot fan out and the shuffled side is one row per order.
     """
     j = J.parse("raw_json", J.ORDER_JSON)
+    # parsed once into a column of its own; what the join carries is read from it
     o = (orders.filter(F.col("shop_no").isin(*FIN_SHOPS))
          .select("report_date", "mall", "shop_no", "order_id", j.alias("j"))
-         .filter(F.col("j.paid") == "T"))
+         .withColumn("paid", F.col("j.paid")).filter(F.col("paid") == "T").drop("paid"))
     it = (items.filter(F.col("shop_no").isin(*FIN_SHOPS))
           .groupBy("report_date", "shop_no", "order_id").agg(F.count(F.lit(1)).alias("n")))
     x = o.join(it, ["order_id", "report_date", "shop_no"], "left")

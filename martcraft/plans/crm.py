@@ -20,7 +20,7 @@ from martcraft.functions.dates import lag_days, since
 from martcraft.functions.json import ITEM_JSON, parse
 from martcraft.functions.numeric import safe_double
 from martcraft.functions.privacy import digits_only
-from martcraft.session import reuse
+from martcraft.session import materialize
 
 # Send channels and consent notes of the audience file.
 CHANNEL_MEMBER = "알림톡"
@@ -48,7 +48,6 @@ class AudienceSpec:
     include_guest: bool = False
     channel: str = "all"           # all | sms | email
     member_consent: bool = False
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if not self.product_nos and not self.product_kw:
@@ -106,7 +105,7 @@ def segment(orders: DataFrame, items: DataFrame, spec: AudienceSpec, as_of: dt.d
               F.max("product_name").alias("a_product")))
     # One row per matching order in the window; members, their top products
     # and guests all read it, so it is computed once.
-    a = reuse(a)
+    a = materialize(a)
     is_member = F.col("member_id").isNotNull() & (F.col("member_id") != "")
     mem = a.filter(is_member)
     b_cond = product_predicate(spec.exclude_nos, spec.exclude_kw)
@@ -175,17 +174,22 @@ def with_contacts(seg: DataFrame, member_contacts: DataFrame, guest_contacts: Da
                   blocklist: DataFrame, spec: AudienceSpec) -> DataFrame:
     """JN8 + JN9 + consent: every segment row with a ``status`` of
     no_contact / blocked / skip_consent / send, and the output columns."""
-    mc = member_contacts.select("shop_no", F.col("member_id").alias("ref"),
-                                F.lit("member").alias("customer_type"),
-                                "name", "cellphone", "email", "sms", "news_mail")
-    gc = guest_contacts.select("shop_no", F.col("order_id").alias("ref"),
-                               F.lit("guest").alias("customer_type"),
-                               "name", "cellphone", "email", "sms", "news_mail")
+    def contact(df, ref, kind):
+        mobile = F.nullif(F.col("cellphone"), F.lit(""))
+        if "phone" in df.columns:                    # the landline stands in for a missing mobile number
+            mobile = F.coalesce(mobile, F.col("phone"))
+        return df.select("shop_no", F.col(ref).alias("ref"), F.lit(kind).alias("customer_type"), "name",
+                         F.coalesce(mobile, F.col("cellphone")).alias("cellphone"), "email", "sms", "news_mail")
+
+    mc = contact(member_contacts, "member_id", "member")
+    gc = contact(guest_contacts, "order_id", "guest")
     contacts = mc.unionByName(gc)
     x = seg.join(contacts, ["customer_type", "shop_no", "ref"], "left")
     blocked_digits = blocklist.select(F.col("phone_digits").alias("_d")).distinct()
     x = x.withColumn("_d", digits_only(F.coalesce(F.col("cellphone"), F.lit(""))))
-    x = x.join(blocked_digits.withColumn("_blocked", F.lit(True)), "_d", "left")
+    # contacts without a number share one key and can match nothing: they skip the join
+    numbered = x.filter(F.col("_d") != "").join(blocked_digits.withColumn("_blocked", F.lit(True)), "_d", "left")
+    x = numbered.unionByName(x.filter(F.col("_d") == "").withColumn("_blocked", F.lit(None).cast("boolean")))
     member = F.col("customer_type") == "member"
     has_contact = (F.coalesce(F.col("cellphone"), F.lit("")) != "") | \
                   (F.coalesce(F.col("email"), F.lit("")) != "")

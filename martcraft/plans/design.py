@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martcraft.functions.numeric import safe_ratio
@@ -67,22 +67,30 @@ def campaign_daily(ad_unified: DataFrame) -> DataFrame:
         safe_ratio(s("conversion_value"), s("cost")).alias("roas"))
 
 
-def transaction_reconciliation(transactions: DataFrame, orders: DataFrame, start: dt.date,
-                               end: dt.date) -> DataFrame:
-    """Web transactions vs orders by id over [start, end]: status,
-    revenue difference and duplicate firing (> 1 purchase event).  Both sides
-    are pre-aggregated per id so the full join cannot fan out."""
-    t = (transactions.filter(F.col("date").between(F.lit(start), F.lit(end)))
-         .withColumn("order_id", F.regexp_replace("transaction_id", r"[^0-9]", ""))
-         .groupBy("order_id").agg(F.sum("purchase_revenue").alias("ga_revenue"),
-                                  F.sum("ecommerce_purchases").alias("ga_purchases"),
-                                  F.max("brand").alias("ga_brand")))
-    o = (orders.filter(F.col("report_date").between(F.lit(start), F.lit(end)))
-         .groupBy("order_id").agg(F.sum("payment_amount").alias("order_revenue"),
-                                  F.max("mall").alias("order_mall")))
-    j = t.join(o, "order_id", "full")
-    status = (F.when(F.col("ga_revenue").isNull(), F.lit("order_only"))
-               .when(F.col("order_revenue").isNull(), F.lit("ga_only"))
+def order_key(col) -> Column:
+    """Order number as both systems can be compared on: its digits."""
+    return F.regexp_replace(F.col(col), r"[^0-9]", "")
+
+
+def transaction_reconciliation(transactions: DataFrame, orders: DataFrame, start: dt.date | None = None,
+                               end: dt.date | None = None) -> DataFrame:
+    """Web transactions vs orders by brand and id, over [start, end] if
+    given: status, revenue difference and duplicate firing (> 1 purchase
+    event).  The same key rule applies to both sides, and both are
+    pre-aggregated per key so the full join cannot fan out."""
+    def within(df: DataFrame, day: str) -> DataFrame:
+        if start is not None:
+            df = df.filter(F.col(day) >= F.lit(start))
+        return df if end is None else df.filter(F.col(day) <= F.lit(end))
+
+    t = (within(transactions, "date").groupBy("brand", order_key("transaction_id").alias("order_id"))
+         .agg(F.sum("purchase_revenue").alias("ga_revenue"), F.sum("ecommerce_purchases").alias("ga_purchases")))
+    o = (within(orders, "report_date").groupBy(F.col("mall").alias("brand"), order_key("order_id").alias("order_id"))
+         .agg(F.sum("payment_amount").alias("order_revenue")))
+    t, o = t.withColumn("ga_brand", F.col("brand")), o.withColumn("order_mall", F.col("brand"))
+    j = t.join(o, ["brand", "order_id"], "full")
+    status = (F.when(F.col("order_mall").isNull(), F.lit("ga_only"))
+               .when(F.col("ga_brand").isNull(), F.lit("order_only"))
                .otherwise(F.lit("matched")))
     return j.select("order_id", status.alias("status"), "ga_brand", "order_mall", "ga_revenue",
                     "order_revenue", (F.col("ga_revenue") - F.col("order_revenue")).alias("revenue_diff"),
@@ -90,11 +98,12 @@ def transaction_reconciliation(transactions: DataFrame, orders: DataFrame, start
 
 
 def restatement_convergence(snapshots: DataFrame) -> DataFrame:
-    """Change of a day's figures between consecutive snapshots.  The
-    window holds one account-day's snapshots (a handful), never a hot key."""
-    w = Window.partitionBy("account_id", "report_date").orderBy("snapshot_date")
+    """Change of a day's figures between consecutive snapshots, by the time
+    they were taken.  The window holds one account-day's snapshots (a handful),
+    never a hot key."""
+    w = Window.partitionBy("account_id", "report_date").orderBy("snapshot_at")
     return snapshots.select(
-        "account_id", "report_date", "snapshot_date", "spend", "purchases",
+        "account_id", "report_date", "snapshot_date", "snapshot_at", "spend", "purchases",
         (F.col("spend") - F.lag("spend").over(w)).alias("spend_change"),
         (F.col("purchases") - F.lag("purchases").over(w)).alias("purchases_change"),
         F.row_number().over(w).alias("snapshot_seq"))
@@ -116,7 +125,9 @@ def campaign_attribution(ad_unified: DataFrame, sessions: DataFrame, attribution
           .agg(F.sum("sessions").alias("sessions"), F.sum("ecommerce_purchases").alias("ga_purchases")))
     att = (attribution.filter((F.col("report_date") >= lo) & F.col("campaign").isNotNull())
            .select("report_date", "mall", "campaign", "order_id")
-           .join(orders.select("order_id", "mall", "payment_amount"), ["order_id", "mall"], "left")
+           # an order is stamped on its day or the next one
+           .join(orders.filter(F.col("report_date") >= F.date_sub(lo, 1)).select("order_id", "mall", "payment_amount"),
+                 ["order_id", "mall"], "left")
            .groupBy("report_date", "mall", "campaign")
            .agg(F.count_distinct("order_id").alias("attributed_orders"),
                 F.sum("payment_amount").alias("attributed_revenue")))

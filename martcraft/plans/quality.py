@@ -8,10 +8,12 @@ result: one row per checked table is the only thing brought to the driver.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martcraft.operators.union import schema_drift
@@ -21,15 +23,20 @@ from martcraft.operators.union import schema_drift
 class FreshnessCheck:
     label: str
     table: str
-    df: DataFrame
+    df: DataFrame | Callable[[], DataFrame]     # a reader may fail: the table is then stale
     date_col: str
     max_lag_days: int
 
 
 def freshness(checks: list[FreshnessCheck], as_of: dt.date) -> DataFrame:
     rows = []
+    spark = SparkSession.active()
     for c in checks:
-        mx = c.df.agg(F.max(F.col(c.date_col).cast("date")).alias("max_date"))
+        try:
+            df = c.df if isinstance(c.df, DataFrame) else c.df()
+            mx = df.agg(F.max(F.col(c.date_col).cast("date")).alias("max_date"))
+        except AnalysisException:                    # missing table or column: reported, the others go on
+            mx = spark.range(1).select(F.lit(None).cast("date").alias("max_date"))
         rows.append(mx.select(
             F.lit(c.label).alias("label"), F.lit(c.table).alias("table_name"), "max_date",
             F.datediff(F.lit(as_of), F.col("max_date")).alias("lag_days"),

@@ -81,15 +81,3 @@ def materialize(df):
     path = os.path.join(checkpoint_dir(spark), "materialized", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def reuse(df):
-    """Share one computation between the branches of a single query.
-
-    ``persist(MEMORY_AND_DISK)`` is lazy: the first stage that reaches it
-    fills the cache (spilling to disk if needed), later stages read it.  A
-    lost executor's blocks are recomputed from lineage.  Used for small
-    intermediates consumed twice inside one job; intermediates consumed by
-    separate jobs go through :func:`materialize`."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -82,10 +82,16 @@ def _staging(spark: SparkSession, tag: str) -> str:
 
 
 # ------------------------------------------------------------------ modes
+def by_date(df: DataFrame, date_col: str) -> DataFrame:
+    """A date's rows together before a partitioned write, so files are few; a
+    dominant date is still split over several tasks."""
+    return df.hint("rebalance", date_col)
+
+
 def partition_overwrite(df: DataFrame, path: str, date_col: str = "report_date") -> None:
     """SNK1: overwrite only the dates present in the batch; rows without a
     date are dropped; a date absent from the batch keeps its old rows."""
-    (df.filter(F.col(date_col).isNotNull())
+    (by_date(df.filter(F.col(date_col).isNotNull()), date_col)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col).parquet(path))
 
@@ -112,13 +118,47 @@ def range_replace(df: DataFrame, path: str, start: dt.date, end: dt.date,
     never leaves a populated date missing.  Returns the purged dates."""
     spark = df.sparkSession
     batch = df.filter(F.col(date_col).between(F.lit(start), F.lit(end)))
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(date_col).parquet(path))
-    present = {str(r[0]) for r in batch.select(date_col).distinct().toLocalIterator()}
+    stage = f"{path.rstrip('/')}/_stage-{uuid.uuid4().hex}"
+    by_date(batch, date_col).write.mode("overwrite").partitionBy(date_col).parquet(stage)
+    present = set(list_partitions(spark, stage, date_col))       # the batch is computed once
+    _swap(spark, stage, path, date_col)
+    _delete(spark, stage)
     return drop_partitions(spark, path, date_col,
                            lambda d: not (start <= d <= end) or d.isoformat() in present)
 
 
+def _swap(spark: SparkSession, stage: str, path: str, date_col: str, gone: list[str] = ()) -> None:
+    """Put staged date folders in place of the table's, and take the ``gone`` dates out.
+
+    Old folders are renamed aside, new ones renamed in, the old ones deleted
+    last; on an error the old ones are put back.  Stage and table share a
+    folder, so every step is a rename within one file system."""
+    root = path.rstrip("/")
+    aside = f"{root}/_old-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, aside)
+    fs.mkdirs(p)
+    moved: list[tuple[str, str]] = []
+    placed: list[str] = []
+    try:
+        for v in [*list_partitions(spark, stage, date_col), *gone]:
+            target, kept = f"{root}/{date_col}={v}", f"{aside}/{date_col}={v}"
+            if table_exists(spark, target):
+                _rename(spark, target, kept)
+                moved.append((kept, target))
+            if v not in gone:
+                _rename(spark, f"{stage}/{date_col}={v}", target)
+                placed.append(target)
+    except Exception:
+        for target in placed:
+            _delete(spark, target)
+        for kept, target in moved:
+            _rename(spark, kept, target)
+        raise
+    finally:
+        if not moved or table_exists(spark, moved[0][0]):
+            _delete(spark, aside)
+
+
 def range_replace_with_retention(df: DataFrame, path: str, start: dt.date, end: dt.date,
                                  as_of: dt.date, keep_days: int, date_col: str = "date") -> list[str]:
     """SNK5: SNK4, then drop partitions older than ``as_of - keep_days``."""
@@ -132,26 +172,19 @@ def atomic_range_replace(df: DataFrame, path: str, start: dt.date, end: dt.date,
                          date_col: str = "report_date") -> None:
     """SNK6: stage the whole range, then swap partition folders.
 
-    The batch is fully written before any table folder changes; each date
-    folder is then replaced by a directory rename (atomic per folder on
-    HDFS, a copy on object stores).  Not a multi-partition transaction.
+    The batch is fully written beside the table before any table folder
+    changes; each date folder is then replaced by directory renames (atomic
+    per folder on HDFS, a copy on object stores) and put back on an error.
+    Not a multi-partition transaction.
     """
     spark = df.sparkSession
-    stage = _staging(spark, "range")
-    (df.filter(F.col(date_col).between(F.lit(start), F.lit(end)))
-       .write.mode("overwrite").partitionBy(date_col).parquet(stage))
+    stage = f"{path.rstrip('/')}/_stage-{uuid.uuid4().hex}"
+    by_date(df.filter(F.col(date_col).between(F.lit(start), F.lit(end))), date_col) \
+        .write.mode("overwrite").partitionBy(date_col).parquet(stage)
     staged = list_partitions(spark, stage, date_col)
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        fs.mkdirs(root)
-    for v, d in list_partitions(spark, path, date_col).items():
-        day = dt.date.fromisoformat(v[:10])
-        if start <= day <= end and v not in staged:
-            _delete(spark, d)
-    for v, d in staged.items():
-        target = f"{path.rstrip('/')}/{date_col}={v}"
-        _delete(spark, target)
-        _rename(spark, d, target)
+    gone = [v for v in list_partitions(spark, path, date_col)
+            if v not in staged and start <= dt.date.fromisoformat(v[:10]) <= end]
+    _swap(spark, stage, path, date_col, gone)
     _delete(spark, stage)
 
 
@@ -265,21 +298,17 @@ class ViewRegistry:
 BOM = "﻿"
 
 
-def export_csv(df: DataFrame, path: str, columns: list[str], parts: int = 1) -> None:
+def export_csv(df: DataFrame, path: str, columns: list[str], parts: int | None = None) -> None:
     """SNK13: audience file(s) with a header in UTF-8 and a BOM before the
-    header (spreadsheet friendly); one header per part file."""
+    header (spreadsheet friendly); one header per part file.  ``parts`` bounds
+    the number of files; by default each task writes its own."""
     out = df.select(*columns)
     out = out.withColumnRenamed(columns[0], BOM + columns[0])
-    out.coalesce(parts).write.mode("overwrite").option("header", True) \
+    out = out if parts is None else out.coalesce(parts)
+    out.write.mode("overwrite").option("header", True) \
         .option("encoding", "UTF-8").csv(path)
 
 
-# The fourteen final/intraday table pairs served as *_current views.
-CURRENT_TABLES = ["sales_daily", "product_sales", "traffic", "traffic_keyword", "members", "orders",
-                  "order_items", "order_attribution", "ad_sales", "adkeyword_sales", "keyword_sales",
-                  "domain_sales", "ad_effect", "sales_pervisitor"]
-
-
 def register_current_views(spark: SparkSession, pairs: dict, as_of: dt.date,
                            date_col: str = "report_date") -> list[str]:
     """``<name>_current`` = closed days of the final table + the business

@@ -24,10 +24,11 @@ def with_web_purchase(meta: DataFrame) -> DataFrame:
     entry wins) and parses its value leniently: bad text -> NULL, no
     fall-through to the next type.
     """
-    acts = A.parse_actions("actions")
-    vals = A.parse_actions("action_values")
-    return meta.withColumn("web_purchase_count", A.action_value(acts, A.PURCHASE_TYPES, strict=False)) \
-               .withColumn("web_purchase_value", A.action_value(vals, A.PURCHASE_TYPES, strict=False))
+    parsed = meta.withColumns({"_acts": A.parse_actions("actions"), "_vals": A.parse_actions("action_values")})
+    picked = parsed.withColumns({"_acts": A.action_pick(F.col("_acts"), A.PURCHASE_TYPES),
+                                 "_vals": A.action_pick(F.col("_vals"), A.PURCHASE_TYPES)})
+    return picked.withColumns({"web_purchase_count": safe_double(F.col("_acts.value")),
+                               "web_purchase_value": safe_double(F.col("_vals.value"))}).drop("_acts", "_vals")
 
 
 def shape_meta_hourly(raw: DataFrame, accounts: dict) -> DataFrame:

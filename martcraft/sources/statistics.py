@@ -72,7 +72,8 @@ def shape_stat(responses: DataFrame, spec: StatSpec, value_col: str = "value") -
                             parse_record(value_col).alias("_doc"))
     lst = first_list(F.col("_v"), list(spec.keys), parsed=F.col("_doc"))
     recs = resp.select("shop_no", "mall", "day", "window_end", explode_list(lst).alias("rec_text"))
-    recs = recs.select("*", parse_record("rec_text").alias("_m"))
+    # entries that are no objects are no records
+    recs = recs.select("*", parse_record("rec_text").alias("_m")).filter(F.col("_m").isNotNull())
     m = F.col("_m")
     if spec.per_day:
         d = F.col("day").cast("string")

@@ -14,7 +14,7 @@ import calendar
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,11 +34,9 @@ def load_span(as_of: dt.date, *, days: int | None = None, since: dt.date | None
     if since:
         return since, end
     if months:
-        y, m = end.year, end.month - months
-        while m <= 0:
-            y, m = y - 1, m + 12
-        start = dt.date(y, m, min(end.day, calendar.monthrange(y, m)[1])) + dt.timedelta(days=5)
-        return start, end
+        year, month0 = divmod(12 * end.year + end.month - 1 - months, 12)
+        last = calendar.monthrange(year, month0 + 1)[1]
+        return dt.date(year, month0 + 1, min(end.day, last)) + dt.timedelta(days=5), end
     n = days or 1
     return end - dt.timedelta(days=n - 1), end
 
@@ -52,20 +50,37 @@ def lookback_filter(df: DataFrame, as_of: dt.date, lookback: int, date_col: str
 
 
 # ------------------------------------------------------------------- MB1
+def export_of(path_col: Column | str = "_path") -> Column:
+    """Export a landed file belongs to: its folder for part files, else itself."""
+    p = F.col(path_col) if isinstance(path_col, str) else path_col
+    return F.regexp_replace(p, "/part-[^/]*$", "")
+
+
 def intraday_refresh(spark: SparkSession, landing: str, schema: T.StructType, fmt: str,
                      shape: Callable[[DataFrame], DataFrame], target: str, checkpoint: str,
                      date_col: str = "report_date", as_of: dt.date | None = None):
     """Process newly landed files once (availableNow) and overwrite the dates
     they carry (SNK1).  ``as_of`` limits the batch to the business day, which
-    makes the target the intraday ``_d0`` twin."""
+    makes the target the intraday ``_d0`` twin.
+
+    Input contract: an export (a file, or a folder of part files) is complete
+    for every date it carries.  Exports that arrive together are applied one
+    after the other, oldest first, so the latest one's rows of a date stand."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        out = shape(batch)
-        if as_of is not None:
-            out = out.filter(F.col(date_col) == F.lit(as_of))
-        lake.partition_overwrite(out, target, date_col)
+        landed = batch.withColumn("_export", export_of())
+        exports = (landed.groupBy("_export").agg(F.max("_time").alias("_time"))
+                   .orderBy("_time", "_export").collect())      # one row per landed export
+        for e in exports:
+            rows = landed if len(exports) == 1 else landed.filter(F.col("_export") == e["_export"])
+            out = shape(rows.drop("_export", "_path", "_time"))
+            if as_of is not None:
+                out = out.filter(F.col(date_col) == F.lit(as_of))
+            lake.partition_overwrite(out, target, date_col)
 
     q = (spark.readStream.format(fmt).schema(schema).load(landing)
+         .select("*", F.col("_metadata.file_path").alias("_path"),
+                 F.col("_metadata.file_modification_time").alias("_time"))
          .writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
