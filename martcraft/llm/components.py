@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from martcraft.session import materialize
 
 
-def _signature(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-    return r["n"], r["x"]
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) of every node with an edge; root is the smallest id reachable.
 
@@ -24,20 +19,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .distinct())
-    seen = _signature(e)
-    if not seen[0]:
-        return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(max_rounds):
         both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
-        e = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = e.groupBy("a").agg(F.min("b").alias("m"))
-        small = e.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         e = materialize(small.union(low.select("a", F.col("m").alias("b"))).distinct())
-        now = _signature(e)
-        if now == seen:
+        # settled once no id has two parents and no parent has one
+        open_ = e.select("a").groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(
+            e.select(F.col("b").alias("a"), F.lit(1).alias("up")).distinct(), "a", "left").where("n > 1 or up = 1")
+        if open_.isEmpty():
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
     raise RuntimeError("components did not settle")

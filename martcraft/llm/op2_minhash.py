@@ -14,7 +14,7 @@
    components when they have at most ``leaf`` documents; larger ones branch on, now
    into 1.5 nodes on average: a pair of similarity 0.8 then expects 1.2 shared
    branches a level, so what reaches this point is not lost with depth.
-   Candidates are confirmed on full sets and contracted again.
+   Candidates are confirmed on full sets; the components of all links are the classes.
 
 Minhash agreement only rules out pairs ``SLACK`` below the threshold (3.7 standard
 deviations); every link rests on full sets.  A node that is still too large after
@@ -255,6 +255,16 @@ def _across(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, perce
     return map_groups(rows, "node", solve, "a long, b long")
 
 
+def _hooked(links: DataFrame) -> DataFrame:
+    """(node, root): each document's least linked id, followed once more.
+
+    Documents with one root are connected; a component may keep several roots, which
+    only means that more pairs are compared."""
+    low = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+    return low.join(low.select(F.col("node").alias("root"), F.col("root").alias("over")), "root", "left").select(
+        "node", F.coalesce("over", "root").alias("root"))
+
+
 def _label(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
         "node", "doc", F.coalesce("root", "doc").alias("comp"))
@@ -268,7 +278,7 @@ def _shared(rows: DataFrame, by: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees: int = 10, depth: int = 3,
-                    leaf: int = 2048, max_depth: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    leaf: int = 4096, max_depth: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per id: doc_id, n_shingles, component_id (smallest id reachable), kept, n_rows
     (rows of that id)."""
     threshold = percent / 100
@@ -287,11 +297,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees:
         stars = live.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
         found = materialize(_confirm(_near(stars, reps, threshold), docs, shingle, percent))
         links = found if links is None else links.union(found)
-        roots = connected_components(links)
-        mixed = materialize(_shared(_label(live, roots), "comp"))
-        big = mixed.where(F.col("size") > leaf)
+        mixed = materialize(_shared(_label(live, _hooked(links)), "comp"))
         small = mixed.where(F.col("size") <= leaf).select("node", "doc", "comp")
         links = links.union(materialize(_across(small, reps, docs, shingle, percent)))
+        big = mixed.where(F.col("size") > leaf)
         if level >= max_depth or big.isEmpty():
             break
         live = materialize(_shared(_branch_on(big, reps), "doc").select("node", "doc", "pivot"))
