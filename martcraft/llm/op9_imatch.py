@@ -17,8 +17,8 @@ The next document comes from one shuffle: ids are dealt by blocks of ``span``, a
 each block gets a copy of the document that follows it, so that a window sees the
 text after each text.  All later grouping stays within the blocks' partitions.
 
-Nulls and edge cases: a null text is empty; a text without a lexicon term has a
-fingerprint of its word sequence, alike (1) only if equal; rows that repeat an id
+Nulls and edge cases: a null text is empty; a text without a term in any subset has
+the fingerprint of its word sequence, alike (1) only if equal; rows that repeat an id
 follow each other by text; a null id sorts after all others; a single document is its
 own next one; an empty table gives no rows; other columns are ignored.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 
 from martcraft.session import materialize
 
-SUBSETS = 32
+SUBSETS = 48
 LO, HI = 0.001, 0.2
 _BITS = 20                  # hash bits of a term for one subset; three subsets share a 64-bit hash
 _MARK = "\n"                # no word: keeps a row of every text through the lexicon join
@@ -86,8 +86,10 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, span: int = 64) -> Da
 
 
 def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
-    """rows (block, ord, id, extra, n_chars, sha, which, body) -> the same without body, with terms, base,
-    near, far (arrays of subset hashes at two sizes) and whole (hash of the word sequence)."""
+    """rows (block, ord, id, extra, n_chars, sha, which, body) -> the same without body, with base, near, far
+    (arrays of subset hashes at two sizes), terms (subsets with a term) and whole (hash of the word sequence).
+
+    A term is in few subsets, so a row per term and subset it is in is fewer rows than terms."""
     keep = ["block", "ord", "which", "id", "extra", "n_chars", "sha"]
     counted = rows.withColumn("ws", words(F.col("body"))).withColumn("base", F.least(
         F.lit(_BITS - 2), F.floor(F.log2(F.size("ws") + F.lit(1.0))).cast("int")))
@@ -97,20 +99,30 @@ def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
            .select(*keys, F.xxhash64("w").alias("term")))
     known = lex.select("term", F.col("term").alias("t")).union(
         lex.sparkSession.range(1).select(F.xxhash64(F.lit(_MARK)).alias("term"), F.lit(0).cast("long").alias("t")))
-    one = F.lit(1).cast("long")
-    out = (out.join(F.broadcast(known), "term")
-           .withColumn("m1", F.expr("shiftleft(1L, base) - 1"))
-           .withColumn("m2", F.expr("shiftleft(1L, base + 1) - 1"))
-           .withColumns({f"x{j}": F.xxhash64("t", F.lit(j)) for j in range(-(-SUBSETS // 3))}))
-    aggs = [(F.count(F.lit(1)) - one).alias("terms")]
+    inside = F.lit(0).cast("long")
     for k in range(SUBSETS):
         bits = F.shiftrightunsigned(F.col(f"x{k // 3}"), _BITS * (k % 3))
-        for size in ("1", "2"):
-            aggs.append(F.bit_xor(F.when(bits.bitwiseAND(F.col(f"m{size}")) == 0, F.col("t"))
-                                  .otherwise(F.lit(0).cast("long"))).alias(f"h{size}_{k}"))
-    short = lambda size: F.array(*[F.col(f"h{size}_{k}").bitwiseAND(F.lit(0xFFFF)).cast("int")
-                                   for k in range(SUBSETS)])
-    return out.groupBy(*keys).agg(*aggs).select(*keys, "terms", short("1").alias("near"), short("2").alias("far"))
+        inside = inside.bitwiseOR(F.when(bits.bitwiseAND(F.col("mask")) == 0, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
+    out = (out.join(F.broadcast(known), "term")
+           .withColumn("mask", F.expr("shiftleft(1L, base) - 1"))
+           .withColumns({f"x{j}": F.xxhash64("t", F.lit(j)) for j in range(-(-SUBSETS // 3))})
+           .select(*keys, "t", *[f"x{j}" for j in range(-(-SUBSETS // 3))], inside.alias("inside"))
+           .where("t = 0 or inside <> 0"))
+    member = F.when(F.col("t") == 0, F.array(F.lit(-1))).otherwise(F.filter(
+        F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.getbit(F.col("inside"), k) == 1))
+    x = F.element_at(F.array(*[F.col(f"x{j}") for j in range(-(-SUBSETS // 3))]), (F.col("k") / 3).cast("int") + 1)
+    one_more = F.expr(f"shiftrightunsigned(x, {_BITS} * (k % 3) + base) & 1")     # the next bit decides the smaller size
+    hashed = (out.withColumn("k", F.explode(member)).withColumn("x", F.when(F.col("k") >= 0, x))
+              .groupBy(*keys, "k").agg(
+                  F.bit_xor("t").alias("n"),
+                  F.bit_xor(F.when(one_more == 0, F.col("t")).otherwise(F.lit(0).cast("long"))).alias("f")))
+    low = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    lists = hashed.groupBy(*keys).agg(F.collect_list(F.struct("k", low("n").alias("n"), low("f").alias("f"))).alias("l"))
+    by_k = F.map_from_entries(F.transform("l", lambda e: F.struct(e["k"], F.struct(e["n"], e["f"]))))
+    full = lambda c: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
+                                 lambda k: F.coalesce(F.col("by_k")[k][c], F.lit(0)))
+    return lists.withColumn("by_k", by_k).select(*keys, (F.size("l") - 1).alias("terms"), full("n").alias("near"),
+                                                 full("f").alias("far"))
 
 
 def _text(p: Column) -> Column:
