@@ -3,12 +3,12 @@
 A text's terms are its distinct lower-cased words.  The lexicon holds the terms whose
 document frequency lies in a band [lo, hi] of all documents; its size is at most the
 mean number of terms of a document divided by ``lo``, whatever the number of
-documents, so it may be broadcast.  ``SUBSETS`` randomised subsets of it keep a term
-if so many bits of the term's hash for that subset are zero; the number of bits
-follows the text's number of terms, so a subset holds about one of them.  The hash of
-a text's terms in a subset is the exclusive or of the term hashes, which is that of
-the sorted distinct terms in any order.  The fingerprint joins these hashes, at two
-neighbouring subset sizes so that texts of similar length share one.
+documents, so it may be broadcast.  A second hash deals the lexicon at random into
+2 ** b subsets, b following the text's number of terms so that a subset holds about
+one of them, and the first ``SUBSETS`` of these are used.  The hash of a text's terms in
+a subset is the exclusive or of the term hashes, which is that of the sorted distinct
+terms in any order.  The fingerprint joins these hashes, at two neighbouring subset
+sizes so that texts of similar length share one.
 
 Likeness of two fingerprints: of the subsets with a term of either text, the share
 with equal hashes; 0 if the texts differ in size beyond a factor of two to four.
@@ -31,9 +31,8 @@ from pyspark.sql import Window as W
 
 from martcraft.session import materialize
 
-SUBSETS = 48
+SUBSETS = 64
 LO, HI = 0.001, 0.2
-_BITS = 20                  # hash bits of a term for one subset; three subsets share a 64-bit hash
 _MARK = "\n"                # no word: keeps a row of every text through the lexicon join
 
 
@@ -87,42 +86,27 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, span: int = 64) -> Da
 
 def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
     """rows (block, ord, id, extra, n_chars, sha, which, body) -> the same without body, with base, near, far
-    (arrays of subset hashes at two sizes), terms (subsets with a term) and whole (hash of the word sequence).
-
-    A term is in few subsets, so a row per term and subset it is in is fewer rows than terms."""
+    (arrays of subset hashes at two sizes), terms (subsets with a term) and whole (hash of the word sequence)."""
     keep = ["block", "ord", "which", "id", "extra", "n_chars", "sha"]
-    counted = rows.withColumn("ws", words(F.col("body"))).withColumn("base", F.least(
-        F.lit(_BITS - 2), F.floor(F.log2(F.size("ws") + F.lit(1.0))).cast("int")))
+    counted = rows.withColumn("ws", words(F.col("body"))).withColumn(
+        "base", F.least(F.lit(40), F.floor(F.log2(F.size("ws") + F.lit(1.0))).cast("int") + 1))
     keys = [*keep, "base", "whole"]
     out = (counted.select(*keep, "base", F.xxhash64("ws").alias("whole"),
                           F.explode(F.array_append("ws", F.lit(_MARK))).alias("w"))
            .select(*keys, F.xxhash64("w").alias("term")))
-    known = lex.select("term", F.col("term").alias("t")).union(
-        lex.sparkSession.range(1).select(F.xxhash64(F.lit(_MARK)).alias("term"), F.lit(0).cast("long").alias("t")))
-    inside = F.lit(0).cast("long")
-    for k in range(SUBSETS):
-        bits = F.shiftrightunsigned(F.col(f"x{k // 3}"), _BITS * (k % 3))
-        inside = inside.bitwiseOR(F.when(bits.bitwiseAND(F.col("mask")) == 0, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-    out = (out.join(F.broadcast(known), "term")
-           .withColumn("mask", F.expr("shiftleft(1L, base) - 1"))
-           .withColumns({f"x{j}": F.xxhash64("t", F.lit(j)) for j in range(-(-SUBSETS // 3))})
-           .select(*keys, "t", *[f"x{j}" for j in range(-(-SUBSETS // 3))], inside.alias("inside"))
-           .where("t = 0 or inside <> 0"))
-    member = F.when(F.col("t") == 0, F.array(F.lit(-1))).otherwise(F.filter(
-        F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.getbit(F.col("inside"), k) == 1))
-    x = F.element_at(F.array(*[F.col(f"x{j}") for j in range(-(-SUBSETS // 3))]), (F.col("k") / 3).cast("int") + 1)
-    one_more = F.expr(f"shiftrightunsigned(x, {_BITS} * (k % 3) + base) & 1")     # the next bit decides the smaller size
-    hashed = (out.withColumn("k", F.explode(member)).withColumn("x", F.when(F.col("k") >= 0, x))
-              .groupBy(*keys, "k").agg(
-                  F.bit_xor("t").alias("n"),
-                  F.bit_xor(F.when(one_more == 0, F.col("t")).otherwise(F.lit(0).cast("long"))).alias("f")))
-    low = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    lists = hashed.groupBy(*keys).agg(F.collect_list(F.struct("k", low("n").alias("n"), low("f").alias("f"))).alias("l"))
-    by_k = F.map_from_entries(F.transform("l", lambda e: F.struct(e["k"], F.struct(e["n"], e["f"]))))
-    full = lambda c: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
-                                 lambda k: F.coalesce(F.col("by_k")[k][c], F.lit(0)))
-    return lists.withColumn("by_k", by_k).select(*keys, (F.size("l") - 1).alias("terms"), full("n").alias("near"),
-                                                 full("f").alias("far"))
+    known = lex.select("term", F.xxhash64("term", F.lit(9)).alias("u")).union(
+        lex.sparkSession.range(1).select(F.xxhash64(F.lit(_MARK)).alias("term"), F.lit(None).cast("long").alias("u")))
+    # the subset of a term at either size; the mark has one of its own
+    places = F.when(F.col("u").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.filter(F.array(
+        F.when(F.expr(f"u & (shiftleft(1L, base) - 1) < {SUBSETS}"), F.expr("u & (shiftleft(1L, base) - 1)")),
+        F.when(F.expr(f"u & (shiftleft(1L, base + 1) - 1) < {SUBSETS}"),
+               F.expr(f"(u & (shiftleft(1L, base + 1) - 1)) + {SUBSETS}"))), lambda k: k.isNotNull()))
+    hashed = (out.join(F.broadcast(known), "term").select(*keys, "term", F.explode(places).alias("k"))
+              .groupBy(*keys, "k").agg(F.bit_xor("term").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("v")))
+    lists = hashed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
+    part = lambda at: F.transform(F.sequence(F.lit(at).cast("long"), F.lit(at + SUBSETS - 1).cast("long")),
+                                  lambda k: F.coalesce(F.col("m")[k], F.lit(0)))
+    return lists.select(*keys, (F.size("m") - 1).alias("terms"), part(0).alias("near"), part(SUBSETS).alias("far"))
 
 
 def _text(p: Column) -> Column:
