@@ -2,7 +2,8 @@
 
 Each entry takes (spark, sf_dir), lands the reference-shaped tables from the
 benchmark tables with ``sources.driver`` and runs one view or mart over them
-for the fixed business date ``driver.AS_OF``.  Nothing is collected.
+for the fixed business date ``driver.AS_OF``.  Shared intermediates (P8,
+P13, P14) and the stream of MB1 are written while the query is built.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from martcraft.operators.union import current_view
 from martcraft.plans import ads, commerce, crm, design, quality
 from martcraft.plans import cost as CO
+from martcraft.plans import writes
 from martcraft.session import materialize, scratch_path
 from martcraft.sources import analytics as GA
 from martcraft.sources import commerce as SC
@@ -353,3 +355,7 @@ def q_intraday_reload(spark, sf):
 
 
 QUERIES["mb1_intraday_reload"] = q_intraday_reload
+
+
+# ------------------------------------------------------------------- sinks
+QUERIES.update(writes.QUERIES)

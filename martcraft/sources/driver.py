@@ -445,8 +445,8 @@ def items_named(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame
     return items.join(product_names(spark, sf_dir), "product_no", "left")
 
 
-def _phone(a: Column, b: Column, sep: str) -> Column:
-    return F.concat(F.lit("010"), F.lit(sep), F.lpad((a % 10000).cast("string"), 4, "0"),
+def _phone(a: Column, b: Column, sep: str, area: Column | None = None) -> Column:
+    return F.concat(F.lit("010") if area is None else area, F.lit(sep), F.lpad((a % 10000).cast("string"), 4, "0"),
                     F.lit(sep), F.lpad((b % 10000).cast("string"), 4, "0"))
 
 
@@ -483,19 +483,21 @@ def guest_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocklist_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppression sheet rows (reg, phone, row_no) in sheet order: customers of
-    two nations opted out; nation 3 appears twice with other formatting, and
-    some guest receivers are listed too."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_nationkey").isin(3, 7))
+    """Suppression sheet rows (reg, phone, row_no) in sheet order, one per
+    customer: those of two nations gave their mobile number, all others a
+    landline that no contact record has; nation 3 appears twice with other
+    formatting."""
+    c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     rows = c.select(
+        F.when(F.col("c_nationkey").isin(3, 7), F.lit("010")).otherwise(F.lit("02")).alias("area"),
         F.explode(F.when(F.col("c_nationkey") == 3, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("copy"), key)
     member_rows = rows.select(
         (key * 2 + F.col("copy")).alias("row_no"),
         F.concat(F.lit("reg-"), key.cast("string")).alias("reg"),
-        F.when(F.col("copy") == 0, _phone(key, key * 7, "-"))
-         .otherwise(F.concat(F.lit(" "), _phone(key, key * 7, " "), F.lit(" "))).alias("phone"))
+        F.when(F.col("copy") == 0, _phone(key, key * 7, "-", F.col("area")))
+         .otherwise(F.concat(F.lit(" "), _phone(key, key * 7, " ", F.col("area")), F.lit(" "))).alias("phone"))
     return member_rows
 
 
@@ -516,7 +518,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Items are nested per order, as the order API returns them: one
     aggregation keyed by the order collects that order's lines (1 to 7 per
-    order in this data).  The group is one order document, so its size is
+    order in these tables; a feed may repeat line numbers).  The group is one order document, so its size is
     bounded by the lines of a single order, not by any hot customer, shop or
     day.
     """

@@ -2,10 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SMALL
-
-QUERIES = E.queries()
+from martcraft.plans.catalog import QUERIES
 
 
 def _plan(spark, name):
@@ -41,3 +39,8 @@ def test_cost_model_matches_flavours_with_equi_joins(spark):
     plan = _plan(spark, "p14_cost_daily")
     assert "Generate explode" in plan          # enumerated substrings
     assert "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("name, parses", [("p5_meta_ads_flat", 2), ("p6_meta_campaign_daily", 2)])
+def test_ads_payloads_are_parsed_once(spark, name, parses):
+    assert _plan(spark, name).count("from_json(") == parses
