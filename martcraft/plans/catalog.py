@@ -261,6 +261,10 @@ def q_campaign_daily(spark, sf):
     return design.campaign_daily(_ad_unified(spark, sf))
 
 
+def q_creative_daily(spark, sf):
+    return design.creative_daily(q_meta_ads_flat(spark, sf))
+
+
 def q_tx_reconciliation(spark, sf):
     tx = GA.shape_transactions(D.raw_ga4_transactions(spark, sf))
     return design.transaction_reconciliation(tx, D.orders(spark, sf))
@@ -281,6 +285,7 @@ QUERIES.update({
     "d2_exec_weekly_kpi": q_exec_weekly,
     "d3_keyword_daily": q_keyword_daily,
     "d3_campaign_daily": q_campaign_daily,
+    "d3_creative_daily": q_creative_daily,
     "d4_tx_reconciliation": q_tx_reconciliation,
     "d6_restatement": q_restatement,
 })

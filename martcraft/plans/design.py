@@ -67,6 +67,17 @@ def campaign_daily(ad_unified: DataFrame) -> DataFrame:
         safe_ratio(s("conversion_value"), s("cost")).alias("roas"))
 
 
+def creative_daily(flat: DataFrame) -> DataFrame:
+    """D3: creative purpose table, the flattened ads (P5) by ad."""
+    s = F.sum
+    return flat.groupBy("report_date", "mall", "campaign_id", "ad_id").agg(
+        F.max("ad_name").alias("ad_name"), s("spend").alias("cost"), s("impressions").alias("impressions"),
+        s("clicks").alias("clicks"), s("purchase_cnt").alias("conversions"),
+        s("purchase_value").alias("conversion_value"),
+        safe_ratio(s("clicks"), s("impressions")).alias("ctr"),
+        safe_ratio(s("purchase_value"), s("spend")).alias("roas"))
+
+
 def order_key(col) -> Column:
     """Order number as both systems can be compared on: its digits."""
     return F.regexp_replace(F.col(col), r"[^0-9]", "")

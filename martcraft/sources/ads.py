@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martcraft.functions import actions as A
 from martcraft.functions.numeric import safe_double
+from martcraft.sources.records import parse_record
 
 
 def brand_of(account: Column, mapping: dict, default: str | None = "unknown") -> Column:
@@ -31,6 +32,37 @@ def with_web_purchase(meta: DataFrame) -> DataFrame:
                                "web_purchase_value": safe_double(F.col("_vals.value"))}).drop("_acts", "_vals")
 
 
+# ---- fixed values: fields of a daily ad record, in landing order
+META_TEXT = ["account_id", "account_name", "account_currency", "campaign_id", "campaign_name", "adset_id", "adset_name",
+             "ad_id", "ad_name", "objective", "optimization_goal", "buying_type", "date_start", "date_stop"]
+META_NUMBERS = ["spend", "impressions", "clicks", "reach", "frequency", "cpc", "cpm", "cpp", "ctr", "unique_clicks",
+                "unique_ctr", "cost_per_unique_click", "inline_link_clicks", "inline_link_click_ctr",
+                "cost_per_inline_link_click", "inline_post_engagement"]
+META_NESTED = ["actions", "action_values", "conversions", "conversion_values", "cost_per_action_type",
+               "cost_per_conversion", "purchase_roas", "website_purchase_roas", "video_play_actions",
+               "video_p25_watched_actions", "video_p50_watched_actions", "video_p75_watched_actions",
+               "video_p100_watched_actions", "video_avg_time_watched_actions", "outbound_clicks",
+               "unique_outbound_clicks"]
+
+
+def shape_meta(raw: DataFrame, value_col: str = "value", account_col: str = "account") -> DataFrame:
+    """SRC8: landed ad records (JSON text, requested account) -> typed rows.
+
+    Text fields as text, numbers as double (bad text -> NULL), nested fields as
+    JSON text, the two web purchase columns, report_date from the record's
+    start day; a record without an account takes the requested one."""
+    m = F.col("_m")
+    rows = raw.select(F.col(value_col).alias("raw_json"), F.col(account_col).alias("_account"),
+                      parse_record(value_col).alias("_m")).filter(m.isNotNull())
+    cols = [m[c].alias(c) for c in META_TEXT if c != "account_id"]
+    typed = rows.select(
+        F.coalesce(F.nullif(m["account_id"], F.lit("")), F.col("_account")).alias("account_id"), *cols,
+        *[safe_double(m[c]).alias(c) for c in META_NUMBERS], *[m[c].alias(c) for c in META_NESTED],
+        F.try_to_date(m["date_start"], "yyyy-MM-dd").alias("report_date"), "raw_json",
+        F.current_timestamp().alias("ingested_at"))
+    return with_web_purchase(typed)
+
+
 def shape_meta_hourly(raw: DataFrame, accounts: dict) -> DataFrame:
     """SRC9: hour = int of the first two characters of 'HH:00:00 - HH:59:59';
     brand by a two-account map with NULL for the rest; counts int, spend float."""

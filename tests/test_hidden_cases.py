@@ -14,6 +14,7 @@ from martcraft.functions.classify import ship_rate, size_ml
 from martcraft.plans import ads, crm, design, quality
 from martcraft.plans.catalog import QUERIES
 from martcraft.sinks import lake
+from martcraft.sources import ads as SA
 from martcraft.sources import statistics as ST
 from martcraft.streaming import intraday as I
 
@@ -173,3 +174,14 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         S.checkpoint_dir(Session)
+
+
+def test_meta_records_are_typed(spark):
+    recs = [{"account_id": "1", "spend": "2.5", "impressions": 7, "clicks": "x", "date_start": "2024-01-02",
+             "actions": [{"action_type": "purchase", "value": "3"}], "objective": "SALES"},
+            {"date_start": "bad", "action_values": [{"action_type": "omni_purchase", "value": "4.5"}]}]
+    df = spark.createDataFrame([(json.dumps(r), "9") for r in recs] + [("[1]", "9")], "value string, account string")
+    a, b = sorted(SA.shape_meta(df).collect(), key=lambda r: r.account_id)
+    assert (a.account_id, a.spend, a.impressions, a.clicks, a.report_date, a.objective) == ("1", 2.5, 7.0, None, D(2024, 1, 2), "SALES")
+    assert json.loads(a.actions) == recs[0]["actions"] and a.web_purchase_count == 3.0 and a.web_purchase_value is None
+    assert (b.account_id, b.report_date, b.web_purchase_value) == ("9", None, 4.5)
