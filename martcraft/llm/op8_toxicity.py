@@ -237,7 +237,7 @@ def scores(model: Model, texts: list[str | None]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: str = "true", label_col: str = "toxic", id_col: str = "doc_id",
-          text_col: str = "text", max_docs: int = 5000) -> Model:
+          text_col: str = "text", max_docs: int = 8000) -> Model:
     got = labelled(docs, labels, label_col, learn, max_docs, id_col, text_col)
     rows: list = [None] * len(got)
     for k, b in split_words([r["text"] for r in got]):

@@ -101,7 +101,10 @@ def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
         F.when(F.expr(f"u & (shiftleft(1L, base) - 1) < {SUBSETS}"), F.expr("u & (shiftleft(1L, base) - 1)")),
         F.when(F.expr(f"u & (shiftleft(1L, base + 1) - 1) < {SUBSETS}"),
                F.expr(f"(u & (shiftleft(1L, base + 1) - 1)) + {SUBSETS}"))), lambda k: k.isNotNull()))
-    hashed = (out.join(F.broadcast(known), "term").select(*keys, "term", F.explode(places).alias("k"))
+    # most terms of a long text are in no used subset of either size: they go before the arrays are built
+    hashed = (out.join(F.broadcast(known), "term")
+              .where(f"u is null or u & (shiftleft(1L, base) - 1) < {SUBSETS}")
+              .select(*keys, "term", F.explode(places).alias("k"))
               .groupBy(*keys, "k").agg(F.bit_xor("term").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("v")))
     lists = hashed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
     part = lambda at: F.transform(F.sequence(F.lit(at).cast("long"), F.lit(at + SUBSETS - 1).cast("long")),
