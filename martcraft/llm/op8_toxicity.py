@@ -50,7 +50,7 @@ LANGUAGES = {
 def split_words(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
     """Buckets of each word (whole, and its heads), letters A-Z lower-cased."""
     for k, h in word_hashes(texts, lower=True, heads=HEADS):
-        yield k, (h & U64(BUCKETS - 1)).astype(np.int64)
+        yield k, (h & U64(BUCKETS - 1)).astype(np.int32)
 
 
 def _function_buckets() -> list[np.ndarray]:
@@ -114,10 +114,10 @@ class Model:
 def index(keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
     """1 + place among the keys; 0 for unknown."""
     if not len(keys):
-        return np.zeros(buckets.shape, np.int64)
+        return np.zeros(buckets.shape, np.int32)
     at = np.searchsorted(keys, buckets)
     at[at == len(keys)] = 0
-    return np.where(keys[at] == buckets, at + 1, 0)
+    return np.where(keys[at] == buckets, at + 1, 0).astype(np.int32)
 
 
 def _rescale(p: np.ndarray, cut: np.ndarray) -> np.ndarray:
@@ -141,13 +141,14 @@ def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = 5, rate: float = 0.
     """``rows``: bucket sequences of the training documents."""
     rng = np.random.Generator(np.random.PCG64(seed))
     uniq = [np.unique(r) for r in rows]
-    keys, used = np.unique(np.concatenate([*uniq, np.zeros(0, np.int64)]), return_counts=True)
+    keys, used = np.unique(np.concatenate([*uniq, np.zeros(0, np.int32)]), return_counts=True)
     keys = keys[used >= max(2, round(len(rows) ** 0.5 / 7))]
     blank = Model(keys, [np.zeros((w, len(keys) + 1, FILTERS), np.float32) for w in WIDTHS],
                  np.zeros(FILTERS * len(WIDTHS), np.float32), np.zeros(FILTERS * len(WIDTHS), np.float32), -4.0,
                  np.full(len(LANGUAGES), 0.5))
     if len(np.unique(y)) < 2 or not len(keys):
         return blank
+    del uniq
     ids = [index(keys, r) for r in rows]
     calibrate = np.arange(len(rows)) % 4 == 0
     learn = np.flatnonzero(~calibrate) if y[~calibrate].any() and y[calibrate].any() else np.arange(len(rows))
@@ -237,12 +238,15 @@ def scores(model: Model, texts: list[str | None]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: str = "true", label_col: str = "toxic", id_col: str = "doc_id",
-          text_col: str = "text", max_docs: int = 8000) -> Model:
+          text_col: str = "text", max_docs: int = 5000) -> Model:
     got = labelled(docs, labels, label_col, learn, max_docs, id_col, text_col)
-    rows: list = [None] * len(got)
-    for k, b in split_words([r["text"] for r in got]):
+    y, texts = np.array([r["y"] for r in got], np.int64), [r["text"] for r in got]
+    del got
+    rows: list = [None] * len(texts)
+    for k, b in split_words(texts):
         rows[k] = b
-    return fit(rows, np.array([r["y"] for r in got], np.int64))
+    del texts
+    return fit(rows, y)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
