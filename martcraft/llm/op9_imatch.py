@@ -1,9 +1,9 @@
 """Operator 9: I-Match fingerprints over randomised lexicon subsets (DataFrame functions only).
 
 A text's terms are its distinct lower-cased words.  The lexicon holds the terms whose
-document frequency lies in a band [lo, hi] of all documents; its size is at most the
-mean number of terms of a document divided by ``lo``, whatever the number of
-documents, so it may be broadcast.  A second hash deals the lexicon at random into
+document frequency lies in a band [lo, hi] of all distinct texts; its size is at most
+the mean number of terms of a text divided by ``lo``, whatever the number of texts,
+so it may be broadcast.  A second hash deals the lexicon at random into
 2 ** b subsets, b following the text's number of terms so that a subset holds about
 one of them, and the first ``SUBSETS`` of these are used.  The hash of a text's terms in
 a subset is the exclusive or of the term hashes, which is that of the sorted distinct
@@ -41,9 +41,16 @@ def words(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", lo: float = LO, hi: float = HI) -> DataFrame:
-    """term (64-bit hash) of every term with a document frequency in the band (2 documents at least)."""
-    n = docs.count()
-    terms = docs.select(F.explode(words(F.col(text_col))).alias("w")).select(F.xxhash64("w").alias("term"))
+    """term (64-bit hash) of every term with a document frequency in the band (2 texts at least).
+
+    Equal texts count once, or a large group of copies would push its terms out of the band."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.xxhash64(text).alias("h"), F.length(text).alias("size"),
+                        F.array_join(words(text), " ").alias("ws"))
+    n = keyed.select("h", "size").distinct().count()
+    # copies meet in the tasks that read them, so a hot text sends one row per task
+    once = keyed.groupBy("h", "size").agg(F.first("ws").alias("ws")).where("ws <> ''")
+    terms = once.select(F.explode(F.split("ws", " ")).alias("w")).select(F.xxhash64("w").alias("term"))
     return (terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
             .where((F.col("df") >= max(2.0, lo * n)) & (F.col("df") <= max(2.0, hi * n))).select("term"))
 

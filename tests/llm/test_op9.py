@@ -58,3 +58,15 @@ def test_fingerprints_agree_and_no_python_in_the_plan(spark):
     assert one == {r.doc_id: r.fingerprint for r in pairs.collect()}
     plan = pairs._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "ArrowEval", "Pandas"))
+
+
+def test_copies_count_once_in_the_lexicon(spark):
+    rng = random.Random(3)
+    pool = [f"term{i}" for i in range(400)]
+    texts = [" ".join(rng.sample(pool, 40)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + 2 * i, texts[0]) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    once = spark.createDataFrame(rows[:200], "doc_id long, text string")
+    assert {r.term for r in o.lexicon(df).collect()} == {r.term for r in o.lexicon(once).collect()}
+    got = o.compare_with_edits(df, o.lexicon(df)).where("doc_id = 0").first()
+    assert not got.fingerprint.startswith("w:") and got.near_edited > 0
