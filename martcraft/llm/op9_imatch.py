@@ -10,14 +10,22 @@ a subset is the exclusive or of the term hashes, which is that of the sorted dis
 terms in any order.  The fingerprint joins these hashes, at two neighbouring subset
 sizes so that texts of similar length share one.
 
-Likeness of two fingerprints: of the subsets with a term of either text, the share
-with equal hashes; 0 if the texts differ in size beyond a factor of two to four.
+The subsets sample a text's terms (64 of at least ``distinct words`` subsets).  So the
+fingerprint begins with the hash of all the text's terms in the lexicon, and with those
+of its terms in ``WIDE`` randomised lexicons that keep three quarters of the terms each:
+texts that differ in any term of the lexicon have different fingerprints, and texts
+that differ in a few share some of the wide hashes.
+
+Likeness of two fingerprints: the share of equal hashes among the subsets with a term of
+either text, or among the wide lexicons, whichever is greater, the hash of all terms
+counted in both (so only texts with equal lexicon terms have likeness 1); 0 if the texts
+differ in size beyond a factor of two to four.
 
 The next document comes from one shuffle: ids are dealt by blocks of ``span``, and
 each block gets a copy of the document that follows it, so that a window sees the
 text after each text.  All later grouping stays within the blocks' partitions.
 
-Nulls and edge cases: a null text is empty; a text without a term in any subset has
+Nulls and edge cases: a null text is empty; a text without a term in the lexicon has
 the fingerprint of its word sequence, alike (1) only if equal; rows that repeat an id
 follow each other by text; a null id sorts after all others; a single document is its
 own next one; an empty table gives no rows; other columns are ignored.
@@ -32,6 +40,7 @@ from pyspark.sql import Window as W
 from martcraft.session import materialize
 
 SUBSETS = 64
+WIDE = 8                    # two bits of a term's hash each, from bit 48 on; the subsets use the low 41
 LO, HI = 0.001, 0.2
 _MARK = "\n"                # no word: keeps a row of every text through the lexicon join
 
@@ -93,7 +102,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, span: int = 64) -> Da
 
 def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
     """rows (block, ord, id, extra, n_chars, sha, which, body) -> the same without body, with base, near, far
-    (arrays of subset hashes at two sizes), terms (subsets with a term) and whole (hash of the word sequence)."""
+    (arrays of subset hashes at two sizes), wide (hash of all terms, then of those in each wide lexicon), terms
+    (terms in the lexicon) and whole (hash of the word sequence)."""
     keep = ["block", "ord", "which", "id", "extra", "n_chars", "sha"]
     counted = rows.withColumn("ws", words(F.col("body"))).withColumn(
         "base", F.least(F.lit(40), F.floor(F.log2(F.size("ws") + F.lit(1.0))).cast("int") + 1))
@@ -101,42 +111,57 @@ def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
     out = (counted.select(*keep, "base", F.xxhash64("ws").alias("whole"),
                           F.explode(F.array_append("ws", F.lit(_MARK))).alias("w"))
            .select(*keys, F.xxhash64("w").alias("term")))
-    known = lex.select("term", F.xxhash64("term", F.lit(9)).alias("u")).union(
-        lex.sparkSession.range(1).select(F.xxhash64(F.lit(_MARK)).alias("term"), F.lit(None).cast("long").alias("u")))
-    # the subset of a term at either size; the mark has one of its own
-    places = F.when(F.col("u").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.filter(F.array(
-        F.when(F.expr(f"u & (shiftleft(1L, base) - 1) < {SUBSETS}"), F.expr("u & (shiftleft(1L, base) - 1)")),
-        F.when(F.expr(f"u & (shiftleft(1L, base + 1) - 1) < {SUBSETS}"),
-               F.expr(f"(u & (shiftleft(1L, base + 1) - 1)) + {SUBSETS}"))), lambda k: k.isNotNull()))
-    # most terms of a long text are in no used subset of either size: they go before the arrays are built
-    hashed = (out.join(F.broadcast(known), "term")
-              .where(f"u is null or u & (shiftleft(1L, base) - 1) < {SUBSETS}")
-              .select(*keys, "term", F.explode(places).alias("k"))
-              .groupBy(*keys, "k").agg(F.bit_xor("term").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("v")))
-    lists = hashed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
+    # a term's part in the hash of all terms, and in those of the wide lexicons, four 16-bit lanes to a long
+    u = F.xxhash64("term", F.lit(9))
+    lanes = [sum((F.when(F.shiftright(u, 48 + 2 * i).bitwiseAND(F.lit(3)) != 0, F.col("term").bitwiseAND(
+        F.lit(0xFFFF << 16 * (i % 4) if i % 4 < 3 else -1 << 48))).otherwise(F.lit(0).cast("long"))
+        for i in range(at, at + 4)), F.lit(0).cast("long")) for at in range(0, WIDE, 4)]
+    zero = F.lit(0).cast("long")
+    known = lex.select("term", u.alias("u"), F.col("term").alias("x"), *(c.alias(f"x{i}") for i, c in enumerate(lanes))).union(
+        lex.sparkSession.range(1).select(F.xxhash64(F.lit(_MARK)).alias("term"), F.lit(None).cast("long").alias("u"), zero,
+                                         *[zero] * len(lanes)))
+    # the subset of a term at either size; the mark and the terms in no used subset share a place of their own
+    near = F.expr(f"if(u & (shiftleft(1L, base) - 1) < {SUBSETS}, u & (shiftleft(1L, base) - 1), -1L)")
+    places = F.when(F.expr(f"u & (shiftleft(1L, base + 1) - 1) < {SUBSETS}"), F.array(
+        near, F.expr(f"(u & (shiftleft(1L, base + 1) - 1)) + {SUBSETS}"))).otherwise(F.array(near))
+    sums = ["x", *(f"x{i}" for i in range(len(lanes)))]
+    hashed = (out.join(F.broadcast(known), "term").select(*keys, "u", *sums, F.explode(places).alias("k"))
+              .groupBy(*keys, "k").agg(F.count("u").alias("c"), *(F.bit_xor(x).alias(x) for x in sums)))
+    # every term is in one place below SUBSETS
+    once = lambda x: F.when(F.col("k") < SUBSETS, F.col(x))
+    entry = F.struct("k", F.col("x").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("v"))
+    lists = hashed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.when(F.col("k") >= 0, entry))).alias("m"),
+                                      F.sum(once("c")).alias("terms"), *(F.bit_xor(once(x)).alias(x) for x in sums))
     part = lambda at: F.transform(F.sequence(F.lit(at).cast("long"), F.lit(at + SUBSETS - 1).cast("long")),
                                   lambda k: F.coalesce(F.col("m")[k], F.lit(0)))
-    return lists.select(*keys, (F.size("m") - 1).alias("terms"), part(0).alias("near"), part(SUBSETS).alias("far"))
+    wide = [F.shiftright(f"x{i // 4}", 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF)) for i in range(WIDE)]
+    return lists.select(*keys, "terms", part(0).alias("near"), part(SUBSETS).alias("far"),
+                        F.array("x", *wide).alias("wide"))
 
 
 def _text(p: Column) -> Column:
     """Fingerprint as a string."""
     hexed = lambda a: F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 4, "0")), "")
-    return F.when(p["terms"] > 0, F.concat(F.lpad(p["base"].cast("string"), 2, "0"), F.lit(":"), hexed(p["near"]),
-                                           hexed(p["far"]))).otherwise(F.concat(F.lit("w:"), F.hex(p["whole"])))
+    all_terms = F.concat(F.lpad(F.hex(p["wide"][0]), 16, "0"), hexed(F.slice(p["wide"], 2, WIDE)))
+    return F.when(p["terms"] > 0, F.concat(F.lpad(p["base"].cast("string"), 2, "0"), F.lit(":"), all_terms, F.lit(":"),
+                                           hexed(p["near"]), hexed(p["far"]))
+                  ).otherwise(F.concat(F.lit("w:"), F.hex(p["whole"])))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1, from two fingerprint structs (terms, base, near, far, whole)."""
+    """0 to 1, from two fingerprint structs (terms, base, near, far, wide, whole)."""
     same = (F.when(a["base"] == b["base"], F.zip_with(a["near"], b["near"], _match))
             .when(a["base"] + 1 == b["base"], F.zip_with(a["far"], b["near"], _match))
             .when(a["base"] == b["base"] + 1, F.zip_with(a["near"], b["far"], _match)))
     total = F.aggregate(same, F.lit(0), lambda s, x: s + x)
-    hits, seen = F.floor(total / 1000), total % 1000
-    equal = ((a["base"] == b["base"]) & (a["near"] == b["near"]) & (a["far"] == b["far"])).cast("double")
+    every = (a["wide"][0] == b["wide"][0]).cast("int")
+    wide = F.aggregate(F.zip_with(F.slice(a["wide"], 2, WIDE), F.slice(b["wide"], 2, WIDE),
+                                  lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, x: s + x)
+    # null if the sizes are too far apart
+    share = F.when(total.isNotNull(), F.greatest((F.floor(total / 1000) + every) / (total % 1000 + 1),
+                                                 (wide + every) / F.lit(WIDE + 1.0)))
     plain = (a["whole"] == b["whole"]).cast("double")
-    return F.when((a["terms"] == 0) | (b["terms"] == 0), plain).otherwise(
-        F.coalesce(F.when(seen > 0, hits / seen).when(seen == 0, equal), F.lit(0.0)))
+    return F.when((a["terms"] == 0) | (b["terms"] == 0), plain).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
 def _match(p: Column, q: Column) -> Column:
@@ -148,7 +173,7 @@ def fingerprints(docs: DataFrame, lex: DataFrame, id_col: str = "doc_id", text_c
     rows = docs.select(F.monotonically_increasing_id().alias("block"), F.lit(0).alias("ord"), F.lit(0).alias("which"),
                        F.col(id_col).alias("id"), F.lit(False).alias("extra"), F.lit(0).alias("n_chars"),
                        F.lit("").alias("sha"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    p = F.struct("terms", "base", "near", "far", "whole")
+    p = F.struct("terms", "base", "near", "far", "wide", "whole")
     return _prints(rows, lex).select(F.col("id").alias(id_col), _text(p).alias("fingerprint"))
 
 
@@ -167,7 +192,7 @@ def compare_with_edits(docs: DataFrame, lex: DataFrame, id_col: str = "doc_id",
                 F.struct(F.lit(0).alias("which"), F.col("text").alias("body")),
                 F.struct(F.lit(1).alias("which"), F.col("edited").alias("body"))), lambda s: s["body"].isNotNull())))
             .select("block", "ord", "id", "extra", "n_chars", "sha", "v.which", "v.body"))
-    p = F.struct("terms", "base", "near", "far", "whole")
+    p = F.struct("terms", "base", "near", "far", "wide", "whole")
     w = W.partitionBy("block").orderBy("ord", "which")
     got = _prints(both, lex).select("block", "ord", "which", "id", "extra", "n_chars", "sha", p.alias("p"),
                                     F.lead(p, 1).over(w).alias("e"), F.lead(p, 2).over(w).alias("n"))

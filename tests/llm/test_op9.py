@@ -70,3 +70,26 @@ def test_copies_count_once_in_the_lexicon(spark):
     assert {r.term for r in o.lexicon(df).collect()} == {r.term for r in o.lexicon(once).collect()}
     got = o.compare_with_edits(df, o.lexicon(df)).where("doc_id = 0").first()
     assert not got.fingerprint.startswith("w:") and got.near_edited > 0
+
+
+def test_every_lexicon_term_reaches_the_fingerprint(spark):
+    rng = random.Random(4)
+    pool = [f"term{i}" for i in range(6000)]
+    long = rng.sample(pool, 3000)
+    rest = sorted(set(pool) - set(long))
+    docs = [(0, " ".join(long))]
+    for k in range(1, 13):                                     # one term changed in each
+        w = list(long)
+        w[k * 200] = rest[k]
+        docs.append((k, " ".join(w)))
+    # every term is in two of 20 other texts, well inside the band
+    for i in range(20):
+        docs.append((100 + i, " ".join(pool[(i % 10) * 600:(i % 10 + 1) * 600] + [f"own{i}"])))
+    lex = o.lexicon(spark.createDataFrame(docs, "doc_id long, text string"), hi=1.0)
+    got = {r.doc_id: r.fingerprint for r in o.fingerprints(spark.createDataFrame(docs[:13], "doc_id long, text string"), lex).collect()}
+    assert len(set(got.values())) == 13
+    wide = {i: [f.split(":")[1][:16], *(f.split(":")[1][16 + 4 * j:20 + 4 * j] for j in range(o.WIDE))] for i, f in got.items()}
+    assert all(a != b for i in range(1, 13) for a, b in [(wide[0][0], wide[i][0])])
+    assert any(wide[0][j] == wide[i][j] for i in range(1, 13) for j in range(1, o.WIDE + 1))
+    pairs = o.compare_with_edits(spark.createDataFrame(docs[:13], "doc_id long, text string"), lex).collect()
+    assert all(0.5 < r.near_next < 1 for r in pairs)
