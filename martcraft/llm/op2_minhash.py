@@ -17,9 +17,9 @@
    Candidates are confirmed on full sets; the components of all links are the classes.
 
 Minhash agreement only rules out pairs ``SLACK`` below the threshold (3.7 standard
-deviations); every link rests on full sets.  A node that is still too large after
-``max_depth`` levels consists of documents that agree on that many drawn values;
-step 3 runs on it at every level, which links such documents.
+deviations); every link rests on full sets.  Nodes that are still too large after
+``max_depth`` levels are compared exhaustively too, in pairs of blocks spread over
+tasks: work is quadratic in the documents that are left there.
 
 Nulls and edge cases: a null, empty or blank text has an empty set and is linked
 with nothing; a text with fewer words than a shingle is one shingle; rows that repeat
@@ -195,34 +195,45 @@ def _candidates(sig: np.ndarray, comp: np.ndarray, least: int) -> tuple[np.ndarr
 
 
 def _across(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between components, by exhaustive comparison of each small node (node, doc, comp).
+    """Links (a, b) between components, by exhaustive comparison of each small node (node, doc, comp, block, home).
 
-    Minhash values select the documents with any candidate; only their texts are
+    Pairs of one block are left to the nodes where it is at home (see _in_blocks).  Minhash values select the documents with any candidate; only their texts are
     fetched, once per document.  A pair is tested in the first node it shares, best
     agreement first, and not if the links found so far already join it."""
     least = int(np.ceil((percent / 100 - SLACK) * COORDS))
     sigs = reps.select(F.col("doc_id").alias("doc"), "sig")
+    keep = ["node", "doc", "comp", "block", "home"]
+
+    def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j, n = _candidates(_matrix(t.column("sig")), t.column("comp").to_numpy(), least)
+        i, j = i.astype(np.int64), j.astype(np.int64)
+        block, home = t.column("block").to_numpy(), t.column("home").to_numpy()
+        ok = (block[i] != block[j]) | (home[i] == 1)
+        return i[ok], j[ok], n[ok]
 
     def select(t: pa.Table) -> pa.RecordBatch | None:
-        comp = t.column("comp").to_numpy()
-        i, j, _ = _candidates(_matrix(t.column("sig")), comp, least)
+        i, j, _ = pairs(t)
         if not len(i):
             return None
         rows = np.unique(np.append(i, j))
-        return pa.RecordBatch.from_arrays([pa.array(t.column(c).to_numpy()[rows]) for c in ("node", "doc", "comp")],
-                                          ["node", "doc", "comp"])
-
-    some = map_groups(nodes.join(sigs, "doc").select("node", "doc", "comp", "sig"), "node", select,
-                      "node long, doc long, comp long")
-    per_doc = (some.groupBy("doc").agg(F.collect_set("node").alias("nodes"), F.min("comp").alias("comp"))
+        return pa.RecordBatch.from_arrays([pa.array(t.column(c).to_numpy()[rows]) for c in keep], keep)
+
+    some = map_groups(nodes.join(sigs, "doc").select(*keep, "sig"), "node", select,
+                      "node long, doc long, comp long, block long, home long")
+    # a pair of two blocks meets in one node only: the list needs the nodes of whole leaves and homes
+    per_doc = (some.groupBy("doc").agg(F.collect_list(F.struct("node", "block", "home")).alias("at"),
+                                       F.collect_set(F.when(F.col("home") == 1, F.col("node"))).alias("nodes"),
+                                       F.min("comp").alias("comp"))
                .join(sigs, "doc").join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc"))
-    rows = per_doc.select(F.explode("nodes").alias("node"), "nodes", "doc", "comp", "sig", "text")
+    rows = per_doc.select(F.explode("at").alias("at"), "nodes", "doc", "comp", "sig", "text").select(
+        "at.node", "at.block", "at.home", "nodes", "doc", "comp", "sig", "text")
 
     def solve(t: pa.Table) -> pa.RecordBatch | None:
         node, ids, comp = t.column("node")[0].as_py(), t.column("doc").to_numpy(), t.column("comp").to_numpy()
         own = [set(x) for x in t.column("nodes").to_pylist()]
         texts = t.column("text")
-        i, j, n = _candidates(_matrix(t.column("sig")), comp, least)
+        i, j, n = pairs(t)
+        block = t.column("block").to_numpy()
         sets: dict[int, np.ndarray] = {}
         root: dict[int, int] = {}
 
@@ -241,7 +252,7 @@ def _across(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, perce
         for k in np.argsort(-n, kind="stable").tolist():
             x, y = int(i[k]), int(j[k])
             cx, cy = find(int(comp[x])), find(int(comp[y]))
-            if cx == cy or min(own[x] & own[y]) != node:
+            if cx == cy or (block[x] == block[y] and min(own[x] & own[y]) != node):
                 continue
             both = len(np.intersect1d(of(x), of(y), assume_unique=True))
             if both and 100 * both >= percent * (len(of(x)) + len(of(y)) - both):
@@ -255,6 +266,24 @@ def _across(nodes: DataFrame, reps: DataFrame, docs: DataFrame, size: int, perce
     return map_groups(rows, "node", solve, "a long, b long")
 
 
+def _in_blocks(big: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int,
+               leaf: int) -> DataFrame:
+    """Links (a, b) between components of the nodes that stay large, by exhaustive comparison.
+
+    Nodes that share documents are one family, so that a pair is compared once.  A family is dealt into
+    blocks of about half a leaf, and every two blocks are a node; a block is at home in that with its next."""
+    near = connected_components(big.select(F.col("pivot").alias("a"), F.col("doc").alias("b")))
+    rows = big.select("doc").distinct().join(near.withColumnRenamed("node", "doc"), "doc", "left").select(
+        F.coalesce("root", "doc").alias("node"), "doc")
+    parts = F.greatest(F.lit(2), F.ceil(2 * F.col("size") / leaf)).cast("long")
+    dealt = (_shared(_label(rows, _hooked(links)), "comp").withColumn("parts", parts)
+             .withColumn("block", F.expr("pmod(xxhash64(doc), parts)"))
+             .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).where("other <> block"))
+    return _across(dealt.select(
+        F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("node"), "doc", "comp", "block",
+        F.expr("cast(other = (block + 1) % parts as long)").alias("home")), reps, docs, size, percent)
+
+
 def _hooked(links: DataFrame) -> DataFrame:
     """(node, root): each document's least linked id, followed once more.
 
@@ -298,10 +327,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, trees:
         found = materialize(_confirm(_near(stars, reps, threshold), docs, shingle, percent))
         links = found if links is None else links.union(found)
         mixed = materialize(_shared(_label(live, _hooked(links)), "comp"))
-        small = mixed.where(F.col("size") <= leaf).select("node", "doc", "comp")
+        small = mixed.where(F.col("size") <= leaf).select("node", "doc", "comp", F.lit(0).cast("long").alias("block"),
+                                                          F.lit(1).cast("long").alias("home"))
         links = links.union(materialize(_across(small, reps, docs, shingle, percent)))
         big = mixed.where(F.col("size") > leaf)
-        if level >= max_depth or big.isEmpty():
+        if big.isEmpty():
+            break
+        if level >= max_depth:
+            links = links.union(materialize(_in_blocks(big, links, reps, docs, shingle, percent, leaf)))
             break
         live = materialize(_shared(_branch_on(big, reps), "doc").select("node", "doc", "pivot"))
         level += 1

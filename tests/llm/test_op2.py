@@ -64,6 +64,21 @@ def test_families_and_branching_of_large_nodes(spark):
     check(spark, rows, 2, leaf=12, max_depth=12)
 
 
+def test_nodes_still_large_after_the_last_level_are_compared(spark):
+    """A template of 85 %: pairs of strangers are below the threshold, a few twins among them above."""
+    rng = random.Random(8)
+    base = [f"t{k}" for k in range(340)]
+    rows = []
+    for i in range(60):
+        own = [f"o{i}x{k}" for k in range(60)]
+        rows.append((i, " ".join(base + own)))
+        if i % 3 == 0:
+            rows.append((100 + i, " ".join(base + own[:40] + [f"n{i}x{k}" for k in range(20)])))
+    rng.shuffle(rows)
+    got = check(spark, rows, 2, trees=10, depth=1, leaf=8, max_depth=1)
+    assert all(got[100 + i][1] == i for i in range(0, 60, 3))
+
+
 def test_edges(spark, edge, clash, empty):
     for df in (edge, clash):
         got = {r.doc_id: r for r in o.near_duplicates(df).collect()}
