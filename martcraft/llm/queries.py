@@ -17,6 +17,7 @@ from martcraft.llm import (
     op8_toxicity,
     op9_imatch,
     op10_lines,
+    op13_merkle,
 )
 from martcraft.llm.sampling import held_out
 
@@ -83,6 +84,10 @@ def op10_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_lines.judge(docs, op10_lines.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_merkle.verify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html": op1_html_query,
     "op2_minhash": op2_minhash_query,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity_query,
     "op9_imatch": op9_imatch_query,
     "op10_lines": op10_lines_query,
+    "op13_merkle": op13_merkle_query,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -115,5 +121,65 @@ WITH cut AS (
 )
 SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, 'allow') AS verdict
 FROM part LEFT JOIN hit USING (page_id)
+""",
+    "op13_merkle": r"""
+WITH RECURSIVE bits AS MATERIALIZED (
+  -- crc32 of the decimal id, odd or even, byte by byte and bit by bit
+  SELECT doc_id, list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::UBIGINT)),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda i: i::UBIGINT)),
+          lambda v, i: xor(v >> 1, (v & 1) * 3988292384::UBIGINT))) & 1 AS low
+  FROM documents
+), fields AS (
+  SELECT doc_id, source, text, low,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM documents JOIN bits USING (doc_id)
+), leaves AS MATERIALIZED (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN low = 1 THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+         ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS now
+  FROM fields
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp FROM leaves
+), nodes AS (
+  SELECT grp, 0 AS lvl, pos // 3 AS run, list(leaf ORDER BY pos) AS kids, count(*) OVER (PARTITION BY grp) AS runs
+  FROM placed GROUP BY grp, pos // 3
+  UNION ALL
+  SELECT grp, lvl + 1, run // 3, list(sha256(array_to_string(kids, '')) ORDER BY run), count(*) OVER (PARTITION BY grp)
+  FROM nodes WHERE runs > 1 GROUP BY grp, lvl, run // 3
+), held AS MATERIALIZED (SELECT * FROM nodes),
+subroots AS MATERIALIZED (
+  SELECT grp, CASE WHEN len(kids) = 1 AND lvl = 0 THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS subroot
+  FROM held WHERE runs = 1
+), tops AS (
+  SELECT 0 AS lvl, grp // 3 AS run, list(subroot ORDER BY grp) AS kids, count(*) OVER () AS runs FROM subroots GROUP BY grp // 3
+  UNION ALL
+  SELECT lvl + 1, run // 3, list(sha256(array_to_string(kids, '')) ORDER BY run), count(*) OVER ()
+  FROM tops WHERE runs > 1 GROUP BY lvl, run // 3
+), upper AS MATERIALIZED (SELECT * FROM tops),
+top AS (
+  SELECT CASE WHEN len(kids) = 1 AND lvl = 0 THEN kids[1] ELSE sha256(array_to_string(kids, '')) END AS root FROM upper WHERE runs = 1
+), climb AS (
+  SELECT doc_id, leaf, grp, pos, now, '' AS proof, 0 AS lvl FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, c.grp, pos // 3,
+    sha256(array_to_string(kids[:pos % 3], '') || now || array_to_string(kids[pos % 3 + 2:], '')),
+    proof || array_to_string(kids[:pos % 3], '') || array_to_string(kids[pos % 3 + 2:], ''), c.lvl + 1
+  FROM climb c JOIN held n ON n.grp = c.grp AND n.lvl = c.lvl AND n.run = c.pos // 3
+  WHERE NOT (n.lvl = 0 AND n.runs = 1 AND len(kids) = 1)
+), over AS (
+  SELECT doc_id, leaf, grp, grp AS pos, now, proof, 0 AS lvl FROM climb QUALIFY row_number() OVER (PARTITION BY doc_id, leaf ORDER BY lvl DESC) = 1
+  UNION ALL
+  SELECT doc_id, leaf, grp, pos // 3,
+    sha256(array_to_string(kids[:pos % 3], '') || now || array_to_string(kids[pos % 3 + 2:], '')),
+    proof || array_to_string(kids[:pos % 3], '') || array_to_string(kids[pos % 3 + 2:], ''), c.lvl + 1
+  FROM over c JOIN upper n ON n.lvl = c.lvl AND n.run = c.pos // 3
+  WHERE NOT (n.lvl = 0 AND n.runs = 1 AND len(kids) = 1)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, now AS folded_root, now = root AS verified
+FROM (SELECT * FROM over QUALIFY row_number() OVER (PARTITION BY doc_id, leaf ORDER BY lvl DESC) = 1)
+JOIN subroots USING (grp) CROSS JOIN top
 """,
 }

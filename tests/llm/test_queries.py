@@ -17,10 +17,11 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_imatch": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_lines": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op13_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     assert set(COLUMNS) == set(QUERIES) and {*COLUMNS, "pipeline"} <= set(E.queries())
 
 
