@@ -17,6 +17,7 @@ from martcraft.llm import (
     op8_toxicity,
     op9_imatch,
     op10_lines,
+    op11_linededup,
     op13_merkle,
 )
 from martcraft.llm.sampling import held_out
@@ -84,6 +85,10 @@ def op10_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_lines.judge(docs, op10_lines.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_linededup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_linededup.digest(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
 def op13_merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_merkle.verify(table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity_query,
     "op9_imatch": op9_imatch_query,
     "op10_lines": op10_lines_query,
+    "op11_linededup": op11_linededup_query,
     "op13_merkle": op13_merkle_query,
 }
 
@@ -121,6 +127,24 @@ WITH cut AS (
 )
 SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.verdict, 'allow') AS verdict
 FROM part LEFT JOIN hit USING (page_id)
+""",
+    "op11_linededup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), shared AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), judged AS (
+  SELECT doc_id, line, pos, key IN (SELECT key FROM shared) AS gone FROM keyed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
 """,
     "op13_merkle": r"""
 WITH RECURSIVE bits AS MATERIALIZED (

@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_imatch": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_lines": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11_linededup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
     "op13_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
