@@ -18,6 +18,7 @@ from martcraft.llm import (
     op9_imatch,
     op10_lines,
     op11_linededup,
+    op12_search,
     op13_merkle,
 )
 from martcraft.llm.sampling import held_out
@@ -89,6 +90,10 @@ def op11_linededup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_linededup.digest(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
+def op12_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_merkle.verify(table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ QUERIES = {
     "op9_imatch": op9_imatch_query,
     "op10_lines": op10_lines_query,
     "op11_linededup": op11_linededup_query,
+    "op12_search": op12_search_query,
     "op13_merkle": op13_merkle_query,
 }
 
@@ -145,6 +151,32 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op12_search": r"""
+WITH words AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM documents
+), wanted AS (
+  SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM benchmark
+), sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS all_terms FROM sizes),
+tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs CROSS JOIN totals GROUP BY term, docs
+), adds AS (
+  SELECT tfs.doc_id, tfs.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // all_terms))) AS part
+  FROM tfs JOIN sizes ON sizes.doc_id = tfs.doc_id JOIN weights ON weights.term = tfs.term CROSS JOIN totals
+), scored AS (
+  SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM wanted JOIN adds ON adds.term = wanted.term GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
 """,
     "op13_merkle": r"""
 WITH RECURSIVE bits AS MATERIALIZED (
