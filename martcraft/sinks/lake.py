@@ -194,45 +194,90 @@ MERGE_UPDATE = ["campaign_id", "landing", "impressions", "clicks", "cost", "conv
 
 
 def merge_upsert(source: DataFrame, path: str, key: list[str] = MERGE_KEY,
-                 name_col: str = "campaign_name", date_col: str = "report_date") -> None:
-    """SNK7: MERGE on (key..., coalesce(name, '')): matched rows take the
-    source's update columns, the rest are inserted.  NULL key parts never
-    match (SQL equality).  Duplicate source keys raise.
-
-    Only the dates present in the source are rewritten: target rows of those
-    dates are read (partition pruned by a semi join), merged, staged, and
-    swapped in with a dynamic partition overwrite."""
+                 name_col: str = "campaign_name", date_col: str = "report_date",
+                 update: list[str] = MERGE_UPDATE) -> list[str]:
+    """SNK7: MERGE on (key..., coalesce(name, '')), copy-on-write by file.
+
+    Matched rows take the source's ``update`` columns and keep all others of the
+    table, unmatched source rows are inserted.  NULL key parts never match (SQL
+    equality).  Duplicate source keys raise.  Columns only the source has join the table.
+
+    Only files that hold a matched row are rewritten: their names come from one
+    semi join that reads the key columns of the source's dates.  New files are
+    staged beside the table, then renamed into their date folders and the old
+    files taken out; on an error the old files are put back.  Returns the
+    files that were replaced."""
     spark = source.sparkSession
-    k = F.coalesce(F.col(name_col), F.lit(""))
-    src = source.withColumn("_name_key", k)
+    name_key = F.coalesce(F.col(name_col), F.lit(""))
     keys = key + ["_name_key"]
     non_null = F.lit(True)
     for c in key:
         non_null = non_null & F.col(c).isNotNull()
+    src = source.withColumn("_name_key", name_key)
     dup = src.filter(non_null).groupBy(*keys).count().filter(F.col("count") > 1).limit(1)
     if not dup.isEmpty():
         raise DuplicateKeyError("duplicate merge keys in source")
     if not table_exists(spark, path):
         partition_overwrite(source, path, date_col)
-        return
-    tgt = spark.read.parquet(path).withColumn("_name_key", k)
-    dates = src.select(date_col).distinct()
-    touched = tgt.join(dates, date_col, "left_semi")
-    # matched target rows keep their own name; everything else comes from source
-    matched = touched.filter(non_null).alias("t").join(
-        src.filter(non_null).alias("s"), keys, "inner").select(
-        *[F.col(f"t.{c}") for c in key],
-        F.col(f"t.{name_col}").alias(name_col),
-        *[F.col(f"s.{c}").alias(c) for c in MERGE_UPDATE if c in source.columns])
-    untouched = touched.join(src.filter(non_null).select(*keys), keys, "left_anti").drop("_name_key")
-    inserted = src.join(touched.filter(non_null).select(*keys), keys, "left_anti").drop("_name_key")
-    cols = source.columns
-    merged = (untouched.select(*cols).unionByName(matched.select(*cols))
-              .unionByName(inserted.select(*cols)))
-    stage = _staging(spark, "merge")
-    merged.write.mode("overwrite").partitionBy(date_col).parquet(stage)
-    partition_overwrite(spark.read.parquet(stage), path, date_col)
+        return []
+    table = read_table(spark, path)
+    wanted = src.filter(non_null).select(*keys)
+    held = (table.select("*", F.col("_metadata.file_path").alias("_file")).withColumn("_name_key", name_key)
+            .join(wanted, keys, "left_semi"))
+    # names of the files to rewrite: metadata, bounded by the files of the source's dates
+    old = sorted(_plain_path(spark, r[0]) for r in held.select("_file").distinct().collect())
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*old) if old else table.limit(0)
+    extra = [c for c in source.columns if c not in table.columns]
+    s = src.filter(non_null).select(*keys, F.lit(True).alias("_hit"),
+                                    *[F.col(c).alias(f"_s_{c}") for c in [*update, *extra] if c in source.columns])
+    joined = rows.withColumn("_name_key", name_key).join(s, keys, "left")
+    taken = {c: F.when(F.col("_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)) for c in update if c in source.columns}
+    rewritten = joined.select(*[taken.get(c, F.col(c)).alias(c) for c in table.columns],
+                              *[F.col(f"_s_{c}").alias(c) for c in extra])
+    inserted = src.join(rows.withColumn("_name_key", name_key).filter(non_null).select(*keys), keys, "left_anti")
+    merged = rewritten.unionByName(inserted.drop("_name_key"), allowMissingColumns=True)
+    stage = f"{path.rstrip('/')}/_stage-{uuid.uuid4().hex}"
+    by_date(merged, date_col).write.mode("overwrite").partitionBy(date_col).parquet(stage)
+    _swap_files(spark, stage, path, old)
     _delete(spark, stage)
+    return old
+
+
+def _plain_path(spark: SparkSession, uri: str) -> str:
+    """A file's path as the file system names it (``_metadata`` gives an escaped URI)."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri)).toString()
+
+
+def _swap_files(spark: SparkSession, stage: str, path: str, old: list[str]) -> None:
+    """Move the staged files into the table's folders and the ``old`` files out."""
+    root = path.rstrip("/")
+    aside = f"{root}/_old-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, aside)
+    fs.mkdirs(p)
+    moved: list[tuple[str, str]] = []
+    placed: list[str] = []
+    _, s = _fs(spark, stage)
+    try:
+        for i, f in enumerate(old):
+            _rename(spark, f, f"{aside}/{i}")
+            moved.append((f"{aside}/{i}", f))
+        for folder in fs.listStatus(s):
+            if not folder.isDirectory():
+                continue
+            target = f"{root}/{folder.getPath().getName()}"
+            fs.mkdirs(_fs(spark, target)[1])
+            for f in fs.listStatus(folder.getPath()):
+                # file names carry the write's own id, so they meet no other file
+                _rename(spark, f.getPath().toString(), f"{target}/{f.getPath().getName()}")
+                placed.append(f"{target}/{f.getPath().getName()}")
+    except Exception:
+        for f in placed:
+            _delete(spark, f)
+        for kept, f in moved:
+            _rename(spark, kept, f)
+        raise
+    _delete(spark, aside)
 
 
 def append_snapshot(df: DataFrame, path: str, at_col: str = "snapshot_at",
@@ -272,9 +317,101 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+class SchemaConflictError(ValueError):
+    pass
+
+
+SCHEMA_FILE = "_declared_schema.json"
+# fixed values: a stored type -> the types it may be widened to without losing a value
+WIDER = {
+    "tinyint": {"smallint", "int", "bigint"}, "smallint": {"int", "bigint"}, "int": {"bigint", "double"},
+    "float": {"double"},
+}
+
+
+def declared_schema(spark: SparkSession, path: str) -> tuple[T.StructType, str | None] | None:
+    """(schema, partition column) kept beside a table's data; None where none was declared."""
+    import json
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        held = json.loads(reader.readLine())
+    finally:
+        reader.close()
+    return T.StructType.fromJson(held["schema"]), held["partition"]
+
+
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_col: str | None = None) -> list[str]:
+    """SNK11: create the empty table, or add the columns it lacks (nullable, at the end) and widen types.
+
+    The declared schema is one small file beside the data, written aside and renamed in; data files are not
+    touched: old rows read an added column as NULL.  A column that is left out stays.  A narrower or another
+    type, or another partition column, raises and changes nothing.  Returns the columns added."""
+    import json
+    held = declared_schema(spark, path)
+    if held is None and table_exists(spark, path) and not _is_empty(spark, path):
+        held = (spark.read.parquet(path).schema, partition_col)        # a table from before its first declaration
+    old, part = held if held else (T.StructType(), partition_col)
+    if part != partition_col:
+        raise SchemaConflictError(f"{path} is partitioned by {part}, not {partition_col}")
+    fields = {f.name: f for f in old.fields}
+    added = []
+    for f in schema.fields:
+        if f.name not in fields:
+            added.append(f.name)
+            fields[f.name] = T.StructField(f.name, f.dataType, True)
+            continue
+        have, want = fields[f.name].dataType.simpleString(), f.dataType.simpleString()
+        if have != want and want not in WIDER.get(have, set()):
+            raise SchemaConflictError(f"{path}: column {f.name} is {have}, {want} is declared")
+        fields[f.name] = T.StructField(f.name, f.dataType, True)
+    text = json.dumps({"schema": T.StructType(list(fields.values())).jsonValue(), "partition": partition_col})
+    target = f"{path.rstrip('/')}/{SCHEMA_FILE}"
+    fresh = f"{target}.{uuid.uuid4().hex}"
+    fs, p = _fs(spark, fresh)
+    out = fs.create(p)                              # creates the table's folder too
+    try:
+        out.write(bytearray(text + "\n", "utf-8"))
+    finally:
+        out.close()
+    _delete(spark, target)
+    _rename(spark, fresh, target)
+    return added
+
+
+def _is_empty(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return not any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a landed table, merging add-only schema changes across files."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A landed table.  With a declared schema its columns and types are those, whatever each file has, and no
+    footer is opened for them; without one, add-only changes are merged across the files."""
+    held = declared_schema(spark, path)
+    if held is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    schema, part = held
+    df = spark.read.schema(schema).parquet(path)
+    return df.select(*[f.name for f in schema.fields]) if part else df
+
+
+def load_declared(df: DataFrame, path: str, date_col: str | None = None) -> None:
+    """Write a batch into a table of ``ensure_table``: cast to the declared columns, unknown columns refused,
+    dates present overwritten (SNK1) or, without a date column, rows appended."""
+    held = declared_schema(df.sparkSession, path)
+    if held is None:
+        raise SchemaConflictError(f"{path} has no declared schema")
+    unknown = [c for c in df.columns if c not in held[0].fieldNames()]
+    if unknown:
+        raise SchemaConflictError(f"{path} has no columns {unknown}: declare them first")
+    rows = conform(df, held[0])
+    if date_col:
+        partition_overwrite(rows, path, date_col)
+    else:
+        rows.write.mode("append").parquet(path)
 
 
 class ViewRegistry:

@@ -148,3 +148,101 @@ def test_view_registry(spark):
     reg.register("v_one", lambda s: s.range(3).withColumn("x", F.col("id") * 2))
     assert reg.refresh() == ["v_one"]
     assert spark.sql("select sum(x) from v_one").first()[0] == 6
+
+
+def _files(path):
+    import os
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f))
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def _ad(day, name, n, **more):
+    row = {"report_date": day, "mall": "a", "media": "m", "campaign_id": "1", "campaign_name": name, "landing": None,
+           "impressions": n, "clicks": 0, "cost": 0.0, "conversions": None, "conversion_value": None, "source": "s",
+           "loaded_at": dt.datetime(2024, 1, 1)}
+    return {**row, **more}
+
+
+def test_merge_keeps_columns_the_source_lacks(spark, tmp_path):
+    p = str(tmp_path / "with space")
+    first = [{**_ad(D(2024, 1, 1), "x", 1), "note": "one"}, {**_ad(D(2024, 1, 1), "y", 2), "note": "two"}]
+    lake.merge_upsert(spark.createDataFrame([tuple(r.values()) for r in first], MCOLS + ", note string"), p)
+    new = [_ad(D(2024, 1, 1), "x", 10), _ad(D(2024, 1, 1), "z", 3)]
+    replaced = lake.merge_upsert(spark.createDataFrame([tuple(r.values()) for r in new], MCOLS), p)
+    assert replaced
+    got = {r.campaign_name: (r.impressions, r.note) for r in lake.read_table(spark, p).collect()}
+    assert got == {"x": (10, "one"), "y": (2, "two"), "z": (3, None)}
+    # a column that only the source has joins the table
+    extra = spark.createDataFrame([(*_ad(D(2024, 1, 1), "z", 4).values(), 7)], MCOLS + ", rank long")
+    lake.merge_upsert(extra, p)
+    got = {r.campaign_name: (r.impressions, r.note, r["rank"]) for r in lake.read_table(spark, p).collect()}
+    assert got == {"x": (10, "one", None), "y": (2, "two", None), "z": (4, None, 7)}
+
+
+def test_merge_rewrites_only_files_with_a_match(spark, tmp_path):
+    p = str(tmp_path / "t")
+    days = [D(2020, 1, 1) + dt.timedelta(days=i) for i in range(1000)]
+    table = spark.createDataFrame([tuple(_ad(d, "x", i).values()) for i, d in enumerate(days)], MCOLS)
+    lake.merge_upsert(table, p)
+    # a second file on the touched date, without a match
+    lake.merge_upsert(spark.createDataFrame([tuple(_ad(days[500], "other", 7).values())], MCOLS), p)
+    before = _files(p)
+    assert len(before) == 1001
+    touched = spark.createDataFrame([tuple(_ad(days[500], "x", -1).values())], MCOLS)
+    replaced = lake.merge_upsert(touched, p)
+    after = _files(p)
+    assert len(replaced) == 1 and len(after) == 1001
+    assert sum(before.get(f) == t for f, t in after.items()) == 1000
+    rows = lake.read_table(spark, p)
+    assert rows.count() == 1001 and rows.filter("impressions = -1").count() == 1
+    assert not [f for f in tmp_path.joinpath("t").iterdir() if f.name.startswith(("_stage", "_old"))]
+
+
+def test_a_failed_merge_leaves_the_table(spark, tmp_path, monkeypatch):
+    p = str(tmp_path / "t")
+    lake.merge_upsert(spark.createDataFrame([tuple(_ad(D(2024, 1, k), "x", k).values()) for k in (1, 2, 3)], MCOLS), p)
+    real, calls = lake._rename, []
+
+    def failing(spark_, src, dst):
+        calls.append(src)
+        if len(calls) == 5:
+            raise OSError("lost")
+        real(spark_, src, dst)
+
+    monkeypatch.setattr(lake, "_rename", failing)
+    new = spark.createDataFrame([tuple(_ad(D(2024, 1, k), "x", 9).values()) for k in (1, 2, 3)], MCOLS)
+    with pytest.raises(OSError):
+        lake.merge_upsert(new, p)
+    assert sorted(r.impressions for r in spark.read.parquet(p).collect()) == [1, 2, 3]
+
+
+def test_stored_table_evolves(spark, tmp_path):
+    from pyspark.sql import types as T
+    p = str(tmp_path / "t")
+    S = lambda *f: T.StructType([T.StructField(n, t) for n, t in f])
+    first = S(("day", T.DateType()), ("n", T.IntegerType()), ("name", T.StringType()))
+    assert lake.ensure_table(spark, p, first, "day") == ["day", "n", "name"]
+    empty = lake.read_table(spark, p)
+    assert empty.count() == 0 and empty.columns == ["day", "n", "name"]
+    lake.load_declared(spark.createDataFrame([(D(2024, 1, 1), 5, "a")], "day date, n int, name string"), p, "day")
+    # the same again changes nothing; a new column and a wider type do; a left-out column stays
+    assert lake.ensure_table(spark, p, first, "day") == []
+    assert lake.ensure_table(spark, p, S(("n", T.LongType()), ("note", T.StringType())), "day") == ["note"]
+    lake.load_declared(spark.createDataFrame([(D(2024, 1, 2), 2**40, "x")], "day date, n long, note string"), p, "day")
+    got = sorted(tuple(r) for r in lake.read_table(spark, p).collect())
+    assert got == [(D(2024, 1, 1), 5, "a", None), (D(2024, 1, 2), 2**40, None, "x")]
+    for bad, part in ((S(("n", T.IntegerType())), "day"), (S(("name", T.LongType())), "day"), (first, None)):
+        with pytest.raises(lake.SchemaConflictError):
+            lake.ensure_table(spark, p, bad, part)
+    with pytest.raises(lake.SchemaConflictError):
+        lake.load_declared(spark.createDataFrame([(1,)], "surprise int"), p)
+    assert sorted(tuple(r) for r in lake.read_table(spark, p).collect()) == got
+
+
+def test_a_table_from_before_its_declaration(spark, tmp_path):
+    from pyspark.sql import types as T
+    p = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "n int, name string").write.parquet(p)
+    assert lake.ensure_table(spark, p, T.StructType([T.StructField("more", T.DoubleType())])) == ["more"]
+    lake.load_declared(spark.createDataFrame([(2, 0.5)], "n int, more double"), p)
+    assert sorted(tuple(r) for r in lake.read_table(spark, p).collect()) == [(1, "a", None), (2, None, 0.5)]
