@@ -15,7 +15,7 @@ stopped, and a batch added again after a lost driver replaces its run.
 Spread: texts are hashed where they are read; keys are counted before they are shuffled, so a
 line in a third of all documents sends a row per task.  The keys to drop come back by a hash of the
 text, aggregated per distinct text, and texts meet them in one join that adaptive execution may
-split.  No set of keys is collected or broadcast by this module.
+split; lines are cut by column functions, row by row.  No set of keys is collected or broadcast by this module.
 
 Nulls and edge cases: a null or empty text is one empty line; every row is a document, also
 when it repeats an id or a text; a line counts once a document; keys shorter than ``min_chars``
@@ -27,8 +27,6 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +41,7 @@ MIN_DOCS = 10
 BATCHES = 4
 FANOUT = 2
 KEY = ["h1", "h2"]
-
-
-def line_key(line: bytes) -> bytes:
-    return line.strip(BLANK).lower()             # bytes: ASCII only
+_KEYS = "t1 long, t2 long, h1 long, h2 long, places array<int>"
 
 
 def _hash(key: bytes, min_chars: int) -> bytes | None:
@@ -61,26 +56,32 @@ def _text_key(text) -> list:
 
 
 def document_keys(docs: DataFrame, text_col: str = "text", batch=None, min_chars: int = 1) -> DataFrame:
-    """(batch, t1, t2, h1, h2): a row per document and distinct line key; t1, t2 hash the text."""
+    """(batch, t1, t2, h1, h2, places): a row per document and distinct line key, with the numbers of its lines
+    (from 0); t1, t2 hash the text."""
     min_chars = max(min_chars, 1)
     rows = docs.select((F.lit(0) if batch is None else batch).cast("int").alias("batch"), *_text_key(F.col(text_col)),
                        F.col(text_col).alias("text"))
 
     def run(batches):
         for b in batches:
-            held, count = [], np.zeros(b.num_rows, np.int64)
+            held, places, count = [], [], np.zeros(b.num_rows, np.int64)
             for i, text in enumerate(b.column(3)):
-                data = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
-                found = [_hash(k, min_chars) for k in {line.strip(BLANK) for line in data.split(b"\n")}]
-                own = [h for h in found if h is not None]
-                held += own
-                count[i] = len(own)
+                own: dict[bytes, list[int]] = {}
+                for k, line in enumerate((text.as_py() or "").encode("utf-8", "surrogatepass").lower().split(b"\n")):
+                    own.setdefault(line.strip(BLANK), []).append(k)
+                for key, where in own.items():
+                    h = _hash(key, min_chars)
+                    if h is not None:
+                        held.append(h)
+                        places.append(where)
+                        count[i] += 1
             keys = np.frombuffer(b"".join(held), np.int64).reshape(-1, 2)
             at = pa.array(np.repeat(np.arange(b.num_rows), count))
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in range(3)), pa.array(keys[:, 0]),
-                                              pa.array(keys[:, 1])], ["batch", "t1", "t2", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(k).take(at) for k in range(3)), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
+                 pa.array(places, pa.list_(pa.int32()))], ["batch", "t1", "t2", "h1", "h2", "places"])
 
-    return rows.mapInArrow(run, "batch int, t1 long, t2 long, h1 long, h2 long")
+    return rows.mapInArrow(run, f"batch int, {_KEYS}")
 
 
 class LineRuns:
@@ -167,80 +168,63 @@ class LineRuns:
         return whole.where(F.col("n") >= self.min_docs).select(*KEY)
 
 
-def _marked(docs: DataFrame, text_col: str, min_docs: int, min_chars: int, batch, batches: int,
-            path: str | None) -> DataFrame:
-    """docs with ``__drop``: the hashes of the text's frequent keys (null if it has none)."""
+def _dropped(texts: DataFrame) -> DataFrame:
+    """(t1, t2, places) -> (__t1, __t2, __gone): for each line of a text, whether it goes; no more lines than needed."""
+    def run(batches):
+        for b in batches:
+            flags = []
+            for places in b.column(2):
+                at = places.values.flatten().to_numpy()
+                row = np.zeros(int(at.max()) + 1, bool)
+                row[at] = True
+                flags.append(row)
+            ends = np.cumsum([0, *map(len, flags)])
+            gone = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flags)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), gone], ["__t1", "__t2", "__gone"])
+
+    return texts.mapInArrow(run, "__t1 long, __t2 long, __gone array<boolean>")
+
+
+def _marked(docs: DataFrame, text_col: str, min_docs: int, min_chars: int, batches: int, path: str | None) -> DataFrame:
+    """docs with ``__gone``: which lines of the text go (null: none, lines beyond its end stay)."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, f"line-runs-{uuid.uuid4().hex}")
+    # any dealing to batches gives the same result
+    batch = F.pmod(F.xxhash64(*docs.columns), F.lit(batches))
     document_keys(docs, text_col, batch, min_chars).write.mode("overwrite").partitionBy("batch").parquet(f"{path}/keys")
-    keys = spark.read.schema("t1 long, t2 long, h1 long, h2 long, batch int").parquet(f"{path}/keys")
+    keys = spark.read.schema(f"{_KEYS}, batch int").parquet(f"{path}/keys")
     runs = LineRuns(spark, f"{path}/runs", min_docs)
     for k in range(batches):
         runs.add(k, keys.where(F.col("batch") == k))
+    # copies of a text have equal places, so a set keeps them once
     found = (keys.join(materialize(runs.frequent()), KEY, "left_semi").groupBy("t1", "t2")
-             .agg(F.collect_set(F.struct(*KEY)).alias("__drop")))
-    # under names of its own, so that the columns of docs may have any
-    found = found.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "__drop")
-    text = docs[text_col]
-    t1, t2 = _text_key(text)
-    return docs.join(found, (t1 == found["__t1"]) & (t2 == found["__t2"]), "left").drop("__t1", "__t2")
-
-
-def _cut(text: str | None, drop, min_chars: int) -> tuple[int, int, bytes]:
-    """(lines, dropped lines, the rest) of a text; ``drop``: the hashes that go, or None."""
-    data = (text or "").encode("utf-8", "surrogatepass")
-    lines = data.split(b"\n")
-    if drop is None:
-        return len(lines), 0, data
-    gone = {np.array([d["h1"], d["h2"]], np.int64).tobytes() for d in drop}
-    kept = [line for line in lines if _hash(line_key(line), min_chars) not in gone]
-    return len(lines), len(lines) - len(kept), b"\n".join(kept)
+             .agg(F.collect_set("places").alias("places")))
+    gone = _dropped(found)
+    t1, t2 = _text_key(docs[text_col])
+    return docs.join(gone, (t1 == gone["__t1"]) & (t2 == gone["__t2"]), "left").drop("__t1", "__t2")
 
 
-def _split(docs: DataFrame, batches: int):
-    """Batches by a hash of the whole row's text: any dealing gives the same result."""
-    return F.pmod(F.xxhash64(*docs.columns), F.lit(batches))
-
-
-def _map_cut(docs: DataFrame, text_col: str, min_docs: int, min_chars: int, batches: int, path: str | None,
-             out: Callable[[pa.RecordBatch, list], pa.RecordBatch], schema) -> DataFrame:
-    min_chars = max(min_chars, 1)
-    marked = _marked(docs, text_col, min_docs, min_chars, _split(docs, batches), batches, path)
-    at, last = docs.columns.index(text_col), len(docs.columns)
-
-    def run(bs):
-        for b in bs:
-            yield out(b, [_cut(t.as_py(), d.as_py(), min_chars) for t, d in zip(b.column(at), b.column(last))])
-
-    return marked.mapInArrow(run, schema)
+def _kept(lines):
+    return F.array_join(F.filter(lines, lambda _, i: ~F.coalesce(F.get("__gone", i), F.lit(False))), "\n")
 
 
 def digest(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text",
            batches: int = BATCHES, path: str | None = None) -> DataFrame:
-    """Per document: id, n_lines, n_dropped, kept_sha256.  ``path``: where the runs stay (default: scratch)."""
+    """Per document: id, n_lines, n_dropped, kept_sha256.  ``path``: where keys and runs stay (default: scratch)."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-
-    def out(b, cuts):
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([c[0] for c in cuts], pa.int64()), pa.array([c[1] for c in cuts], pa.int64()),
-             pa.array([sha256(c[2]).hexdigest() for c in cuts], pa.string())],
-            [id_col, "n_lines", "n_dropped", "kept_sha256"])
-
-    kind = docs.schema["id"].dataType.simpleString()
-    return _map_cut(docs, "text", min_docs, min_chars, batches, path, out,
-                    f"`{id_col}` {kind}, n_lines long, n_dropped long, kept_sha256 string")
+    marked = _marked(docs, "text", min_docs, min_chars, batches, path)
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    gone = F.coalesce(F.size(F.filter("__gone", lambda g: g)), F.lit(0))
+    return marked.select(F.col("id").alias(id_col), F.size(lines).cast("long").alias("n_lines"),
+                         F.when(F.col("__gone").isNull(), 0).otherwise(gone).cast("long").alias("n_dropped"),
+                         F.sha2(F.when(F.col("__gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(_kept(lines)), 256)
+                         .alias("kept_sha256"))
 
 
 def remove(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = 1, text_col: str = "text",
            batches: int = BATCHES, path: str | None = None) -> DataFrame:
     """The input without the shared lines; a null text stays null."""
-    names = docs.columns
-    at = names.index(text_col)
-
-    def out(b, cuts):
-        cols = list(b.columns[:len(names)])
-        cols[at] = pa.array([None if t is None else c[2].decode("utf-8", "surrogatepass")
-                             for t, c in zip(cols[at].to_pylist(), cuts)], pa.string())
-        return pa.RecordBatch.from_arrays(cols, names)
-
-    return _map_cut(docs, text_col, min_docs, min_chars, batches, path, out, docs.schema)
+    marked = _marked(docs, text_col, min_docs, min_chars, batches, path)
+    text = F.col(text_col)
+    cut = F.when(F.col("__gone").isNull(), text).otherwise(_kept(F.split(text, "\n", -1)))
+    return marked.select(*(cut.alias(c) if c == text_col else F.col(c) for c in docs.columns))
