@@ -48,29 +48,30 @@ def _widen(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
-def align_union(*dfs: DataFrame) -> DataFrame:
-    """SO3: union by name, missing columns become NULL, numeric types widen
-    (bigint with double -> double); any other type clash raises."""
+def common_schema(*dfs: DataFrame) -> dict[str, T.DataType]:
+    """Columns of all frames in order of appearance, with the widened types."""
     if not dfs:
         raise ValueError("nothing to union")
     types: dict[str, T.DataType] = {}
-    order: list[str] = []
     for df in dfs:
         for f in df.schema.fields:
-            if f.name not in types:
-                types[f.name] = f.dataType
-                order.append(f.name)
-            else:
-                w = _widen(types[f.name], f.dataType)
-                if w is None:
-                    raise SchemaDriftError(
-                        f"column {f.name}: {types[f.name].simpleString()} vs {f.dataType.simpleString()}")
-                types[f.name] = w
+            w = _widen(types[f.name], f.dataType) if f.name in types else f.dataType
+            if w is None:
+                raise SchemaDriftError(
+                    f"column {f.name}: {types[f.name].simpleString()} vs {f.dataType.simpleString()}")
+            types[f.name] = w
+    return types
+
+
+def align_union(*dfs: DataFrame) -> DataFrame:
+    """SO3: union by name, missing columns become NULL, numeric types widen
+    (bigint with double -> double); any other type clash raises."""
+    types = common_schema(*dfs)
 
     def conform(df: DataFrame) -> DataFrame:
         have = set(df.columns)
         return df.select([
-            (F.col(n) if n in have else F.lit(None)).cast(types[n]).alias(n) for n in order])
+            (F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in types.items()])
 
     return reduce(lambda x, y: x.unionByName(y), [conform(d) for d in dfs])
 

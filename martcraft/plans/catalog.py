@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from martcraft.operators.union import current_view
 from martcraft.plans import ads, commerce, crm, design, quality
 from martcraft.plans import cost as CO
-from martcraft.plans import landing, writes
+from martcraft.plans import landing, live, writes
 from martcraft.session import materialize, scratch_path
 from martcraft.sources import analytics as GA
 from martcraft.sources import commerce as SC
@@ -365,3 +365,4 @@ QUERIES["mb1_intraday_reload"] = q_intraday_reload
 # ------------------------------------------------------------------- sinks
 QUERIES.update(writes.QUERIES)
 QUERIES.update(landing.QUERIES)
+QUERIES.update(live.QUERIES)

@@ -8,7 +8,7 @@ functions, no Python UDF):
 2. order lines -> option rows per (day, brand, product, option) with the
    summed quantity, cancelled lines excluded, zero totals skipped.
 3. distinct (brand, product, option) -> product group (JN12: the longest group
-   inside the product name, an equi-join on the name's substrings), pieces
+   inside the product name, found by grams and lengths), pieces
    parsed from the option text with ``transform``/``filter`` inside each row;
    group names leave the flavours by folding over the groups found in each
    distinct text, in list order.
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from martcraft.functions.classify import NOT_WORD_NEXT, WS, ship_rate, size_ml
 from martcraft.functions.numeric import js_round
+from martcraft.operators.containment import candidate_parts, word_index
 from martcraft.session import materialize
 
 WORD_NEXT = "(?=[A-Za-z0-9_])"
@@ -170,8 +171,10 @@ def product_groups(prices: DataFrame, cfg: CostConfig) -> DataFrame:
 
 def group_of(names: DataFrame, groups: DataFrame) -> DataFrame:
     """JN12: (pn) -> (pn, grp) of names that contain a group, whitespace aside."""
-    inside = names.select("pn").distinct().select("pn", F.explode(_substrings(_rx(F.col("pn"), WS, ""))).alias("grp"))
-    return inside.join(groups, "grp").groupBy("pn").agg(F.min_by("grp", "ord").alias("grp"))
+    bare = names.select("pn").distinct().withColumn("bare", _rx(F.col("pn"), WS, ""))
+    inside = candidate_parts(bare, "bare", word_index(groups, "grp")).withColumnRenamed("part", "grp")
+    best = inside.join(groups, "grp").groupBy("bare").agg(F.min_by("grp", "ord").alias("grp"))
+    return bare.join(best, "bare").select("pn", "grp")
 
 
 def without_groups(texts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -182,9 +185,11 @@ def without_groups(texts: DataFrame, groups: DataFrame) -> DataFrame:
     rounds are bounded by the groups inside one text."""
     live = texts.select("raw").distinct().select(
         "raw", F.col("raw").alias("fl"), F.lit(None).cast(groups.schema["ord"].dataType).alias("done"))
+    index = materialize(word_index(groups, "grp"))
     out = None
     while True:
-        inside = live.select("raw", "done", F.explode(_substrings(F.col("fl"))).alias("grp")).join(groups, "grp")
+        found = candidate_parts(live, "fl", index).withColumnRenamed("part", "grp").join(groups, "grp")
+        inside = live.join(found, "fl").select("raw", "done", "grp", "ord")
         nxt = (inside.filter(F.col("done").isNull() | (F.col("ord") > F.col("done")))
                .groupBy("raw").agg(F.min("ord").alias("ord"), F.min_by("grp", "ord").alias("grp")))
         step = materialize(live.join(nxt, "raw", "left"))
@@ -278,14 +283,6 @@ def tokens(on: Column, cfg: CostConfig) -> Column:
         F.concat(z["m"], z["f"]).alias("fl"), z["c"].cast("bigint").alias("cnt")))
 
 
-def _substrings(s: Column) -> Column:
-    n = F.length(s)
-    return F.when(n > 0, F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda ln: F.substring(s, i, ln))))))\
-        .otherwise(F.array().cast("array<string>"))
-
-
 # ------------------------------------------------------------ piece costs
 ALL_SIZES = -1
 
@@ -315,11 +312,14 @@ def flavour_hits(lookups: DataFrame, prices: DataFrame) -> DataFrame:
     """JN11: (grp, scope, f) -> hit_price of the best row whose flavour contains f or lies in it."""
     best = F.min(F.struct("pet", "row_no", "price")).alias("best")
     listed = scoped(prices.filter(F.col("flav") != "")).groupBy("grp", "scope", "flav").agg(best)
-    parts = (listed.select("grp", "scope", F.explode(_substrings(F.col("flav"))).alias("f"), "best")
-             .groupBy("grp", "scope", "f").agg(F.min("best").alias("best")))
-    keys = lookups.filter(F.col("f") != "").select("grp", "scope", "f").distinct()
-    inside = keys.select("grp", "scope", "f", F.explode(_substrings(F.col("f"))).alias("flav")).join(
-        listed, ["grp", "scope", "flav"]).select("grp", "scope", "f", "best")
+    listed = materialize(listed)
+    keys = materialize(lookups.filter(F.col("f") != "").select("grp", "scope", "f").distinct())
+    within = ("grp", "scope")
+    # parts of listed flavours that may be a looked-up one, reduced to the best row per part
+    parts = (candidate_parts(listed, "flav", word_index(keys, "f", within), within).join(listed, [*within, "flav"])
+             .groupBy(*within, F.col("part").alias("f")).agg(F.min("best").alias("best")))
+    inside = (candidate_parts(keys, "f", word_index(listed, "flav", within), within).withColumnRenamed("part", "flav")
+              .join(listed, [*within, "flav"]).select("grp", "scope", "f", "best"))
     around = keys.join(parts, ["grp", "scope", "f"])
     return (inside.unionByName(around).groupBy("grp", "scope", "f").agg(F.min("best").alias("best"))
             .select("grp", "scope", "f", F.col("best.price").alias("hit_price")))

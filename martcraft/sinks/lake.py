@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martcraft.session import checkpoint_dir
+from martcraft.sinks.views import ViewRegistry, register_current_views  # noqa: F401 - kept under their old names
+
 
 
 class DuplicateKeyError(ValueError):
@@ -58,6 +59,14 @@ def _rename(spark, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def drop_files(spark: SparkSession, folder: str) -> None:
+    """Remove a folder's data files, not the folder."""
+    fs, p = _fs(spark, folder)
+    for st in fs.listStatus(p):
+        if st.isFile() and not st.getPath().getName().startswith("_"):
+            fs.delete(st.getPath(), False)
+
+
 def drop_partitions(spark: SparkSession, path: str, col: str, keep) -> list[str]:
     """Remove ``col=value`` folders whose date fails ``keep(date)``."""
     dropped = []
@@ -77,8 +86,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _staging(spark: SparkSession, tag: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/staging/{tag}-{uuid.uuid4().hex}"
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder holds a non-empty data file (metadata only)."""
+    fs, p = _fs(spark, folder)
+    return fs.exists(p) and any(st.isFile() and st.getLen() > 0 and not st.getPath().getName().startswith(("_", "."))
+                                for st in fs.listStatus(p))
 
 
 # ------------------------------------------------------------------ modes
@@ -414,24 +426,6 @@ def load_declared(df: DataFrame, path: str, date_col: str | None = None) -> None
         rows.write.mode("append").parquet(path)
 
 
-class ViewRegistry:
-    """SNK12: named derived views, (re)created from builder functions."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.builders: dict = {}
-
-    def register(self, name: str, builder) -> None:
-        self.builders[name] = builder
-
-    def refresh(self, *names: str) -> list[str]:
-        done = []
-        for n in names or list(self.builders):
-            self.builders[n](self.spark).createOrReplaceTempView(n)
-            done.append(n)
-        return done
-
-
 BOM = "﻿"
 
 
@@ -446,18 +440,6 @@ def export_csv(df: DataFrame, path: str, columns: list[str], parts: int | None =
         .option("encoding", "UTF-8").csv(path)
 
 
-def register_current_views(spark: SparkSession, pairs: dict, as_of: dt.date,
-                           date_col: str = "report_date") -> list[str]:
-    """``<name>_current`` = closed days of the final table + the business
-    day of its intraday twin, for every (final, intraday) pair given."""
-    from martcraft.operators.union import current_view
-    done = []
-    for name, (final, intraday) in pairs.items():
-        current_view(final, intraday, as_of, date_col).createOrReplaceTempView(f"{name}_current")
-        done.append(f"{name}_current")
-    return done
-
-
 def register_brand_views(spark: SparkSession, tables: dict, brands: list[str],
                          mall_col: str = "mall") -> list[str]:
     """PRJ16 (opt-in): one filtered view per table and brand, ``<table>_<brand>``."""

@@ -601,6 +601,39 @@ def raw_stat_paymethods(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("d").alias("day"), F.lit(AS_OF).alias("window_end"))
 
 
+def raw_stat_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of all statistics: one document per report, shop and month, a record per customer class.
+
+    The records' keys come from the specs.  The list stands under one of the report's keys, under an
+    unexpected one, or is the whole document; dates, values and first keys are missing in turn."""
+    from martcraft.sources.statistics import spec_table
+    o = table(spark, sf_dir, "orders")
+    g = o.groupBy(F.trunc("o_orderdate", "MM").alias("d"), _shop_no(F.col("o_orderpriority")).alias("shop_no"),
+                  (F.col("o_custkey") % 4).alias("c")).agg(
+        F.sum(F.floor("o_totalprice")).alias("amt"), F.count(F.lit(1)).alias("cnt"))
+    x = g.crossJoin(F.broadcast(spec_table(spark)))          # the specs: 23 rows
+    c, text = F.col("c"), lambda v: v.cast("string")
+
+    def entries(keys: str, *values: Column) -> Column:
+        return F.transform(F.col(keys), lambda k, i: F.struct(k.alias("key"), F.get(F.array(*values), i).alias("value")))
+
+    date = F.when(c < 3, F.array(F.struct(F.element_at(F.array(F.lit("date"), F.lit("report_date"), F.lit("std_date")),
+                                                       F.least(c, F.lit(2)).cast("int") + 1).alias("key"),
+                                          F.col("d").cast("string").alias("value")))).otherwise(F.array())
+    dated = F.when(F.col("_per_day"), F.array().cast("array<struct<key:string,value:string>>")).otherwise(date)
+    rec = F.map_from_entries(F.concat(
+        entries("_dim1", F.concat(F.lit("dim "), text(c))), entries("_dim2", F.concat(F.lit("sub "), text(c % 2))),
+        entries("_val1", F.when(c == 3, F.lit("bad")).otherwise(text(F.col("amt")))),
+        entries("_val2", F.when((F.size("_val2") > 1) & (c % 2 == 0), F.lit("")).otherwise(text(F.col("cnt"))),
+                text(F.col("cnt") + 1)), dated))
+    docs = x.groupBy("report", "_keys", "d", "shop_no").agg(F.collect_list(rec).alias("recs"))     # at most four
+    recs, which = F.to_json("recs"), F.length("report") % 4
+    value = F.when(which == 0, recs).when(which == 1, F.concat(F.lit('{"status":"ok","other":'), recs, F.lit("}"))).otherwise(
+        F.concat(F.lit('{"none":null,"'), F.element_at("_keys", -1), F.lit('":'), recs, F.lit("}")))
+    return docs.select("report", value.alias("value"), "shop_no", shop_mall(F.col("shop_no")).alias("mall"),
+                       F.col("d").alias("day"), F.lit(AS_OF).alias("window_end"))
+
+
 def raw_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order attribution records (first-touch ad per order)."""
     o = table(spark, sf_dir, "orders")

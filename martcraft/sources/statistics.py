@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martcraft.sources.records import explode_list, f, first_list, parse_record, s
+from martcraft.functions.numeric import safe_double
+from martcraft.sources.records import explode_list, f, first_list, is_list, parse_record, s
 
 
 @dataclass(frozen=True)
@@ -90,3 +91,41 @@ def shape_stat(responses: DataFrame, spec: StatSpec, value_col: str = "value") -
         (f(m, *spec.val2) if spec.val2 else null_d).alias("val2"),
         F.col("rec_text").alias("raw_json"),
         F.current_timestamp().alias("ingested_at"))
+
+
+def spec_table(spark: SparkSession, specs: dict[str, StatSpec] = SPECS) -> DataFrame:
+    """The specs as rows, one per report."""
+    rows = [(name, list(x.keys), list(x.dim1), list(x.dim2), list(x.val1), list(x.val2), x.per_day)
+            for name, x in specs.items()]
+    texts = ", ".join(f"_{c} array<string>" for c in ("keys", "dim1", "dim2", "val1", "val2"))
+    return spark.createDataFrame(rows, f"report string, {texts}, _per_day boolean")
+
+
+def _first_of(rec: Column, keys: Column, good=lambda v: v != "") -> Column:
+    """Value of the first key in ``keys`` (an array column) for which ``good`` holds."""
+    return F.try_element_at(F.filter(F.transform(keys, lambda k: F.try_element_at(rec, k)), good), F.lit(1))
+
+
+def shape_stats(responses: DataFrame, specs: dict[str, StatSpec] = SPECS, value_col: str = "value") -> DataFrame:
+    """All reports in one pass: responses (report, shop_no, mall, day, window_end, JSON text) -> report + generic row.
+
+    The specs meet the responses by the report's name, so a new report is a row and not a job; responses of unknown
+    reports are left out."""
+    table = F.broadcast(spec_table(responses.sparkSession, specs))        # as many rows as there are specs
+    resp = (responses.select("report", "shop_no", "mall", "day", "window_end", F.col(value_col).alias("_v"))
+            .join(table, "report").withColumn("_doc", parse_record("_v")))
+    listed = F.when(is_list(F.col("_v")), F.col("_v")).otherwise(F.coalesce(
+        _first_of(F.col("_doc"), F.col("_keys"), is_list),
+        F.try_element_at(F.filter(F.map_values("_doc"), is_list), F.lit(1))))
+    recs = (resp.withColumn("rec_text", explode_list(listed)).drop("_v", "_doc")
+            .withColumn("_m", parse_record("rec_text")).filter(F.col("_m").isNotNull()))
+    m = F.col("_m")
+    d = F.when(F.col("_per_day"), F.col("day").cast("string")).otherwise(
+        F.coalesce(s(m, "date", "report_date", "std_date"), F.col("window_end").cast("string")))
+    text = lambda c: _first_of(m, F.col(c))
+    return recs.select(
+        "report", F.try_to_date(F.substring(d, 1, 10), "yyyy-MM-dd").alias("report_date"),
+        F.col("shop_no").cast("bigint").alias("shop_no"), "mall",
+        text("_dim1").alias("dim1"), text("_dim2").alias("dim2"),
+        safe_double(text("_val1")).alias("val1"), safe_double(text("_val2")).alias("val2"),
+        F.col("rec_text").alias("raw_json"), F.current_timestamp().alias("ingested_at"))

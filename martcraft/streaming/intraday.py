@@ -56,27 +56,50 @@ def export_of(path_col: Column | str = "_path") -> Column:
     return F.regexp_replace(p, "/part-[^/]*$", "")
 
 
+def latest_exports(landed: DataFrame, landed_date: Column) -> DataFrame:
+    """The rows of each date's latest export (by time, then name); rows without a date go.
+
+    One aggregate of (date, time, export) and a semi join, however many exports arrived together."""
+    dated = landed.withColumn("_day", landed_date)
+    last = (dated.groupBy("_day").agg(F.max(F.struct("_time", "_export")).alias("_last"))
+            .select("_day", F.col("_last._export").alias("_export")))
+    return dated.join(last, ["_day", "_export"], "left_semi").drop("_day")
+
+
 def intraday_refresh(spark: SparkSession, landing: str, schema: T.StructType, fmt: str,
                      shape: Callable[[DataFrame], DataFrame], target: str, checkpoint: str,
-                     date_col: str = "report_date", as_of: dt.date | None = None):
+                     date_col: str = "report_date", as_of: dt.date | None = None,
+                     landed_date: Column | None = None, export: Column | None = None,
+                     arrived: Column | None = None):
     """Process newly landed files once (availableNow) and overwrite the dates
     they carry (SNK1).  ``as_of`` limits the batch to the business day, which
     makes the target the intraday ``_d0`` twin.
 
     Input contract: an export (a file, or a folder of part files) is complete
-    for every date it carries.  Exports that arrive together are applied one
-    after the other, oldest first, so the latest one's rows of a date stand."""
+    for every date it carries, so of exports that arrive together the latest
+    one's rows of a date stand.  ``landed_date`` is the date of a landed row; with it
+    a batch of any number of exports is one pass and one write.  Without it the
+    date is only known after ``shape``, and the exports are applied one after the
+    other, oldest first.  ``export`` names a row's export (default: :func:`export_of` its file),
+    ``arrived`` orders exports (default: the file's time), those of one time go by name."""
+
+    def write(rows: DataFrame) -> None:
+        out = shape(rows.drop("_export", "_path", "_time"))
+        if as_of is not None:
+            out = out.filter(F.col(date_col) == F.lit(as_of))
+        lake.partition_overwrite(out, target, date_col)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        landed = batch.withColumn("_export", export_of())
+        landed = batch.withColumn("_export", export_of() if export is None else export)
+        if arrived is not None:
+            landed = landed.withColumn("_time", arrived)
+        if landed_date is not None:
+            write(latest_exports(landed, landed_date))
+            return
         exports = (landed.groupBy("_export").agg(F.max("_time").alias("_time"))
                    .orderBy("_time", "_export").collect())      # one row per landed export
         for e in exports:
-            rows = landed if len(exports) == 1 else landed.filter(F.col("_export") == e["_export"])
-            out = shape(rows.drop("_export", "_path", "_time"))
-            if as_of is not None:
-                out = out.filter(F.col(date_col) == F.lit(as_of))
-            lake.partition_overwrite(out, target, date_col)
+            write(landed if len(exports) == 1 else landed.filter(F.col("_export") == e["_export"]))
 
     q = (spark.readStream.format(fmt).schema(schema).load(landing)
          .select("*", F.col("_metadata.file_path").alias("_path"),

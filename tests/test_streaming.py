@@ -61,3 +61,24 @@ def test_restatement_log_appends_per_batch(spark, tmp_path):
 def test_lookback_filter(spark):
     df = spark.createDataFrame([(D(2024, 1, d),) for d in range(1, 11)], "report_date date")
     assert I.lookback_filter(df, D(2024, 1, 10), 3).count() == 3
+
+
+def test_a_catch_up_of_many_exports_is_one_write(spark, tmp_path, monkeypatch):
+    from martcraft.sinks import lake
+    land, out, ck = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ck")
+    for e in range(200):
+        _land(land, f"e{e:03d}.json", [{"report_date": f"2024-01-{d:02d}", "mall": f"m{e}", "v": e}
+                                       for d in range(1, 21) if (d + e) % 7 == 0])
+        os.utime(os.path.join(land, f"e{e:03d}.json"), (10_000 + e // 3, 10_000 + e // 3))    # some share a time
+    writes, real = [], lake.partition_overwrite
+    monkeypatch.setattr(lake, "partition_overwrite", lambda *a: writes.append(1) or real(*a))
+    day = F.to_date(F.get_json_object("value", "$.report_date"))
+    I.intraday_refresh(spark, land, SCHEMA, "json", _shape, out, ck, landed_date=day)
+    assert len(writes) == 1
+    got = {r.report_date.day: r.v for r in spark.read.parquet(out).collect()}
+    assert got == {d: max(e for e in range(200) if (d + e) % 7 == 0) for d in range(1, 21)}
+    # a later export replaces only its dates
+    _land(land, "later.json", [{"report_date": "2024-01-05", "mall": "x", "v": -1}, {"report_date": None, "mall": "y", "v": 0}])
+    I.intraday_refresh(spark, land, SCHEMA, "json", _shape, out, ck, landed_date=day)
+    after = {r.report_date.day: r.v for r in spark.read.parquet(out).collect()}
+    assert after == {**got, 5: -1}
