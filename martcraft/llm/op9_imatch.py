@@ -23,11 +23,13 @@ differ in size beyond a factor of two to four.
 
 The next document comes from one shuffle: ids are dealt by blocks of ``span``, and
 each block gets a copy of the document that follows it, so that a window sees the
-text after each text.  All later grouping stays within the blocks' partitions.
+text after each text.  All later grouping stays within the blocks' partitions: a word that a text
+and its edit share is hashed and looked up once, and one aggregate keyed by the row's place holds
+all hashes of both as longs.
 
 Nulls and edge cases: a null text is empty; a text without a term in the lexicon has
 the fingerprint of its word sequence, alike (1) only if equal; rows that repeat an id
-follow each other by text; a null id sorts after all others; a single document is its
+follow each other by text; null ids sort after all others, by a hash of their text; a single document is its
 own next one; an empty table gives no rows; other columns are ignored.
 """
 
@@ -80,13 +82,14 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, span: int = 64) -> Da
     """(block, ord, id, text, after, extra): each text with the following one, descending id, cyclic.
 
     Rows with ``extra`` are the copies at the end of a block and belong to no document."""
-    low, high = docs.agg(F.min(id_col), F.max(id_col)).first()
+    low, high, nameless = docs.agg(F.min(id_col), F.max(id_col), F.count_if(F.col(id_col).isNull())).first()
     low, high = (low or 0), (high or 0)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(low - 1))
+    # rows without an id take keys below all ids by a hash of their text, about one row to a key
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(low - 1) - F.pmod(F.xxhash64(text_col), F.lit(max(nameless, 1))))
     rows = docs.select(F.floor(key / span).alias("block"), key.alias("key"), F.col(id_col).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     heads = materialize(rows.groupBy("block").agg(F.max(F.struct("key", "text")).alias("head")))
-    levels, reach = 0, (high - low + 1) // span + 2
+    levels, reach = 0, (high - low + 1 + nameless) // span + 2
     while reach > span:
         levels, reach = levels + 1, reach // span + 1
     follow = _next_lower(heads.select(F.col("block").alias("k")), span, levels).select(
@@ -100,43 +103,77 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, span: int = 64) -> Da
                        F.lead("text").over(w).alias("after"), "extra")
 
 
-def _prints(rows: DataFrame, lex: DataFrame) -> DataFrame:
-    """rows (block, ord, id, extra, n_chars, sha, which, body) -> the same without body, with base, near, far
-    (arrays of subset hashes at two sizes), wide (hash of all terms, then of those in each wide lexicon), terms
-    (terms in the lexicon) and whole (hash of the word sequence)."""
-    keep = ["block", "ord", "which", "id", "extra", "n_chars", "sha"]
-    counted = rows.withColumn("ws", words(F.col("body"))).withColumn(
-        "base", F.least(F.lit(40), F.floor(F.log2(F.size("ws") + F.lit(1.0))).cast("int") + 1))
-    keys = [*keep, "base", "whole"]
-    out = (counted.select(*keep, "base", F.xxhash64("ws").alias("whole"),
-                          F.explode(F.array_append("ws", F.lit(_MARK))).alias("w"))
-           .select(*keys, F.xxhash64("w").alias("term")))
-    # a term's part in the hash of all terms, and in those of the wide lexicons, four 16-bit lanes to a long
+def _hash_table(lex: DataFrame) -> DataFrame:
+    """term, u (which subsets), x (its hash) and its 16-bit parts in the wide lexicons, four to a long; with the mark."""
     u = F.xxhash64("term", F.lit(9))
-    lanes = [sum((F.when(F.shiftright(u, 48 + 2 * i).bitwiseAND(F.lit(3)) != 0, F.col("term").bitwiseAND(
-        F.lit(0xFFFF << 16 * (i % 4) if i % 4 < 3 else -1 << 48))).otherwise(F.lit(0).cast("long"))
-        for i in range(at, at + 4)), F.lit(0).cast("long")) for at in range(0, WIDE, 4)]
     zero = F.lit(0).cast("long")
-    known = lex.select("term", u.alias("u"), F.col("term").alias("x"), *(c.alias(f"x{i}") for i, c in enumerate(lanes))).union(
+    lanes = [sum((F.when(F.shiftright(u, 48 + 2 * i).bitwiseAND(F.lit(3)) != 0, F.col("term").bitwiseAND(
+        F.lit(0xFFFF << 16 * (i % 4) if i % 4 < 3 else -1 << 48))).otherwise(zero)
+        for i in range(at, at + 4)), zero) for at in range(0, WIDE, 4)]
+    return lex.select("term", u.alias("u"), F.col("term").alias("x"), *(c.alias(f"x{i}") for i, c in enumerate(lanes))).union(
         lex.sparkSession.range(1).select(F.xxhash64(F.lit(_MARK)).alias("term"), F.lit(None).cast("long").alias("u"), zero,
                                          *[zero] * len(lanes)))
-    # the subset of a term at either size; the mark and the terms in no used subset share a place of their own
-    near = F.expr(f"if(u & (shiftleft(1L, base) - 1) < {SUBSETS}, u & (shiftleft(1L, base) - 1), -1L)")
-    places = F.when(F.expr(f"u & (shiftleft(1L, base + 1) - 1) < {SUBSETS}"), F.array(
-        near, F.expr(f"(u & (shiftleft(1L, base + 1) - 1)) + {SUBSETS}"))).otherwise(F.array(near))
-    sums = ["x", *(f"x{i}" for i in range(len(lanes)))]
-    hashed = (out.join(F.broadcast(known), "term").select(*keys, "u", *sums, F.explode(places).alias("k"))
-              .groupBy(*keys, "k").agg(F.count("u").alias("c"), *(F.bit_xor(x).alias(x) for x in sums)))
-    # every term is in one place below SUBSETS
-    once = lambda x: F.when(F.col("k") < SUBSETS, F.col(x))
-    entry = F.struct("k", F.col("x").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("v"))
-    lists = hashed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.when(F.col("k") >= 0, entry))).alias("m"),
-                                      F.sum(once("c")).alias("terms"), *(F.bit_xor(once(x)).alias(x) for x in sums))
-    part = lambda at: F.transform(F.sequence(F.lit(at).cast("long"), F.lit(at + SUBSETS - 1).cast("long")),
-                                  lambda k: F.coalesce(F.col("m")[k], F.lit(0)))
-    wide = [F.shiftright(f"x{i // 4}", 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF)) for i in range(WIDE)]
-    return lists.select(*keys, "terms", part(0).alias("near"), part(SUBSETS).alias("far"),
-                        F.array("x", *wide).alias("wide"))
+
+
+def _prints(rows: DataFrame, lex: DataFrame, carry: list[str], sides: tuple[str, ...]) -> DataFrame:
+    """rows (block, ord, carry, one text per side) -> block, ord, carry and per side a struct of base, near, far (arrays
+    of subset hashes at two sizes), wide (hash of all terms, then of those in each wide lexicon), terms (terms in the
+    lexicon) and whole (hash of the word sequence).
+
+    A word that two sides share is one row.  (block, ord) is the only key and all state is longs: the 64
+    subset hashes of a size are 16 longs of four each, so a task's aggregate has one row per document.  The carried
+    columns are the same in all rows of a key."""
+    zero = F.lit(0).cast("long")
+    counted = rows.select("block", "ord", *carry, *(words(F.coalesce(F.col(s), F.lit(""))).alias(f"ws_{s}") for s in sides))
+    for s in sides:
+        counted = counted.withColumns({
+            f"base_{s}": F.least(F.lit(40), F.floor(F.log2(F.size(f"ws_{s}") + F.lit(1.0))).cast("int") + 1),
+            f"whole_{s}": F.xxhash64(f"ws_{s}")})
+    kept = [*carry, *(f"{n}_{s}" for s in sides for n in ("base", "whole"))]
+    # which sides hold a word: a bit each
+    if len(sides) == 1:
+        parts = [(1, F.col(f"ws_{sides[0]}"))]
+    else:
+        a, b = (F.col(f"ws_{s}") for s in sides)
+        parts = [(3, F.array_intersect(a, b)), (1, F.array_except(a, b)), (2, F.array_except(b, a))]
+    parts[0] = (parts[0][0], F.array_append(parts[0][1], F.lit(_MARK)))
+    dealt = counted.select("block", "ord", *kept, F.explode(F.array(*(
+        F.struct(F.lit(bits).alias("bits"), ws.alias("ws")) for bits, ws in parts))).alias("p"))
+    out = dealt.select("block", "ord", *kept, "p.bits", F.explode("p.ws").alias("w")).select(
+        "block", "ord", *kept, "bits", F.xxhash64("w").alias("term"))
+    joined = out.join(F.broadcast(_hash_table(lex)), "term")
+    # the subset of a term at either size (-1: none of those used) and its hash at that place of a long
+    held, sums, aggs = {}, {}, [F.max(c).alias(c) for c in kept]
+    for k, s in enumerate(sides):
+        has = F.col("bits").bitwiseAND(F.lit(1 << k)) != 0
+        for size, more in (("n", 0), ("f", 1)):
+            at = F.expr(f"u & (shiftleft(1L, base_{s} + {more}) - 1)")
+            held[f"{size}_{s}"] = F.when(has & (at < SUBSETS), at.cast("int")).otherwise(F.lit(-1))
+            sums[f"v{size}_{s}"] = F.expr(f"shiftleft(x & 65535L, 16 * ({size}_{s} & 3))")
+            aggs += [F.bit_xor(F.when(F.shiftright(f"{size}_{s}", 2) == j, F.col(f"v{size}_{s}")).otherwise(zero)).alias(
+                f"{size}{j}_{s}") for j in range(SUBSETS // 4)]
+        for x in ["x", *(f"x{i}" for i in range(WIDE // 4))]:
+            sums[f"{x}_{s}"] = F.when(has, F.col(x)).otherwise(zero)
+            aggs.append(F.bit_xor(f"{x}_{s}").alias(f"{x}_{s}"))
+        sums[f"one_{s}"] = F.when(has & F.col("u").isNotNull(), F.lit(1).cast("long")).otherwise(zero)
+        aggs.append(F.sum(f"one_{s}").alias(f"terms_{s}"))
+    placed = joined.select("*", *(c.alias(n) for n, c in held.items())).select(
+        "block", "ord", *kept, *held, *(c.alias(n) for n, c in sums.items()))
+    got = placed.groupBy("block", "ord").agg(*aggs)
+
+    def unpacked(longs: Column, n: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.call_function(
+            "shiftrightunsigned", F.get(longs, F.floor(k / 4).cast("int")), 16 * (k % 4)).bitwiseAND(F.lit(0xFFFF)).cast("int"))
+
+    def print_of(s: str) -> Column:
+        longs = lambda size: F.array(*(f"{size}{j}_{s}" for j in range(SUBSETS // 4)))
+        wide = F.array(*(f"x{i}_{s}" for i in range(WIDE // 4)))
+        return F.struct(F.col(f"terms_{s}").alias("terms"), F.col(f"base_{s}").alias("base"),
+                        unpacked(longs("n"), SUBSETS).alias("near"), unpacked(longs("f"), SUBSETS).alias("far"),
+                        F.concat(F.array(f"x_{s}"), unpacked(wide, WIDE).cast("array<long>")).alias("wide"),
+                        F.col(f"whole_{s}").alias("whole")).alias(f"p_{s}")
+
+    return got.select("block", "ord", *carry, *(print_of(s) for s in sides))
 
 
 def _text(p: Column) -> Column:
@@ -170,11 +207,14 @@ def _match(p: Column, q: Column) -> Column:
 
 def fingerprints(docs: DataFrame, lex: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, fingerprint."""
-    rows = docs.select(F.monotonically_increasing_id().alias("block"), F.lit(0).alias("ord"), F.lit(0).alias("which"),
-                       F.col(id_col).alias("id"), F.lit(False).alias("extra"), F.lit(0).alias("n_chars"),
-                       F.lit("").alias("sha"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    p = F.struct("terms", "base", "near", "far", "wide", "whole")
-    return _prints(rows, lex).select(F.col("id").alias(id_col), _text(p).alias("fingerprint"))
+    rows = docs.select(F.monotonically_increasing_id().alias("block"), F.lit(0).alias("ord"), F.col(id_col).alias("id"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    return _prints(rows, lex, ["id"], ("t",)).select(F.col("id").alias(id_col), _text(F.col("p_t")).alias("fingerprint"))
+
+
+def _as_longs(digest: Column) -> list[Column]:
+    """A 64-digit hex text as four longs."""
+    return [F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("long").alias(f"sha{i}") for i in range(4)]
 
 
 def compare_with_edits(docs: DataFrame, lex: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,18 +225,15 @@ def compare_with_edits(docs: DataFrame, lex: DataFrame, id_col: str = "doc_id",
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - third),
                       F.substring(F.coalesce("after", F.lit("")), F.lit(1), third))
-    seq = seq.select("block", "ord", "id", "extra", F.length("text").cast("long").alias("n_chars"), "text",
-                     F.when(~F.col("extra"), edited).alias("edited"))
-    both = (seq.withColumn("sha", F.sha2("edited", 256))
-            .withColumn("v", F.explode(F.filter(F.array(
-                F.struct(F.lit(0).alias("which"), F.col("text").alias("body")),
-                F.struct(F.lit(1).alias("which"), F.col("edited").alias("body"))), lambda s: s["body"].isNotNull())))
-            .select("block", "ord", "id", "extra", "n_chars", "sha", "v.which", "v.body"))
-    p = F.struct("terms", "base", "near", "far", "wide", "whole")
-    w = W.partitionBy("block").orderBy("ord", "which")
-    got = _prints(both, lex).select("block", "ord", "which", "id", "extra", "n_chars", "sha", p.alias("p"),
-                                    F.lead(p, 1).over(w).alias("e"), F.lead(p, 2).over(w).alias("n"))
-    return got.where("which = 0 and not extra").select(
-        F.col("id").alias(id_col), "n_chars", F.col("sha").alias("edited_sha256"), _text(F.col("p")).alias("fingerprint"),
-        _text(F.col("e")).alias("edited_fingerprint"), likeness(F.col("p"), F.col("e")).alias("near_edited"),
-        likeness(F.col("p"), F.col("n")).alias("near_next"))
+    seq = seq.select("block", "ord", "id", "extra", F.length("text").cast("long").alias("n_chars"), F.col("text").alias("t"),
+                     F.when(~F.col("extra"), edited).alias("e"))
+    seq = seq.select("block", "ord", "id", "extra", "n_chars", *_as_longs(F.sha2("e", 256)), "t", "e")
+    shas = [f"sha{i}" for i in range(4)]
+    got = _prints(seq, lex, ["id", "extra", "n_chars", *shas], ("t", "e"))
+    w = W.partitionBy("block").orderBy("ord")
+    got = got.withColumn("next", F.lead("p_t").over(w)).where("not extra")
+    sha = F.lower(F.concat(*(F.lpad(F.hex(x), 16, "0") for x in shas)))
+    return got.select(
+        F.col("id").alias(id_col), "n_chars", sha.alias("edited_sha256"), _text(F.col("p_t")).alias("fingerprint"),
+        _text(F.col("p_e")).alias("edited_fingerprint"), likeness(F.col("p_t"), F.col("p_e")).alias("near_edited"),
+        likeness(F.col("p_t"), F.col("next")).alias("near_next"))

@@ -1,7 +1,12 @@
+import collections
 import hashlib
+import math
 import random
+import re
+import struct
 
 import pytest
+import xxhash
 
 from martcraft.llm import op9_imatch as o
 
@@ -93,3 +98,89 @@ def test_every_lexicon_term_reaches_the_fingerprint(spark):
     assert any(wide[0][j] == wide[i][j] for i in range(1, 13) for j in range(1, o.WIDE + 1))
     pairs = o.compare_with_edits(spark.createDataFrame(docs[:13], "doc_id long, text string"), lex).collect()
     assert all(0.5 < r.near_next < 1 for r in pairs)
+
+
+# ------------------------------------------------------------ plain recomputation
+def xx(data, seed):
+    return xxhash.xxh64_intdigest(data, seed % 2**64)
+
+
+def signed(v):
+    return v - 2**64 if v >= 2**63 else v
+
+
+def plain_words(text):
+    return list(dict.fromkeys(w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w))
+
+
+def plain_print(text, lex):
+    ws = plain_words(text)
+    base = min(40, int(math.log2(len(ws) + 1.0)) + 1)
+    near, far, wide, whole = [0] * 64, [0] * 64, [0] * (o.WIDE + 1), 42
+    held = [t for t in (xx(w.encode(), 42) for w in ws) if t in lex]
+    for t in held:
+        u = xx(struct.pack("<i", 9), xx(struct.pack("<Q", t), 42))
+        for places, bits in ((near, base), (far, base + 1)):
+            if u % 2**bits < 64:
+                places[u % 2**bits] ^= t & 0xFFFF
+        wide[0] ^= t
+        for i in range(o.WIDE):
+            if u >> (48 + 2 * i) & 3:
+                wide[i + 1] ^= t >> 16 * (i % 4) & 0xFFFF
+    for w in ws:
+        whole = xx(w.encode(), whole)
+    return {"base": base, "near": near, "far": far, "wide": wide, "terms": len(held), "whole": whole}
+
+
+def plain_text(p):
+    if not p["terms"]:
+        return f"w:{p['whole']:X}"
+    four = lambda xs: "".join(f"{x:04X}" for x in xs)
+    return f"{p['base']:02d}:{p['wide'][0]:016X}{four(p['wide'][1:])}:{four(p['near'])}{four(p['far'])}"
+
+
+def plain_likeness(a, b):
+    if not a["terms"] or not b["terms"]:
+        return float(a["whole"] == b["whole"])
+    if abs(a["base"] - b["base"]) > 1:
+        return 0.0
+    x = a["far"] if a["base"] < b["base"] else a["near"]
+    y = b["far"] if b["base"] < a["base"] else b["near"]
+    used = [(p, q) for p, q in zip(x, y) if p or q]
+    every = a["wide"][0] == b["wide"][0]
+    wide = sum(p == q for p, q in zip(a["wide"][1:], b["wide"][1:]))
+    return max((sum(p == q for p, q in used) + every) / (len(used) + 1), (wide + every) / (o.WIDE + 1.0))
+
+
+def test_fingerprints_and_likeness_equal_a_plain_recomputation(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted(((r.doc_id, r.text or "") for r in df.collect()), reverse=True)
+    distinct = {t for _, t in rows}
+    df_of = collections.Counter(xx(w.encode(), 42) for t in distinct for w in plain_words(t))
+    lex = {t for t, n in df_of.items() if max(2.0, o.LO * len(distinct)) <= n <= max(2.0, o.HI * len(distinct))}
+    found = o.lexicon(df)
+    assert {r.term % 2**64 for r in found.collect()} == lex
+    got = {r.doc_id: r for r in o.compare_with_edits(df, found).collect()}
+    for k, (i, t) in enumerate(rows):
+        nxt = rows[(k + 1) % len(rows)][1]
+        n = len(t) // 3
+        own, edit, after = (plain_print(x, lex) for x in (t, t[:len(t) - n] + nxt[:n], nxt))
+        r = got[i]
+        assert r.fingerprint == plain_text(own) and r.edited_fingerprint == plain_text(edit)
+        assert r.near_edited == pytest.approx(plain_likeness(own, edit), abs=1e-12)
+        assert r.near_next == pytest.approx(plain_likeness(own, after), abs=1e-12)
+
+
+def test_many_rows_without_an_id_do_not_share_a_block(spark):
+    rows = [(None, f"nameless text {i}") for i in range(300)] + [(i, f"named {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seq = o.with_next(df, "doc_id", "text")
+    assert max(r["count"] for r in seq.groupBy("block").count().collect()) < 130
+    follows = {r.text: r.after for r in seq.where("not extra").collect()}
+    # one cycle through all rows, ids first in descending order
+    assert [follows[f"named {i}"] for i in range(19, 0, -1)] == [f"named {i}" for i in range(18, -1, -1)]
+    seen, at = [], "named 19"
+    for _ in rows:
+        seen.append(at)
+        at = follows[at] or "named 19"
+    assert len(set(seen)) == len(rows)
