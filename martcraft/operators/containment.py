@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martcraft.session import materialize
-
 GRAM = 3
 
 
@@ -25,10 +23,12 @@ def word_index(words: DataFrame, word: str, scope: tuple[str, ...] = ()) -> Data
 def candidate_parts(texts: DataFrame, text: str, index: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """(scope..., text, part): the distinct parts of each distinct text that start like a word and are as long as one.
 
-    Every word of the index that lies in the text is among them; an equality join on ``part`` tells the others."""
-    rows = materialize(texts.select(*scope, text).distinct().filter(F.col(text) != "")
-                       .select("*", F.monotonically_increasing_id().alias("_id"), F.split(text, "").alias("_chars")))
+    Every word of the index that lies in the text is among them; an equality join on ``part`` tells the others.  Texts
+    are joined to their places by a hash: two texts of one hash only get some candidates more."""
+    rows = (texts.select(*scope, text).distinct().filter(F.col(text) != "")
+            .select("*", F.xxhash64(*scope, text).alias("_id"), F.split(text, "").alias("_chars")))
     n = F.size("_chars")
+
     def grams(size: int) -> Column:
         # single characters are read by place: cutting from the text would count from its start each time
         return F.when(n >= size, F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.struct(

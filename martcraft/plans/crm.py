@@ -84,37 +84,41 @@ def segment(orders: DataFrame, items: DataFrame, spec: AudienceSpec, as_of: dt.d
     products; columns customer_type, mall, shop_no, ref, last_order_date,
     days_since, order_count, spend, used_coupon, products."""
     j = F.col("_j")
-    it = items.select("order_id", "mall", "product_no", "product_name",
-                      parse("raw_json", ITEM_JSON).alias("_j")).select(
-                      "order_id", "mall", "product_no", "product_name",
-                      j["option_value"].alias("option_value"),
-                      F.coalesce(safe_double(j["coupon_discount_price"]), F.lit(0.0)).alias("coupon"))
-    o = orders.filter(since("report_date", as_of, days=spec.days)).select(
+    window = since("report_date", as_of, days=spec.days)
+    it = items.filter(window).select(
+        "order_id", "mall", "product_no", "product_name", parse("raw_json", ITEM_JSON).alias("_j")).select(
+        "order_id", "mall", "product_no", "product_name", j["option_value"].alias("option_value"),
+        F.coalesce(safe_double(j["coupon_discount_price"]), F.lit(0.0)).alias("coupon"))
+    o = orders.filter(window).select(
         "mall", "shop_no", "member_id", "order_id", "report_date", "payment_amount")
-    if spec.mall != "all":
-        o = o.filter(F.col("mall") == spec.mall)
     cond = product_predicate(spec.product_nos, spec.product_kw)
     if spec.option_include:
         cond = cond & F.col("option_value").like(f"%{spec.option_include}%")
     if spec.option_exclude:
         cond = cond & (F.col("option_value").isNull()
                        | ~F.col("option_value").like(f"%{spec.option_exclude}%"))
-    a = (o.join(it.filter(cond), ["order_id", "mall"])
+    b_cond = product_predicate(spec.exclude_nos, spec.exclude_kw)
+    # One pass over the window's lines marks each order that has a wanted or an unwanted line
+    # (the brand filter holds for wanted ones only); members, their top products and guests read it.
+    lines = (it.withColumn("_wanted", F.coalesce(cond, F.lit(False)))
+             .withColumn("_unwanted", F.lit(False) if b_cond is None else F.coalesce(b_cond, F.lit(False)))
+             .filter("_wanted or _unwanted")
+             .select("order_id", "mall", "_wanted", "_unwanted",
+                     F.when(F.col("_wanted"), F.when(F.col("coupon") > 0, 1).otherwise(0)).alias("used_coupon"),
+                     F.when(F.col("_wanted"), F.col("product_name")).alias("a_product")))
+    marked = materialize(
+        o.join(lines, ["order_id", "mall"])
          .groupBy("mall", "shop_no", "member_id", "order_id", "report_date", "payment_amount")
-         .agg(F.max(F.when(F.col("coupon") > 0, 1).otherwise(0)).alias("used_coupon"),
-              F.max("product_name").alias("a_product")))
-    # One row per matching order in the window; members, their top products
-    # and guests all read it, so it is computed once.
-    a = materialize(a)
+         .agg(F.max("_wanted").alias("_wanted"), F.max("_unwanted").alias("_unwanted"),
+              F.max("used_coupon").alias("used_coupon"), F.max("a_product").alias("a_product")))
+    a = marked.filter("_wanted")
+    if spec.mall != "all":
+        a = a.filter(F.col("mall") == spec.mall)
     is_member = F.col("member_id").isNotNull() & (F.col("member_id") != "")
     mem = a.filter(is_member)
-    b_cond = product_predicate(spec.exclude_nos, spec.exclude_kw)
     if b_cond is not None:
         # B buyers: members in the window, ignoring the brand filter on purpose.
-        ob = orders.filter(since("report_date", as_of, days=spec.days)).select(
-            "mall", "member_id", "order_id")
-        b = (ob.filter(is_member).join(it.filter(b_cond), ["order_id", "mall"])
-             .select("mall", "member_id").distinct())
+        b = marked.filter("_unwanted").filter(is_member).select("mall", "member_id").distinct()
         mem = mem.join(b, ["mall", "member_id"], "left_anti")
     top = top_products(mem)
     members = (mem.groupBy("mall", "member_id").agg(
