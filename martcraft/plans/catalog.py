@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martcraft.functions.privacy import phone_hash, strip_personal
 from martcraft.operators.union import current_view
 from martcraft.plans import ads, commerce, crm, design, quality
 from martcraft.plans import cost as CO
@@ -147,6 +148,11 @@ def q_crm_audience(spark, sf):
     return crm.audience(_crm_rows(spark, sf))
 
 
+def q_audience_order(spark, sf):
+    """ST1: the send list's order as a column."""
+    return crm.numbered_audience(_crm_rows(spark, sf))
+
+
 def q_crm_funnel(spark, sf):
     return crm.funnel(_crm_rows(spark, sf))
 
@@ -158,6 +164,7 @@ def q_suppression_list(spark, sf):
 QUERIES.update({
     "p13_crm_audience": q_crm_audience,
     "p13_crm_funnel": q_crm_funnel,
+    "st1_audience_order": q_audience_order,
     "src18_suppression_list": q_suppression_list,
 })
 
@@ -176,6 +183,24 @@ def q_src_orders(spark, sf):
                     "order_status", "payment_amount", "order_amount", "currency")
 
 
+def q_strip_personal(spark, sf):
+    """F13 + F11: landed order texts without the buyer's data, all other characters kept, the phone's hash beside.
+
+    The buyer comes first, last among blanks, or only inside another member; every fourth text is cut off."""
+    o = D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").alias("tp"))
+    k, kind = F.col("k").cast("string"), F.col("k") % 4
+    phone = F.concat(F.lit("010-"), k)
+    buyer = F.concat(F.lit('"buyer":{"cellphone":"'), phone, F.lit('","note":"a}, \\"b\\""}'))
+    amounts = F.concat(F.lit('"amount":'), F.col("tp").cast("string"), F.lit('.50, "n" : 1e3,"memo":"caf\\u00e9 {x}"'))
+    text = (F.when(kind == 0, F.concat(F.lit("{"), buyer, F.lit(',"receivers":[{"phone":[1,2]}],'), amounts, F.lit("}")))
+            .when(kind == 1, F.concat(F.lit("{ "), amounts, F.lit(' , "receivers" : [] , '), buyer, F.lit(" }")))
+            .when(kind == 2, F.concat(F.lit('{"note":{'), buyer, F.lit("},"), amounts, F.lit("}")))
+            .otherwise(F.concat(F.lit("{"), buyer, F.lit(","), amounts)))
+    none = F.lit(None).cast("string")
+    return o.select(k.alias("order_id"), strip_personal(text).alias("raw_json"),
+                    phone_hash(phone, none, none, none, CATALOG_SECRET).alias("buyer_hash"))
+
+
 def q_src_order_items(spark, sf):
     return SC.explode_order_items(D.raw_orders(spark, sf)).drop("raw_json", "ingested_at")
 
@@ -216,6 +241,7 @@ QUERIES.update({
     "src3_stat_paymethod": q_src_stat_paymethod,
     "src4_order_attribution": q_src_attribution,
     "src7_member_joins": q_src_member_joins,
+    "f13_strip_personal": q_strip_personal,
     "src13_ga4_sessions": q_src_ga4_sessions,
     "src14_ga4_transactions": q_src_ga4_transactions,
     "src10_search_ads": q_src_search_ads,
@@ -270,6 +296,22 @@ def q_tx_reconciliation(spark, sf):
     return design.transaction_reconciliation(tx, D.orders(spark, sf))
 
 
+def q_odd_order_ids(spark, sf):
+    """D4 where ids come in other forms: letters only, a hyphen, the web tag's prefix, blanks around them."""
+    o = D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"),
+                                            F.floor("o_totalprice").cast("double").alias("amount"))
+    k, kind = F.col("k").cast("string"), F.col("k") % 5
+    brand = F.when(F.col("k") % 2 == 0, F.lit(D.BRAND_A)).otherwise(F.lit(D.BRAND_B))
+    web = (F.when(kind == 0, F.lit(" qq ")).when(kind == 1, F.concat(F.lit("A1-"), k))
+           .when(kind == 2, F.concat(F.lit(" T"), k, F.lit(" "))).when(kind == 3, F.concat(F.lit("t"), k)).otherwise(k))
+    own = F.when(kind == 0, F.lit("AB-X")).when(kind == 1, F.concat(F.lit("1-"), k)).otherwise(k)
+    tx = o.select(brand.alias("brand"), F.col("day").alias("date"), web.alias("transaction_id"),
+                  (F.col("amount") + 1).alias("purchase_revenue"), F.lit(1).cast("long").alias("ecommerce_purchases"))
+    orders = o.select(F.col("day").alias("report_date"), brand.alias("mall"), own.alias("order_id"),
+                      F.col("amount").alias("payment_amount"))
+    return design.transaction_reconciliation(tx, orders)
+
+
 def q_restatement(spark, sf):
     ev = D.events(spark, sf)
     early = ev.filter(F.minute("ts") < 45)          # what the earlier snapshot of the day had seen
@@ -287,6 +329,7 @@ QUERIES.update({
     "d3_campaign_daily": q_campaign_daily,
     "d3_creative_daily": q_creative_daily,
     "d4_tx_reconciliation": q_tx_reconciliation,
+    "d4_odd_order_ids": q_odd_order_ids,
     "d6_restatement": q_restatement,
 })
 

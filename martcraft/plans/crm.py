@@ -20,6 +20,7 @@ from martcraft.functions.dates import lag_days, since
 from martcraft.functions.json import ITEM_JSON, parse
 from martcraft.functions.numeric import safe_double
 from martcraft.functions.privacy import digits_only
+from martcraft.operators.ordering import with_row_number
 from martcraft.session import materialize
 
 # Send channels and consent notes of the audience file.
@@ -221,5 +222,15 @@ def audience(rows_with_status: DataFrame) -> DataFrame:
             .orderBy(F.col("customer_type").asc(), F.col("last_order_date").desc()))
 
 
+# The file's order (ST1), made total by brand and reference.
+AUDIENCE_ORDER = ["customer_type", "-last_order_date", "mall", "ref"]
+
+
+def numbered_audience(rows_with_status: DataFrame) -> DataFrame:
+    """The send list with each row's place in the file, so that the order survives any storage."""
+    order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in AUDIENCE_ORDER]
+    return with_row_number(rows_with_status.filter(F.col("status") == "send").select(*AUDIENCE_COLUMNS), order)
+
+
 def funnel(rows_with_status: DataFrame) -> DataFrame:
     return rows_with_status.groupBy("customer_type", "status").agg(F.count(F.lit(1)).alias("n"))

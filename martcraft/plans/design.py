@@ -78,32 +78,52 @@ def creative_daily(flat: DataFrame) -> DataFrame:
         safe_ratio(s("purchase_value"), s("spend")).alias("roas"))
 
 
-def order_key(col) -> Column:
-    """Order number as both systems can be compared on: its digits."""
-    return F.regexp_replace(F.col(col), r"[^0-9]", "")
+def order_key(col, prefixes: tuple[str, ...] = ()) -> Column:
+    """Order number as both systems can be compared on: letters (upper case) and digits, without one of the
+    source's own prefixes.  NULL for an id without a digit: it is no order number and matches nothing."""
+    c = F.regexp_replace(F.upper(F.col(col).cast("string")), r"[^0-9A-Z]", "")
+    if prefixes:
+        c = F.regexp_replace(c, "^(" + "|".join(p.upper() for p in prefixes) + r")(?=\d)", "")
+    return F.when(c.rlike(r"\d"), c)
+
+
+# Fixed value: what the web tag puts before an order number.
+WEB_PREFIXES = ("T",)
 
 
 def transaction_reconciliation(transactions: DataFrame, orders: DataFrame, start: dt.date | None = None,
-                               end: dt.date | None = None) -> DataFrame:
+                               end: dt.date | None = None, web_prefixes: tuple[str, ...] = WEB_PREFIXES,
+                               order_prefixes: tuple[str, ...] = ()) -> DataFrame:
     """Web transactions vs orders by brand and id, over [start, end] if
     given: status, revenue difference and duplicate firing (> 1 purchase
-    event).  The same key rule applies to both sides, and both are
-    pre-aggregated per key so the full join cannot fan out."""
+    event).  Each source's ids are brought to one form; ids that are no order
+    numbers stay one-sided, by themselves.  Both sides are pre-aggregated per
+    key so the full join cannot fan out."""
     def within(df: DataFrame, day: str) -> DataFrame:
         if start is not None:
             df = df.filter(F.col(day) >= F.lit(start))
         return df if end is None else df.filter(F.col(day) <= F.lit(end))
 
-    t = (within(transactions, "date").groupBy("brand", order_key("transaction_id").alias("order_id"))
-         .agg(F.sum("purchase_revenue").alias("ga_revenue"), F.sum("ecommerce_purchases").alias("ga_purchases")))
-    o = (within(orders, "report_date").groupBy(F.col("mall").alias("brand"), order_key("order_id").alias("order_id"))
-         .agg(F.sum("payment_amount").alias("order_revenue")))
-    t, o = t.withColumn("ga_brand", F.col("brand")), o.withColumn("order_mall", F.col("brand"))
-    j = t.join(o, ["brand", "order_id"], "full")
-    status = (F.when(F.col("order_mall").isNull(), F.lit("ga_only"))
-               .when(F.col("ga_brand").isNull(), F.lit("order_only"))
+    def keyed(df: DataFrame, brand: str, id_col: str, prefixes: tuple[str, ...]) -> list[Column]:
+        key = order_key(id_col, prefixes)
+        return [F.col(brand).alias("brand"), key.alias("key"),
+                F.when(key.isNull(), F.trim(F.col(id_col).cast("string"))).alias("odd")]
+
+    t = within(transactions, "date")
+    t = (t.groupBy(*keyed(t, "brand", "transaction_id", web_prefixes))
+         .agg(F.sum("purchase_revenue").alias("ga_revenue"), F.sum("ecommerce_purchases").alias("ga_purchases"))
+         .withColumnsRenamed({"odd": "ga_odd"}).withColumn("ga_brand", F.col("brand")))
+    o = within(orders, "report_date")
+    o = (o.groupBy(*keyed(o, "mall", "order_id", order_prefixes))
+         .agg(F.sum("payment_amount").alias("order_revenue"))
+         .withColumnsRenamed({"odd": "order_odd"}).withColumn("order_mall", F.col("brand")))
+    # a NULL key equals no other; one-sided rows are told by the side that is there
+    j = t.withColumn("in_ga", F.lit(True)).join(o.withColumn("in_orders", F.lit(True)), ["brand", "key"], "full")
+    status = (F.when(F.col("in_orders").isNull(), F.lit("ga_only"))
+               .when(F.col("in_ga").isNull(), F.lit("order_only"))
                .otherwise(F.lit("matched")))
-    return j.select("order_id", status.alias("status"), "ga_brand", "order_mall", "ga_revenue",
+    return j.select(F.coalesce("key", "ga_odd", "order_odd").alias("order_id"), status.alias("status"), "ga_brand",
+                    "order_mall", "ga_revenue",
                     "order_revenue", (F.col("ga_revenue") - F.col("order_revenue")).alias("revenue_diff"),
                     (F.coalesce(F.col("ga_purchases"), F.lit(0)) > 1).alias("duplicate_firing"))
 

@@ -123,3 +123,16 @@ def test_ship_rate_golden_vectors(spark):
     df = spark.createDataFrame([g[:3] for g in GOLDEN], "cans long, mixed boolean, pn string")
     got = [r[0] for r in df.select(C.ship_rate("cans", "mixed", "pn")).collect()]
     assert got == [g[3] for g in GOLDEN]
+
+
+def test_strip_personal_keeps_every_other_character(spark):
+    cases = {
+        '{"a":2.50,"buyer":{"x":[1,{"buyer":2}]},"b":1e3}': '{"a":2.50,"b":1e3}',
+        '{ "buyer" : 1 , "receivers":[{}] }': "{  }",
+        '{"a":"x,} \\u00e9","receivers":"q\\"}","buyer":null , "c" : {"buyer":3}}': '{"a":"x,} \\u00e9","c" : {"buyer":3}}',
+        '{"buyer":1,"a": 2.0,"buyer":3}': '{"a": 2.0}', '{"a":1}': '{"a":1}', "{}": "{}",
+        "[1]": None, '{"a":1': None, '{"a":1} x': None, '{"a":1,}': None, "": None, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "x string")
+    got = {r.x: r.y for r in df.select("x", P.strip_personal("x").alias("y")).collect()}
+    assert got == cases
