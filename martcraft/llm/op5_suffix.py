@@ -17,9 +17,12 @@ A byte is removed if a ``min_len``-byte string covering it also starts anywhere
    the anchor lies in the window, each half keyed by the longer string all its windows
    share; after eight halvings that string is the window itself.
 
+Every row is a document of its own: rows are numbered and written once, and all steps go by
+that number, so ids of any type may be null or repeat.
+
 Nulls and edge cases: a null text is empty; texts shorter than ``min_len`` lose
-nothing; equal rows are copies of each other; rows that share an id are expected to
-share the text; an empty table gives no rows; other columns pass through ``remove``.
+nothing; equal rows are copies of each other; rows that share an id, or have none, are
+judged by their own texts; an empty table gives no rows; other columns pass through ``remove``.
 """
 
 from __future__ import annotations
@@ -314,12 +317,21 @@ def _expand(rows: DataFrame, min_len: int, max_text: int) -> DataFrame:
             .mapInArrow(run, "doc long, s int, e int"))
 
 
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with ``__row``, a number per row; written once, as every reading must see the same numbers."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def repeated_spans(docs: DataFrame, min_len: int = 200, max_group: int = 4_000_000, max_text: int = 1_000_000,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, spans: array<struct<s, e>>) of every document with repeated bytes; the spans may overlap."""
+                   text_col: str = "text") -> DataFrame:
+    """(doc, spans: array<struct<s, e>>, own) of every row of ``numbered`` documents with repeated bytes; doc is the
+    row's number, and the spans may overlap."""
     if min_len < 2 * GRAM:
         raise ValueError(f"min_len must be at least {2 * GRAM}")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(ROW).alias("doc"), F.col(text_col).alias("text"))
     rows = materialize(_segment_rows(docs, min_len))
     segs = rows.where("h is not null")
     often = segs.groupBy("h").agg(F.sum("cnt").alias("tot")).where("tot > 1").select("h")
@@ -366,9 +378,9 @@ def _runs(spans, own) -> np.ndarray:
 def digest(docs: DataFrame, min_len: int = 200, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """Per document: id, n_bytes, n_removed, n_spans, kept_sha256."""
     id_type = dict(docs.select(id_col).dtypes)[id_col]
-    spans = repeated_spans(docs, min_len, id_col=id_col, text_col=text_col, **more)
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        spans, F.col("id").cast("long") == F.col("doc"), "left").select("id", "text", "spans", "own")
+    docs = numbered(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    spans = repeated_spans(docs, min_len, **more)
+    joined = docs.join(spans, F.col(ROW) == F.col("doc"), "left").select("id", "text", "spans", "own")
 
     def run(batches):
         for b in batches:
@@ -390,12 +402,14 @@ def digest(docs: DataFrame, min_len: int = 200, id_col: str = "doc_id", text_col
     return joined.mapInArrow(run, f"{id_col} {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove(docs: DataFrame, min_len: int = 200, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+def remove(docs: DataFrame, min_len: int = 200, text_col: str = "text", **more) -> DataFrame:
     """The input with repeated bytes cut out of ``text_col``; cuts shrink to whole characters."""
-    spans = repeated_spans(docs, min_len, id_col=id_col, text_col=text_col, **more).select(
+    schema, names = docs.schema, docs.columns
+    col, width = names.index(text_col), len(names)
+    keyed = numbered(docs)
+    spans = repeated_spans(keyed, min_len, text_col=text_col, **more).select(
         F.col("doc").alias("__doc"), F.col("spans").alias("__spans"), F.col("own").alias("__own"))
-    joined = docs.join(spans, docs[id_col].cast("long") == F.col("__doc"), "left").drop("__doc")
-    col, names, width = docs.columns.index(text_col), docs.columns, len(docs.columns)
+    joined = keyed.join(spans, F.col(ROW) == F.col("__doc"), "left").select(*names, "__spans", "__own")
 
     def cut(text: str | None, runs: np.ndarray) -> str | None:
         if text is None or not len(runs):
@@ -419,4 +433,4 @@ def remove(docs: DataFrame, min_len: int = 200, id_col: str = "doc_id", text_col
             cols[col] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, schema)

@@ -78,3 +78,29 @@ def test_cuts_do_not_break_characters(spark):
     body = "é" * 150
     df = spark.createDataFrame([(1, "a" + body), (2, "b" + body)], "doc_id long, text string")
     assert {r.text for r in o.remove(df, 201 // 2 * 2 + 1).collect()} <= {"a", "b", "aé", "bé"}
+
+
+def long_passage(seed, n=90):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(n))
+
+
+def test_rows_with_null_and_repeated_ids_are_documents_of_their_own(spark):
+    shared, own = long_passage(1), long_passage(2, 100)
+    rows = [(None, "start " + shared), (None, shared + " end"), (1, "one " + shared), (2, shared + " two"),
+            (1, own), (3, long_passage(3)), (3, None), (None, None), (None, own[:150])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(df, rows)
+    got = o.digest(df).where("n_removed > 0").collect()
+    assert len(got) == 4 and {r.n_removed for r in got} <= set(range(len(shared) - 1, len(shared) + 3))
+    # the second text of id 1 occurs nowhere else and keeps every character
+    kept = sorted((r.text or "") for r in o.remove(df).collect())
+    assert own in kept and sum(shared[10:-10] in t for t in kept) == 0
+
+
+def test_ids_of_any_type(spark):
+    shared = long_passage(4)
+    rows = [("a/1", shared), ("b:2", "x" + shared), (None, "other")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    check(df, rows)
+    assert o.digest(df).schema["doc_id"].dataType.simpleString() == "string"
