@@ -19,7 +19,7 @@ from martcraft.functions.privacy import phone_hash, strip_personal
 from martcraft.operators.union import current_view
 from martcraft.plans import ads, commerce, crm, design, quality
 from martcraft.plans import cost as CO
-from martcraft.plans import landing, live, writes
+from martcraft.plans import landing, live, shapers, writes
 from martcraft.session import materialize, scratch_path
 from martcraft.sources import analytics as GA
 from martcraft.sources import commerce as SC
@@ -275,6 +275,12 @@ def q_freshness(spark, sf):
     return quality.freshness(checks, AS_OF)
 
 
+def q_role_views(spark, sf):
+    """The merchandiser's view of the daily sales."""
+    design.register_role_views(spark, {"sales_daily": q_sales_daily(spark, sf)})
+    return spark.table("v_md_sales_daily")
+
+
 def q_exec_weekly(spark, sf):
     return design.exec_weekly_kpi(q_brand_kpi(spark, sf))
 
@@ -324,6 +330,7 @@ def q_restatement(spark, sf):
 QUERIES.update({
     "so2_orders_current": q_orders_current,
     "dq1_freshness": q_freshness,
+    "d1_role_views": q_role_views,
     "d2_exec_weekly_kpi": q_exec_weekly,
     "d3_keyword_daily": q_keyword_daily,
     "d3_campaign_daily": q_campaign_daily,
@@ -348,7 +355,10 @@ COST_DAYS = 90
 def q_cost_daily(spark, sf, as_of=AS_OF):
     o = D.orders(spark, sf)
     items = D.cost_items(spark, sf, D.order_items(spark, sf, current_view(o, o, as_of)))
-    sheet = D.price_sheet(spark, sf)
+    return cost_of(items, D.price_sheet(spark, sf), as_of)
+
+
+def cost_of(items, sheet, as_of=AS_OF):
     # the price list feeds several joins
     prices = materialize(CO.parse_price_list(sheet, COST_CONFIG))
     collab = CO.parse_collab_prices(sheet, COST_CONFIG)
@@ -357,6 +367,34 @@ def q_cost_daily(spark, sf, as_of=AS_OF):
     return CO.cost_daily(opts, prices, collab, COST_CONFIG)
 
 
+# The collaboration brand's own rules, with a made-up vocabulary: gift box, flavour + count tokens, flavour list in
+# parentheses, performance line by product and by marker, 250 ml.
+COLLAB_CONFIG = CO.CostConfig(
+    malls=(D.BRAND_B,), collab_mall=D.BRAND_B, collab_markers=("energy,", "gear", "perf"), collab_energy="energy",
+    collab_lines=(("gear", "gear line"), ("perf", "perf line")), collab_order_500=("gear line", "energy"),
+    collab_line_250="energy", collab_tokens=("사과", "배"), perf_line="perf line", perf_products=("트레이닝",),
+    perf_marker="파워", perf_aliases={"파워배": "배", "파워사과": "사과"}, gift_marker="선물", gift_cost=9999.0)
+COLLAB_SHEET = [("energy, 사과, 500ml", 100.0), ("energy, 배, 500ml", 110.0), ("energy, 사과, 250ml", 60.0),
+                ("drink, gear A, 사과, 500ml", 200.0), ("drink, perf P, 배, 500ml", 300.0), ("drink, perf P, 사과, 250ml", 150.0)]
+COLLAB_OPTIONS = [("energy 세트", "선물 상자"), ("energy 500ml", "사과 4 + 배 (2)"), ("drink", "(사과/배) 12개입"),
+                  ("트레이닝 energy", "배 6"), ("energy", "파워 사과 24"), ("energy 250ml", "사과 12 + 배 12")]
+
+
+def q_collab_rules(spark, sf):
+    """Every order is one box of the collaboration brand, its option text by turns one of the rules'."""
+    k = F.col("o_orderkey")
+    pick = lambda i: F.element_at(F.array(*[F.lit(x[i]) for x in COLLAB_OPTIONS]), (k % 6 + 1).cast("int"))
+    raw = F.to_json(F.struct(F.when(k % 10 == 9, F.lit("C40")).otherwise(F.lit("N10")).alias("status_code"),
+                             pick(1).alias("option_value")))
+    items = D.table(spark, sf, "orders").select(
+        F.to_date("o_orderdate").alias("report_date"), F.lit(D.BRAND_B).alias("mall"), pick(0).alias("product_name"),
+        (k % 3 + 1).alias("quantity"), raw.alias("raw_json"))
+    sheet = spark.createDataFrame([(i, n, p) for i, (n, p) in enumerate(COLLAB_SHEET)], "row_no long, name string, price double")
+    prices = materialize(CO.parse_price_list(sheet, COLLAB_CONFIG))
+    opts = CO.option_rows(items, _dt.date(1990, 1, 1), AS_OF, COLLAB_CONFIG)
+    return CO.cost_daily(opts, prices, CO.parse_collab_prices(sheet, COLLAB_CONFIG), COLLAB_CONFIG)
+
+
 def q_price_list(spark, sf):
     return CO.parse_price_list(D.price_sheet(spark, sf), COST_CONFIG)
 
@@ -367,6 +405,7 @@ def q_collab_prices(spark, sf):
 
 QUERIES.update({
     "p14_cost_daily": q_cost_daily,
+    "p14_collab_rules": q_collab_rules,
     "src19_price_list": q_price_list,
     "src20_collab_prices": q_collab_prices,
 })
@@ -409,3 +448,4 @@ QUERIES["mb1_intraday_reload"] = q_intraday_reload
 QUERIES.update(writes.QUERIES)
 QUERIES.update(landing.QUERIES)
 QUERIES.update(live.QUERIES)
+QUERIES.update(shapers.QUERIES)

@@ -12,6 +12,7 @@ the per-partition directory swap.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,47 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """First line of a small metadata file; None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def write_text(spark: SparkSession, path: str, line: str) -> None:
+    """Replace a small metadata file: written aside, then renamed in."""
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    fs, p = _fs(spark, fresh)
+    out = fs.create(p)                              # creates the folder too
+    try:
+        out.write(bytearray(line + "\n", "utf-8"))
+    finally:
+        out.close()
+    _delete(spark, path)
+    _rename(spark, fresh, path)
+
+
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, time) of every data file under a path: what a reader of it would see (metadata only)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out, todo = [], [fs.getFileStatus(p)]
+    while todo:
+        st = todo.pop()
+        if st.isFile():
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+        else:
+            todo += [x for x in fs.listStatus(st.getPath()) if not x.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
 def has_data(spark: SparkSession, folder: str) -> bool:
     """Whether a folder holds a non-empty data file (metadata only)."""
     fs, p = _fs(spark, folder)
@@ -343,16 +385,10 @@ WIDER = {
 
 def declared_schema(spark: SparkSession, path: str) -> tuple[T.StructType, str | None] | None:
     """(schema, partition column) kept beside a table's data; None where none was declared."""
-    import json
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    if not fs.exists(p):
+    text = read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if text is None:
         return None
-    jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        held = json.loads(reader.readLine())
-    finally:
-        reader.close()
+    held = json.loads(text)
     return T.StructType.fromJson(held["schema"]), held["partition"]
 
 
@@ -362,7 +398,6 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
     The declared schema is one small file beside the data, written aside and renamed in; data files are not
     touched: old rows read an added column as NULL.  A column that is left out stays.  A narrower or another
     type, or another partition column, raises and changes nothing.  Returns the columns added."""
-    import json
     held = declared_schema(spark, path)
     if held is None and table_exists(spark, path) and not _is_empty(spark, path):
         held = (spark.read.parquet(path).schema, partition_col)        # a table from before its first declaration
@@ -381,16 +416,7 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
             raise SchemaConflictError(f"{path}: column {f.name} is {have}, {want} is declared")
         fields[f.name] = T.StructField(f.name, f.dataType, True)
     text = json.dumps({"schema": T.StructType(list(fields.values())).jsonValue(), "partition": partition_col})
-    target = f"{path.rstrip('/')}/{SCHEMA_FILE}"
-    fresh = f"{target}.{uuid.uuid4().hex}"
-    fs, p = _fs(spark, fresh)
-    out = fs.create(p)                              # creates the table's folder too
-    try:
-        out.write(bytearray(text + "\n", "utf-8"))
-    finally:
-        out.close()
-    _delete(spark, target)
-    _rename(spark, fresh, target)
+    write_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", text)
     return added
 
 
