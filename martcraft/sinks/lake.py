@@ -276,7 +276,9 @@ def merge_upsert(source: DataFrame, path: str, key: list[str] = MERGE_KEY,
         return []
     table = read_table(spark, path)
     wanted = src.filter(non_null).select(*keys)
-    held = (table.select("*", F.col("_metadata.file_path").alias("_file")).withColumn("_name_key", name_key)
+    first, last = wanted.agg(F.min(date_col), F.max(date_col)).first()       # literal bounds prune the folders
+    near = table.filter(F.col(date_col).between(F.lit(first), F.lit(last)))
+    held = (near.select("*", F.col("_metadata.file_path").alias("_file")).withColumn("_name_key", name_key)
             .join(wanted, keys, "left_semi"))
     # names of the files to rewrite: metadata, bounded by the files of the source's dates
     old = sorted(_plain_path(spark, r[0]) for r in held.select("_file").distinct().collect())
