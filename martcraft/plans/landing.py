@@ -52,7 +52,8 @@ def _save(rows: DataFrame, columns: list[str], lacking: list[str]) -> str:
         out = rows.where(F.col("v") == v).select(names)
         if v == 1:
             out = out.withColumnRenamed(names[0], BOM + names[0])
-        out.write.option("header", True).option("escape", '"').csv(f"{path}/export-{v}")
+        (out.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{path}/export-{v}"))
     return path
 
 
@@ -65,7 +66,7 @@ def q_manual_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_manual_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _manual(spark, sf_dir).rejected.select("reason", "raw.report_date", "raw.campaign_name", "raw.landing", "raw.impressions")
+    return _manual(spark, sf_dir).rejected.select("reason", "raw.report_date", "raw.campaign_name", "raw.impressions")
 
 
 def q_keyword_history(spark: SparkSession, sf_dir: str) -> DataFrame:
