@@ -103,8 +103,16 @@ _DECODER = json.JSONDecoder()
 
 
 def strip_personal(col, keys: list[str] = PERSONAL_KEYS) -> Column:
-    """the order JSON without the top-level personal-data members; all other text stays as it was
-    (numbers, spacing, escapes, key order).  What is no JSON object gives NULL.
+    """drop personal-data keys from the order JSON (re-serialised through
+    a variant map, so nested values keep their JSON form; number text may be
+    normalised, e.g. 2.50 -> 2.5).  The shapers use this one: it stays inside the JVM."""
+    m = F.from_json(_c(col), "map<string,variant>")
+    return F.to_json(F.map_filter(m, lambda k, v: ~k.isin(*keys)))
+
+
+def strip_personal_text(col, keys: list[str] = PERSONAL_KEYS) -> Column:
+    """F13 where the text itself must survive: the top-level personal-data members are cut out and every other
+    character stays (numbers, spacing, escapes, key order).  What is no JSON object gives NULL.
 
     Spark's JSON functions write values anew, so the members are found by the JSON scanner of the Python
     library, a batch of texts at a time."""

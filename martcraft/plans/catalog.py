@@ -15,7 +15,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martcraft.functions.privacy import phone_hash, strip_personal
 from martcraft.operators.union import current_view
 from martcraft.plans import ads, commerce, crm, design, quality
 from martcraft.plans import cost as CO
@@ -183,24 +182,6 @@ def q_src_orders(spark, sf):
                     "order_status", "payment_amount", "order_amount", "currency")
 
 
-def q_strip_personal(spark, sf):
-    """F13 + F11: landed order texts without the buyer's data, all other characters kept, the phone's hash beside.
-
-    The buyer comes first, last among blanks, or only inside another member; every fourth text is cut off."""
-    o = D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.floor("o_totalprice").alias("tp"))
-    k, kind = F.col("k").cast("string"), F.col("k") % 4
-    phone = F.concat(F.lit("010-"), k)
-    buyer = F.concat(F.lit('"buyer":{"cellphone":"'), phone, F.lit('","note":"a}, \\"b\\""}'))
-    amounts = F.concat(F.lit('"amount":'), F.col("tp").cast("string"), F.lit('.50, "n" : 1e3,"memo":"caf\\u00e9 {x}"'))
-    text = (F.when(kind == 0, F.concat(F.lit("{"), buyer, F.lit(',"receivers":[{"phone":[1,2]}],'), amounts, F.lit("}")))
-            .when(kind == 1, F.concat(F.lit("{ "), amounts, F.lit(' , "receivers" : [] , '), buyer, F.lit(" }")))
-            .when(kind == 2, F.concat(F.lit('{"note":{'), buyer, F.lit("},"), amounts, F.lit("}")))
-            .otherwise(F.concat(F.lit("{"), buyer, F.lit(","), amounts)))
-    none = F.lit(None).cast("string")
-    return o.select(k.alias("order_id"), strip_personal(text).alias("raw_json"),
-                    phone_hash(phone, none, none, none, CATALOG_SECRET).alias("buyer_hash"))
-
-
 def q_src_order_items(spark, sf):
     return SC.explode_order_items(D.raw_orders(spark, sf)).drop("raw_json", "ingested_at")
 
@@ -241,7 +222,6 @@ QUERIES.update({
     "src3_stat_paymethod": q_src_stat_paymethod,
     "src4_order_attribution": q_src_attribution,
     "src7_member_joins": q_src_member_joins,
-    "f13_strip_personal": q_strip_personal,
     "src13_ga4_sessions": q_src_ga4_sessions,
     "src14_ga4_transactions": q_src_ga4_transactions,
     "src10_search_ads": q_src_search_ads,

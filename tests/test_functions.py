@@ -125,7 +125,7 @@ def test_ship_rate_golden_vectors(spark):
     assert got == [g[3] for g in GOLDEN]
 
 
-def test_strip_personal_keeps_every_other_character(spark):
+def test_strip_personal_text_keeps_every_other_character(spark):
     cases = {
         '{"a":2.50,"buyer":{"x":[1,{"buyer":2}]},"b":1e3}': '{"a":2.50,"b":1e3}',
         '{ "buyer" : 1 , "receivers":[{}] }': "{  }",
@@ -134,5 +134,5 @@ def test_strip_personal_keeps_every_other_character(spark):
         "[1]": None, '{"a":1': None, '{"a":1} x': None, '{"a":1,}': None, "": None, None: None,
     }
     df = spark.createDataFrame([(k,) for k in cases], "x string")
-    got = {r.x: r.y for r in df.select("x", P.strip_personal("x").alias("y")).collect()}
+    got = {r.x: r.y for r in df.select("x", P.strip_personal_text("x").alias("y")).collect()}
     assert got == cases
