@@ -23,6 +23,7 @@ through ``keep``.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,10 +98,9 @@ class Model:
     def __reduce__(self):
         return Model, (self.keys, self.tables, self.bias, self.out, self.out_bias, self.cuts)
 
-    def pooled(self, buckets: np.ndarray) -> np.ndarray:
-        """Maxima of all filters over the text, after bias and rectifier."""
-        got = [np.zeros(FILTERS, np.float32) if v is None else v.max(0)
-               for _, v in _maxima(self.flat, self.place[buckets])]
+    def pooled(self, places: np.ndarray) -> np.ndarray:
+        """Maxima of all filters over the text's places among the known buckets, after bias and rectifier."""
+        got = [np.zeros(FILTERS, np.float32) if v is None else v.max(0) for _, v in _maxima(self.flat, places)]
         return np.maximum(np.concatenate(got) + self.bias, 0)
 
     def language(self, buckets: np.ndarray) -> int:
@@ -108,7 +108,10 @@ class Model:
         return int(np.argmax(np.bincount(self.tongue[buckets[:, 0]], minlength=len(LANGUAGES) + 1)[1:]))
 
     def probability(self, buckets: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.pooled(buckets) @ self.out + self.out_bias, -30, 30))))
+        return self.probability_at(self.place[buckets])
+
+    def probability_at(self, places: np.ndarray) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.pooled(places) @ self.out + self.out_bias, -30, 30))))
 
 
 def index(keys: np.ndarray, buckets: np.ndarray) -> np.ndarray:
@@ -138,18 +141,22 @@ def _best_cut(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = 5, rate: float = 0.01, seed: int = 7) -> Model:
-    """``rows``: bucket sequences of the training documents."""
+    """``rows``: bucket sequences of the training documents; each is replaced by its places among the known buckets, so
+    that the sample is held once."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    uniq = [np.unique(r) for r in rows]
-    keys, used = np.unique(np.concatenate([*uniq, np.zeros(0, np.int32)]), return_counts=True)
-    keys = keys[used >= max(2, round(len(rows) ** 0.5 / 7))]
+    used = np.zeros(BUCKETS, np.int32)
+    for r in rows:
+        used[np.unique(r)] += 1
+    keys = np.flatnonzero(used >= max(2, round(len(rows) ** 0.5 / 7))).astype(np.int32)
     blank = Model(keys, [np.zeros((w, len(keys) + 1, FILTERS), np.float32) for w in WIDTHS],
                  np.zeros(FILTERS * len(WIDTHS), np.float32), np.zeros(FILTERS * len(WIDTHS), np.float32), -4.0,
                  np.full(len(LANGUAGES), 0.5))
     if len(np.unique(y)) < 2 or not len(keys):
         return blank
-    del uniq
-    ids = [index(keys, r) for r in rows]
+    lang = np.array([blank.language(r) for r in rows])
+    for k, r in enumerate(rows):
+        rows[k] = index(keys, r)
+    ids = rows
     calibrate = np.arange(len(rows)) % 4 == 0
     learn = np.flatnonzero(~calibrate) if y[~calibrate].any() and y[calibrate].any() else np.arange(len(rows))
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
@@ -217,8 +224,8 @@ def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = 5, rate: float = 0.
     model = Model(keys, [np.stack([emb @ f[j] for j in range(f.shape[0])]) for f in filt], bias.ravel(), out,
                   float(out_bias[0]), np.full(len(LANGUAGES), 0.5))
     held = np.flatnonzero(calibrate) if len(learn) < len(rows) else np.arange(len(rows))
-    p = np.array([model.probability(rows[k]) for k in held])
-    lang = np.array([model.language(rows[k]) for k in held])
+    p = np.array([model.probability_at(ids[k]) for k in held])
+    lang = lang[held]
     truth = y[held] == 1
     n = int(truth.sum())                                 # few positives: a cautious threshold
     common = (n * _best_cut(p, truth) + 10 * 0.9) / (n + 10)
@@ -246,6 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: str = "true", label_col: st
     for k, b in split_words(texts):
         rows[k] = b
     del texts
+    gc.collect()
     return fit(rows, y)
 
 
