@@ -31,12 +31,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate class (five-word shingles, 0.8).
 
-    Of rows that repeat a kept id one stays; rows without an id belong to no class and stay."""
+    Of rows that repeat a kept id the one with the least text stays; rows without an id belong to no class and
+    stay."""
     kept = op2_minhash.near_duplicates(docs, shingle=5, percent=80).where("kept").select(
         F.col("doc_id").alias("__id"), "n_rows")
     found = docs.join(kept, docs["doc_id"] == F.col("__id"))
     once = found.where("n_rows = 1").select(docs.columns)
-    again = found.where("n_rows > 1").select(docs.columns).dropDuplicates(["doc_id"])
+    least = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("least")
+    again = found.where("n_rows > 1").groupBy("doc_id").agg(least).select(
+        *[F.col(c) if c == "doc_id" else F.col(f"least.{c}").alias(c) for c in docs.columns])
     return once.union(again).union(docs.where("doc_id is null"))
 
 
