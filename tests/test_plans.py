@@ -92,43 +92,28 @@ def test_current_and_brand_views(spark):
     assert spark.table("orders_brand_a").count() + spark.table("orders_brand_b").count() == o.count()
 
 
-def test_a_refresh_resumes_after_a_failure(spark, tmp_path, monkeypatch):
-    import dataclasses
-
-    from martcraft.plans import refresh
-    out, day = str(tmp_path / "lake"), dt.date(2001, 8, 1)
-    log = registry.RunLog(spark, out + "/_runs")
-
-    def jobs(broken=None):
-        made = refresh.build_jobs(spark, SMALL, out)
-        fail = lambda _: 1 / 0
-        return [dataclasses.replace(j, run=fail) if j.name == broken else j for j in made if j.name != "mart_cost_daily"]
-
-    first = registry.run_all(jobs("mart_sales_daily"), day, raise_on_failure=False, log=log)
-    assert set(first.failed) == {"mart_sales_daily"} and set(first.skipped) == {"mart_brand_kpi"}
+def test_a_run_resumes_after_a_failure(spark, tmp_path):
+    day, ran = dt.date(2024, 1, 1), []
+    log = registry.RunLog(spark, str(tmp_path / "_runs"))
+    src, mid, top = (str(tmp_path / n) for n in ("src", "mid", "top"))
+    spark.range(3).write.parquet(src)
+
+    def jobs(broken=False):
+        def copy(name, a, b):
+            def run(_):
+                ran.append(name)
+                if broken and name == "top":
+                    raise OSError("lost")
+                spark.read.parquet(a).write.mode("overwrite").parquet(b)
+            return run
+        return [registry.Job("mid", copy("mid", src, mid), (), (src,), (mid,)),
+                registry.Job("top", copy("top", mid, top), ("mid",), (mid,), (top,))]
+
+    assert set(registry.run_all(jobs(True), day, raise_on_failure=False, log=log).failed) == {"top"}
     again = registry.run_all(jobs(), day, log=log)
-    assert again.ok == ["mart_sales_daily", "mart_brand_kpi"] and "land" in again.reused
-    third = registry.run_all(jobs(), day, log=log)
-    assert third.ok == [] and len(third.reused) == 6
-    # another day, a changed input or a lost output runs again, and what rests on it
-    spark.read.parquet(out + "/sessions").limit(0).coalesce(1).write.mode("append").partitionBy("date").parquet(out + "/sessions")
-    (tmp_path / "lake" / "mart_media_daily" / "extra.parquet").write_bytes(b"")
-    assert registry.run_all(jobs(), day, raise_on_failure=False, log=log).ok[:1] == ["mart_media_daily"]
-
-
-def test_marts_read_landed_tables_only(spark, tmp_path):
-    from martcraft.plans import refresh
-    out, day = str(tmp_path / "lake"), dt.date(2001, 8, 1)
-    refresh.build_jobs(spark, SMALL, out)[0].run(day)
-    # the benchmark tables are gone: every mart still builds
-    rep = registry.run_all(_without_landing(refresh.build_jobs(spark, str(tmp_path / "nowhere"), out)), day)
-    assert len(rep.ok) == 6
-    cost = spark.read.parquet(out + "/mart_cost_daily")
-    want = E.queries()["p14_cost_daily"](spark, SMALL)
-    assert sorted(map(tuple, cost.select("mall", "cogs", "ship").collect())) == \
-        sorted(map(tuple, want.select("mall", "cogs", "ship").collect()))
-
-
-def _without_landing(jobs):
-    import dataclasses
-    return [dataclasses.replace(j, deps=tuple(d for d in j.deps if d != "land")) for j in jobs if j.name != "land"]
+    assert again.reused == ["mid"] and again.ok == ["top"]
+    assert registry.run_all(jobs(), day, log=log).reused == ["mid", "top"]
+    spark.range(5).write.mode("overwrite").parquet(src)          # a changed input runs again, and what rests on it
+    assert registry.run_all(jobs(), day, log=log).ok == ["mid", "top"]
+    assert spark.read.parquet(top).count() == 5
+    assert registry.run_all(jobs(), dt.date(2024, 1, 2), log=log).ok == ["mid", "top"]
