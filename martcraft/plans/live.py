@@ -68,8 +68,9 @@ def q_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.explode(F.sequence(F.lit(0), F.lit(EXPORTS - 1))).alias("e")).where(
         (F.year("report_date") * 12 + F.month("report_date") + F.col("e")) % 5 == 0)
     landed = rows.withColumn("n", F.col("n") + F.col("e")).withColumn("export", F.format_string("export-%03d", "e")).drop("e")
-    # the exports' names tell their order: files written together may have any times
-    landed.repartition(8, "export").write.partitionBy("export").parquet(f"{root}/landing")
+    # the exports' names tell their order: files written together may have any times; the write sorts a task's rows
+    # by export, so tasks follow the amount of rows and a large export is several part files
+    landed.hint("rebalance", "export").write.partitionBy("export").parquet(f"{root}/landing")
     schema = T.StructType([f for f in landed.schema.fields if f.name != "export"] + [T.StructField("export", T.StringType())])
     intraday.intraday_refresh(spark, f"{root}/landing", schema, "parquet",
                               lambda b: b.drop("export"), f"{root}/orders", f"{root}/checkpoint",

@@ -59,9 +59,11 @@ def export_of(path_col: Column | str = "_path") -> Column:
 def latest_exports(landed: DataFrame, landed_date: Column) -> DataFrame:
     """The rows of each date's latest export (by time, then name); rows without a date go.
 
-    One aggregate of (date, time, export) and a semi join, however many exports arrived together."""
+    One aggregate of (date, time, export) and a semi join, however many exports arrived together.  Each export's
+    time comes first: that aggregate is hashed, where a maximum of structs would sort all rows of a task."""
     dated = landed.withColumn("_day", landed_date)
-    last = (dated.groupBy("_day").agg(F.max(F.struct("_time", "_export")).alias("_last"))
+    last = (dated.groupBy("_day", "_export").agg(F.max("_time").alias("_time"))
+            .groupBy("_day").agg(F.max(F.struct("_time", "_export")).alias("_last"))
             .select("_day", F.col("_last._export").alias("_export")))
     return dated.join(last, ["_day", "_export"], "left_semi").drop("_day")
 

@@ -4,9 +4,11 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martcraft.plans import live
 from martcraft.streaming import intraday as I
 
 D = dt.date
@@ -82,3 +84,44 @@ def test_a_catch_up_of_many_exports_is_one_write(spark, tmp_path, monkeypatch):
     I.intraday_refresh(spark, land, SCHEMA, "json", _shape, out, ck, landed_date=day)
     after = {r.report_date.day: r.v for r in spark.read.parquet(out).collect()}
     assert after == {**got, 5: -1}
+
+
+@pytest.fixture()
+def small_partitions(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "32k")
+    yield
+    spark.conf.unset(key)
+
+
+def test_catch_up_tasks_follow_the_amount_of_rows(spark, tmp_path, monkeypatch, small_partitions):
+    n, first = 12_000, D(2000, 1, 1)
+    (spark.range(0, n, 1, 6).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 977 + 0.5).alias("o_totalprice"),
+        F.expr("date_add(date '2000-01-01', cast(id % 60 as int))").cast("timestamp").alias("o_orderdate"))
+     .write.parquet(str(tmp_path / "orders.parquet")))
+    monkeypatch.setattr(live, "scratch_path", lambda _spark, name: str(tmp_path / "scratch" / name))
+    got = {(r.report_date, r.order_id, r.n) for r in live.q_catch_up(spark, str(tmp_path)).collect()}
+    want = set()
+    for k in range(n):
+        month = (first + dt.timedelta(days=k % 60)).replace(day=1)
+        last = max(e for e in range(live.EXPORTS) if (month.year * 12 + month.month + e) % 5 == 0)
+        want.add((month, k, k % 977 + last))
+    assert got == want
+    exports = list(tmp_path.glob("scratch/*/landing/export=*"))
+    assert len(exports) == 2 * live.EXPORTS // 5            # two months, each in a fifth of the exports
+    # 6,000 rows an export, some 50 kB in the shuffle: no task sorts and writes an export whole
+    assert min(len(list(x.glob("*.parquet"))) for x in exports) > 1
+
+
+def test_the_latest_export_is_found_without_sorting_all_rows(spark):
+    at = lambda h: dt.datetime(2024, 1, 9, h)
+    rows = [(D(2024, 1, 1), "a", at(1), 1), (D(2024, 1, 1), "b", at(1), 2), (D(2024, 1, 1), "b", at(0), 3),
+            (D(2024, 1, 2), "b", at(1), 4), (D(2024, 1, 2), "a", at(2), 5), (D(2024, 1, 2), "c", None, 6),
+            (D(2024, 1, 3), "a", None, 7), (D(2024, 1, 3), "b", None, 8), (None, "z", at(3), 9)]
+    landed = spark.createDataFrame(rows, "d date, _export string, _time timestamp, v int")
+    out = I.latest_exports(landed, F.col("d"))
+    assert sorted(r.v for r in out.collect()) == [2, 3, 5, 8]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    nearest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]      # the one that reads the landed rows
+    assert "HashAggregate(" in nearest
